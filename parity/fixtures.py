@@ -111,7 +111,7 @@ def cents(name: str) -> Column:
     return F.round(F.col(name) * 100).cast("bigint")
 
 
-def item_arrival(row: DataFrame | None = None) -> Column:
+def item_arrival() -> Column:
     """Arrival number of an order line: settles ties of the same line and date."""
     parts = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     money = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -154,6 +154,19 @@ def items_of(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def item_states_of(lineitem: DataFrame) -> DataFrame:
+    """Order lines reduced to their state, which is the same in many rows."""
+    order = F.col("l_orderkey")
+    return _records(
+        lineitem,
+        text_id(order * 10 + F.col("l_linenumber")),
+        order % N_BRANCHES,
+        {"status": F.col("l_linestatus")},
+        extracted_at=F.col("l_shipdate"),
+        ingest_seq=item_arrival(),
+    )
+
+
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payments_of(table(spark, sf_dir, "events"))
 
