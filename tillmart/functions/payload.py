@@ -30,11 +30,20 @@ def leaf_type(paths: Iterable[str]) -> T.StructType:
     )
 
 
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that costs much, such as a parse, so that it runs once per row.
+
+    Catalyst pushes filters below a plain projection and repeats its expressions inside
+    them, one parse per condition. It does not push them below an explode.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def with_doc(raw: DataFrame, paths: Iterable[str]) -> DataFrame:
     """Add ``doc`` with the leaves at ``paths``, unless the table stores it."""
     if "doc" in raw.columns:
         return raw
-    return raw.withColumn("doc", F.from_json("payload", leaf_type(paths)))
+    return computed_once(raw, "doc", F.from_json("payload", leaf_type(paths)))
 
 
 def leaf(path: str) -> Column:
@@ -51,7 +60,7 @@ def with_trees(raw: DataFrame, subtrees: list[Field]) -> DataFrame:
     """Add ``trees``, the subtrees kept as JSON text, unless the table stores it."""
     if "trees" in raw.columns or not subtrees:
         return raw
-    parsed = raw.withColumn("_v", F.parse_json("payload"))
+    parsed = computed_once(raw, "_v", F.parse_json("payload"))
     trees = F.struct(*[variant_subtree(F.col("_v"), f.path).alias(f.column) for f in subtrees])
     return parsed.withColumn("trees", trees).drop("_v")
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.entities import Entity
-from tillmart.functions.payload import with_doc, with_trees
+from tillmart.functions.payload import computed_once, with_doc, with_trees
 from tillmart.schemas import RAW_COLUMNS
 
 
@@ -49,18 +49,18 @@ def record_id(variant: Column, surrogate: Column) -> Column:
     return F.when(missing, surrogate).otherwise(F.try_variant_get(variant, "$.id", "string"))
 
 
-def reject_reason(variant: Column, entity: Entity) -> Column:
-    """Why a record cannot become a raw row; null if it can."""
-    kind = F.schema_of_variant(variant)
-    attributes = F.try_variant_get(variant, "$.attributes", "variant")
-    reason = (
-        F.when(variant.isNull() | ~kind.startswith("OBJECT"), F.lit("bad_record"))
-        .when(F.is_variant_null(F.try_variant_get(variant, "$.id", "variant")), F.lit("null_id"))
+def reject_reason(record: Column, variant: Column, entity: Entity) -> Column:
+    """Why a record (text and parsed form) cannot become a raw row; null if it can."""
+    reason = F.when(variant.isNull() | ~F.ltrim(record).startswith("{"), F.lit("bad_record")).when(
+        F.is_variant_null(F.try_variant_get(variant, "$.id", "variant")), F.lit("null_id")
     )
     if entity.dated_by:
         # Dates are read out of the attributes, so those must be an object if given.
-        not_object = attributes.isNotNull() & ~F.schema_of_variant(attributes).startswith("OBJECT")
-        reason = reason.when(not_object, F.lit("bad_attributes"))
+        # That is plain where one of the dates was found; only the rest is looked at.
+        dates = [F.try_variant_get(variant, f"$.attributes.{name}", "variant") for name in entity.dated_by]
+        given = F.try_variant_get(variant, "$.attributes", "variant").isNotNull()
+        as_object = F.try_variant_get(variant, "$.attributes", "map<string,variant>")
+        reason = reason.when(F.coalesce(*dates).isNull() & given & as_object.isNull(), F.lit("bad_attributes"))
     return reason
 
 
@@ -78,20 +78,16 @@ def to_raw(records: DataFrame, entity: Entity, run_ts: datetime | None = None) -
     v = F.col("_v")
     surrogate = name_uuid(F.col("branch_id"), F.unix_micros("extracted_at").cast("string"), F.col("ingest_seq").cast("string"))
     page_error = F.col("page_error") if "page_error" in records.columns else F.lit(None).cast("string")
-    return (
-        stamped.withColumn("_v", F.try_parse_json("record"))
-        .select(
-            record_id(v, surrogate).alias("source_id"),
-            "branch_id",
-            "extracted_at",
-            F.col("record").alias("payload"),
-            source_updated_at(entity, lambda name: F.try_variant_get(v, f"$.attributes.{name}", "string")).alias(
-                "source_updated_at"
-            ),
-            payload_checksum(v).alias("payload_checksum"),
-            "ingest_seq",
-            F.coalesce(page_error, reject_reason(v, entity)).alias("reject_reason"),
-        )
+    date_text = lambda name: F.try_variant_get(v, f"$.attributes.{name}", "string")
+    return computed_once(stamped, "_v", F.try_parse_json("record")).select(
+        record_id(v, surrogate).alias("source_id"),
+        "branch_id",
+        "extracted_at",
+        F.col("record").alias("payload"),
+        source_updated_at(entity, date_text).alias("source_updated_at"),
+        payload_checksum(v).alias("payload_checksum"),
+        "ingest_seq",
+        F.coalesce(page_error, reject_reason(F.col("record"), v, entity)).alias("reject_reason"),
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillmart.functions.payload import computed_once
 from tillmart.schemas import PAGES
 
 PAGE_SIZE = 500
@@ -34,7 +35,7 @@ def read_page_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
-    return pages.withColumn("_page", F.from_json("body", _BODY, _BODY_OPTIONS))
+    return computed_once(pages, "_page", F.from_json("body", _BODY, _BODY_OPTIONS))
 
 
 def _page_error() -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.entities import Entity
+from tillmart.functions.payload import computed_once
 from tillmart.functions.records import parse_iso_timestamp
 
 
@@ -34,7 +35,7 @@ def project_fields(records: DataFrame, entity: Entity) -> DataFrame:
     )
     # Only objects can be cut; anything else goes on as it is and is rejected later.
     return (
-        records.withColumn("_r", parts)
+        computed_once(records, "_r", parts)
         .withColumn("record", F.when(F.trim("record").startswith("{") & F.col("_r").isNotNull(), kept).otherwise(F.col("record")))
         .drop("_r")
     )
