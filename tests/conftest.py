@@ -1,0 +1,78 @@
+from __future__ import annotations
+
+import json
+import os
+import sys
+from datetime import datetime, timezone
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from tillmart.entities import ENTITIES
+from tillmart.functions.records import accepted, to_raw
+from tillmart.session import build_session
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session(
+        "tests",
+        spark__master="local[4]",
+        spark__ui__enabled="false",
+        spark__sql__shuffle__partitions="4",
+        spark__driver__memory="4g",
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+def at(day: int, hour: int = 0) -> datetime:
+    return datetime(2024, 1, day, hour, tzinfo=timezone.utc)
+
+
+def item(id="1", relationships=None, **attributes) -> dict:
+    base = {"createdAt": "2024-01-01T02:00:00Z", "price": 10.0, "quantity": 2.0}
+    links = {"sale": {"data": {"id": "7"}}, "product": {"data": {"id": "9"}}}
+    return {"id": id, "attributes": {**base, **attributes}, "relationships": {**links, **(relationships or {})}}
+
+
+def sale(id="1", relationships=None, **attributes) -> dict:
+    base = {"createdAt": "2024-01-01T02:00:00Z", "total": 5.5, "saleState": "OPEN"}
+    return {"id": id, "attributes": {**base, **attributes}, "relationships": relationships or {}}
+
+
+def payment(id="1", sale_id=None, expense_id=None, **attributes) -> dict:
+    links = {"paymentMethod": {"data": {"id": "3"}}}
+    if sale_id:
+        links["sale"] = {"data": {"id": sale_id}}
+    if expense_id:
+        links["expense"] = {"data": {"id": expense_id}}
+    return {"id": id, "attributes": {"amount": 12.5, "createdAt": "2024-01-01T02:00:00Z", **attributes}, "relationships": links}
+
+
+def as_text(record) -> str:
+    return record if isinstance(record, str) else json.dumps(record)
+
+
+@pytest.fixture(scope="session")
+def raw(spark):
+    """Raw rows out of (branch, extraction time, arrival number, record) tuples."""
+
+    def make(entity, *rows, keep_rejects=False):
+        data = [(branch, when, seq, as_text(record)) for branch, when, seq, record in rows]
+        records = spark.createDataFrame(data, "branch_id string, extracted_at timestamp, ingest_seq bigint, record string")
+        made = to_raw(records, ENTITIES[entity])
+        return made if keep_rejects else accepted(made)
+
+    return make
+
+
+def rows_of(df, *columns):
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+
+
+def page(*records) -> str:
+    return json.dumps({"data": list(records)})
