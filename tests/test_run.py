@@ -1,0 +1,160 @@
+"""Full runs into a warehouse."""
+
+import pytest
+from conftest import at, item, page, payment, rows_of, sale
+from pyspark.sql import functions as F
+
+from tillmart.entities import ENTITIES
+from tillmart.plans import raw_store
+from tillmart.plans.load import LoadOptions
+from tillmart.plans.run import BRANCH_TABLE, STATUS_TABLE, build_marts, read_audit, run
+from tillmart.plans.views import open_warehouse
+from tillmart.plans.warehouse import Warehouse
+from tillmart.schemas import BRANCHES, PAGES, STATUS
+
+AUDIT_COLUMNS = ["branch_id", "entity", "extracted", "inserted", "updated", "unchanged", "rejected", "status"]
+
+
+@pytest.fixture
+def warehouse(spark, tmp_path):
+    made = Warehouse(spark, str(tmp_path / "wh"))
+    config = [("001", "s1", "Uno", True, None, None), ("b2", "s2", "Dos", True, None, None), ("b3", "s3", "Tres", False, None, None)]
+    made.publish(BRANCH_TABLE, spark.createDataFrame(config, BRANCHES), "0")
+    return made
+
+
+def go(warehouse, when, pages, **options):
+    df = warehouse.spark.createDataFrame(pages, PAGES)
+    report = run(warehouse.spark, df, warehouse.root, when, **options)
+    warehouse.refresh()
+    return report
+
+
+def audit_of(warehouse, when):
+    return rows_of(read_audit(warehouse).where(F.col("run_ts") == F.lit(when)), *AUDIT_COLUMNS)
+
+
+def mart(warehouse, name, *columns):
+    return rows_of(warehouse.read_published(f"marts/{name}"), *columns)
+
+
+def test_two_runs(warehouse, spark):
+    first = [
+        ("001", "items", 1, page(item("1"), item("2"), item("2"))),
+        ("001", "sales", 1, page(sale("1"), sale("2"))),
+        ("b2", "sales", 1, page(sale("1"))),
+        ("b3", "sales", 1, page(sale("9"))),
+        ("b2", "roles", 1, page()),
+    ]
+    assert go(warehouse, at(2), first).ok
+    assert audit_of(warehouse, at(2)) == [
+        ("001", "items", 3, 2, 0, 1, 0, "LOADED"),
+        ("001", "sales", 2, 2, 0, 0, 0, "LOADED"),
+        ("b2", "roles", 0, 0, 0, 0, 0, "EMPTY"),
+        ("b2", "sales", 1, 1, 0, 0, 0, "LOADED"),
+    ]
+    second = [
+        ("001", "items", 1, page(item("1", canceled=True), item("2"))),
+        ("001", "sales", 1, page(sale("1", saleState="CANCELED"), sale("2"))),
+        ("b2", "sales", 1, "<html>oops"),
+    ]
+    assert go(warehouse, at(3), second).ok
+    assert audit_of(warehouse, at(3)) == [
+        ("001", "items", 2, 1, 0, 1, 0, "LOADED"),
+        ("001", "sales", 2, 0, 1, 1, 0, "LOADED"),
+        ("b2", "sales", 0, 0, 0, 0, 1, "FAILED"),
+    ]
+    # The canceled line falls back to its live version; the canceled sale is gone.
+    assert mart(warehouse, "sales_order_line", "order_line_key") == [("1-001",), ("2-001",)]
+    assert mart(warehouse, "sales_order", "order_key") == [("1-b2",), ("2-001",)]
+    assert mart(warehouse, "branches", "branch_id") == [("001",), ("b2",)]
+    sales = spark.table("view_sales").select("source_id", "branch_id", F.day("extracted_at"), "sale_state")
+    assert rows_of(sales, "*") == [("1", "001", 3, "CANCELED"), ("1", "b2", 2, "OPEN"), ("2", "001", 2, "OPEN")]
+    assert spark.table("view_items").count() == 3
+    pairs = warehouse.read(STATUS_TABLE, STATUS)
+    assert rows_of(pairs, "branch_id", "entity") == [("001", "items"), ("001", "sales"), ("b2", "sales")]
+    # A reader that starts later sees the same, under both names.
+    open_warehouse(spark, warehouse.root)
+    assert spark.sql("SELECT order_key FROM mv_sales_order").count() == spark.table("sales_order").count() == 2
+
+
+def test_repeating_a_run_adds_nothing(warehouse, spark):
+    pages = [("001", "items", 1, page(item("1"), {"attributes": {}})), ("001", "sales", 1, page(sale("1")))]
+    assert go(warehouse, at(2), pages).ok
+    assert go(warehouse, at(2), pages).ok
+    assert raw_store.read_log(warehouse, ENTITIES["items"]).count() == 2
+    assert raw_store.read_log(warehouse, ENTITIES["sales"]).count() == 1
+    assert audit_of(warehouse, at(2)) == [
+        ("001", "items", 2, 0, 0, 2, 0, "LOADED"), ("001", "sales", 1, 0, 0, 1, 0, "LOADED")
+    ]
+
+
+@pytest.mark.parametrize("on_reject, kept", [("batch", []), ("row", [("1",)])])
+def test_bad_record_fails_its_branch_or_itself(warehouse, on_reject, kept):
+    pages = [("001", "items", 1, page(item("1"), item(None))), ("b2", "items", 1, page(item("5")))]
+    go(warehouse, at(2), pages, options=LoadOptions(on_reject=on_reject))
+    log = raw_store.read_log(warehouse, ENTITIES["items"])
+    assert rows_of(log.where("branch_id = '001'"), "source_id") == kept
+    assert rows_of(log.where("branch_id = 'b2'"), "source_id") == [("5",)]
+    status = {r[0]: r[-1] for r in audit_of(warehouse, at(2))}
+    assert status == {"001": "FAILED" if on_reject == "batch" else "LOADED", "b2": "LOADED"}
+
+
+def test_no_active_branch_leaves_everything(spark, tmp_path):
+    empty = Warehouse(spark, str(tmp_path / "wh"))
+    report = go(empty, at(2), [("001", "sales", 1, page(sale("1")))])
+    assert report.skipped and report.ok
+    assert empty.refresh() == {}
+
+
+def test_bad_value_fails_one_mart_and_keeps_its_old_version(warehouse):
+    good = [("001", "items", 1, page(item("1"))), ("001", "payments", 1, page(payment("1")))]
+    assert go(warehouse, at(2), good).ok
+    bad = [("001", "items", 1, page(item("2", price="much"))), ("001", "payments", 1, page(payment("2")))]
+    report = go(warehouse, at(3), bad)
+    assert list(report.mart_errors) == ["sales_order_line"] and not report.load_errors
+    assert mart(warehouse, "sales_order_line", "order_line_key") == [("1-001",)]
+    assert mart(warehouse, "payments", "payment_key") == [("1-001",), ("2-001",)]
+    assert build_marts(warehouse, ["sales_order_line"], strict=False) == {}
+    # Read leniently the price is null, which counts as 0 once the leaf is there.
+    assert mart(warehouse, "sales_order_line", "order_line_key", "amount_total") == [("1-001", 10.0), ("2-001", 0.0)]
+
+
+def test_key_that_is_not_unique_fails_its_mart(warehouse):
+    # Two envelope ids with one payload id: the surrogate id of a record without one
+    # cannot do that, but a key made of id and branch can: "1-001" + "x" = "1" + "001-x".
+    pages = [("001", "roles", 1, page({"id": "1", "attributes": {}}))]
+    assert go(warehouse, at(2), pages).ok
+    df = warehouse.spark.createDataFrame([("k",), ("k",)], "key string")
+    with pytest.raises(Exception, match="not unique"):
+        warehouse.publish("marts/broken", df, "1", unique=["key"])
+    assert warehouse.current_version("marts/broken") is None
+
+
+def test_compaction_keeps_what_readers_see(warehouse):
+    sales = ENTITIES["sales"]
+    for day, state in ((2, "OPEN"), (3, "CLOSED"), (4, "OPEN")):
+        assert go(warehouse, at(day), [("001", "sales", 1, page(sale("1", saleState=state), sale("2")))]).ok
+    before = rows_of(raw_store.read_raw(warehouse, sales), "source_id", "extracted_at", "payload", "doc", "trees")
+    assert raw_store.read_log(warehouse, sales).count() == 4
+    raw_store.compact(warehouse, sales)
+    assert raw_store.read_log(warehouse, sales).count() == 2
+    assert rows_of(raw_store.read_raw(warehouse, sales), "source_id", "extracted_at", "payload", "doc", "trees") == before
+    assert go(warehouse, at(5), [("001", "sales", 1, page(sale("1"), sale("3")))]).ok
+    assert mart(warehouse, "sales_order", "id_order") == [(1,), (2,), (3,)]
+
+
+def test_incremental_option(warehouse):
+    assert go(warehouse, at(2), [("001", "sales", 1, page(sale("1")))]).ok
+    # The first load was noted with the time of the clock, long after these records.
+    old = [("001", "sales", 1, page(sale("2"))), ("b2", "sales", 1, page(sale("3")))]
+    assert go(warehouse, at(3), old, options=LoadOptions(incremental=True)).ok
+    assert mart(warehouse, "sales_order", "order_key") == [("1-001",), ("3-b2",)]
+
+
+def test_create_if_absent_is_idempotent(warehouse):
+    raw_store.create_raw_tables(warehouse)
+    versions = dict(warehouse.refresh())
+    raw_store.create_raw_tables(warehouse)
+    assert warehouse.refresh() == versions and len(versions) == 18
+    assert raw_store.read_raw(warehouse, ENTITIES["sales"]).count() == 0
