@@ -40,13 +40,10 @@ def latest_matching(
     parsed = with_doc(raw, paths)
     if latest_first:
         return latest_per_key(parsed.drop("payload")).where(condition).select(*columns)
-    carried = [c.alias(f"_{i}") for i, c in enumerate(columns)]
     names = parsed.select(*columns).columns
-    rows = parsed.where(condition).select(
-        *[F.col(k).alias(f"_key_{k}") for k in RECORD_KEY], *[F.col(o).alias(f"_ord_{o}") for o in ARRIVAL_ORDER], *carried
-    )
-    latest = latest_per_key(rows, [f"_key_{k}" for k in RECORD_KEY], [f"_ord_{o}" for o in ARRIVAL_ORDER])
-    return latest.select(*[F.col(f"_{i}").alias(name) for i, name in enumerate(names)])
+    own = [column for column, name in zip(columns, names) if name not in RECORD_KEY]
+    rows = parsed.where(condition).select(*RECORD_KEY, *ARRIVAL_ORDER, *own)
+    return latest_per_key(rows).select(*names)
 
 
 def branches(config: DataFrame) -> DataFrame:

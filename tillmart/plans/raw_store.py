@@ -28,7 +28,7 @@ def stored_schema(entity: Entity) -> T.StructType:
 
 def create_raw_tables(warehouse: Warehouse) -> None:
     """The 17 raw tables, empty, unless they exist."""
-    warehouse.create_if_absent({e.table: stored_schema(e) for e in ENTITIES.values()}, partition_by=["branch_id"])
+    warehouse.create_if_absent(e.table for e in ENTITIES.values())
 
 
 def read_log(warehouse: Warehouse, entity: Entity) -> DataFrame:

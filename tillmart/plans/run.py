@@ -90,11 +90,12 @@ def run(
     options: LoadOptions = LoadOptions(),
     strict: bool = True,
     parallelism: int = 4,
+    marts: Iterable[str] = MARTS,
 ) -> RunReport:
     """Load ``pages`` into the warehouse at ``root`` and rebuild what depends on them.
 
     ``run_ts`` stamps every row of the run; it is UTC if it has no time zone, and it must
-    not go back from run to run. A run may be repeated with its ``run_ts``: what the
+    not go back from run to run. ``marts`` names the marts to rebuild. A run may be repeated with its ``run_ts``: what the
     broken attempt added is then found to be there already.
     """
     run_ts = run_ts if run_ts.tzinfo else run_ts.replace(tzinfo=timezone.utc)
@@ -105,7 +106,7 @@ def run(
     if branches.isEmpty():
         report.skipped = True
         return report
-    warehouse.create_if_absent({STATUS_TABLE: STATUS})
+    warehouse.create_if_absent([STATUS_TABLE])
     create_raw_tables(warehouse)
     status = warehouse.read(STATUS_TABLE, STATUS)
 
@@ -133,7 +134,7 @@ def run(
         )
         warehouse.publish(STATUS_TABLE, set_last_extraction(status, loaded), new_version(), unique=STATUS_KEY)
     report.view_errors = register_raw_views(warehouse, strict)
-    report.mart_errors = build_marts(warehouse, strict=strict, parallelism=parallelism)
+    report.mart_errors = build_marts(warehouse, marts, strict, parallelism)
     register_marts(warehouse)
     return report
 

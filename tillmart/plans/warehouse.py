@@ -8,7 +8,7 @@ leaves the old version in place, and the marts of one run change over together.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from datetime import datetime, timezone
 from uuid import uuid4
 
@@ -20,6 +20,9 @@ from pyspark.sql import types as T
 from tillmart.operators.checks import assert_not_null, assert_unique
 from tillmart.schemas import struct
 
+# The version of a table that was just created.
+CREATED = "0"
+
 _PUBLICATIONS = struct("table:string version:string published_at:timestamp")
 
 
@@ -65,10 +68,15 @@ class Warehouse:
 
     def read(self, table: str, schema: T.StructType) -> DataFrame:
         """Current version with an explicit schema; empty if there is none yet."""
-        path = self.current_path(table)
-        if path is None:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(_nullable(schema)).parquet(path)
+        version = self.current_version(table)
+        try:
+            if version is not None:
+                return self.spark.read.schema(_nullable(schema)).parquet(self.version_path(table, version))
+        except AnalysisException as error:
+            # A table that was created and never added to has no files.
+            if version != CREATED or error.getCondition() != "PATH_NOT_FOUND":
+                raise
+        return self.spark.createDataFrame([], _nullable(schema))
 
     def read_published(self, table: str) -> DataFrame:
         """Current version with the schema it was written with."""
@@ -120,12 +128,9 @@ class Warehouse:
         self.mark_published({table: version})
         return written
 
-    def create_if_absent(self, tables: dict[str, T.StructType], partition_by: Sequence[str] = ()) -> None:
-        """Empty tables with these schemas; those that exist are left alone."""
-        absent = [table for table in tables if self.current_version(table) is None]
-        for table in absent:
-            self.write_version(table, self.spark.createDataFrame([], tables[table]), "0", partition_by=partition_by)
-        self.mark_published({table: "0" for table in absent})
+    def create_if_absent(self, tables: Iterable[str]) -> None:
+        """Enter tables without rows; those that exist are left alone."""
+        self.mark_published({table: CREATED for table in tables if self.current_version(table) is None})
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
