@@ -11,7 +11,7 @@ from parity.operator_queries import Query, raw_of
 from tillmart.entities import ENTITIES
 from tillmart.operators.flatten import flatten
 from tillmart.plans.marts import MARTS
-from tillmart.session import pin_semantics
+from tillmart.session import pin_semantics, size_shuffles
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -44,7 +44,8 @@ def _view(name: str) -> Query:
 
 def _pinned(build: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return comparable(build(pin_semantics(spark), sf_dir))
+        size_shuffles(pin_semantics(spark))
+        return comparable(build(spark, sf_dir))
 
     return run
 

@@ -156,3 +156,14 @@ def test_create_if_absent_is_idempotent(warehouse):
     raw_store.create_raw_tables(warehouse)
     assert warehouse.refresh() == versions and len(versions) == 18
     assert raw_store.read_raw(warehouse, ENTITIES["sales"]).count() == 0
+
+
+def test_old_mart_versions_go(warehouse):
+    import os
+
+    for day in (2, 3, 4):
+        pages = [("001", "sales", 1, page(sale(str(day))))]
+        assert go(warehouse, at(day), pages, marts=["sales_order"], keep_versions=2).ok
+    assert len([d for d in os.listdir(warehouse.folder("marts/sales_order")) if d.startswith("v=")]) == 2
+    assert mart(warehouse, "sales_order", "id_order") == [(2,), (3,), (4,)]
+    assert not os.path.isdir(f"{warehouse.root}/_staging") or not os.listdir(f"{warehouse.root}/_staging")

@@ -12,8 +12,9 @@ from tillmart.entities import Entity
 from tillmart.functions.records import name_uuid, shred, to_raw
 from tillmart.operators.merge import changed_records, new_versions
 from tillmart.plans import raw_store
-from tillmart.plans.warehouse import Warehouse
+from tillmart.plans.warehouse import Warehouse, new_version, remove_folder
 from tillmart.schemas import AUDIT, RAW_COLUMNS
+from tillmart.session import scratch_folder
 from tillmart.sources.pages import page_completeness, unnest_pages
 from tillmart.sources.selection import incremental_filter_by_status, project_fields
 
@@ -57,13 +58,15 @@ def load_entity(
     branches: DataFrame,
     status: DataFrame,
     run_ts: datetime,
+    audit_path: str,
     options: LoadOptions = LoadOptions(),
-) -> DataFrame:
-    """Load all branches of an entity in one job and return its audit rows.
+) -> None:
+    """Load all branches of an entity in one job and write its audit rows.
 
-    The rows to add are first written to a staging folder of this run. That settles
-    them for the counts, for the decision which branches failed, and for the append, and
-    none of these goes back to the pages. Loading the same run again adds nothing.
+    The rows to add are first written to a staging folder. That settles them for the
+    counts, for the decision which branches failed, and for the append: none of these
+    goes back to the pages, and a lost executor costs no more than its own tasks.
+    Loading the same run again adds nothing.
     """
     mine = pages.where(F.col("entity") == entity.name).join(branches.select("branch_id"), "branch_id", "left_semi")
     records = project_fields(unnest_pages(mine), entity)
@@ -71,7 +74,8 @@ def load_entity(
         records = incremental_filter_by_status(records, entity, status)
     raw = raw_store.read_raw(warehouse, entity)
 
-    staging = f"{warehouse.root}/_staging/{run_ts:%Y%m%dT%H%M%S%f}/{entity.table}"
+    scratch = scratch_folder(warehouse.spark, f"{warehouse.root}/_staging")
+    staging = f"{scratch}/{entity.table}-{new_version()}"
     staged_rows(records, raw, entity, run_ts, options.on_duplicate).write.mode("overwrite").parquet(staging)
     staged = warehouse.spark.read.parquet(staging)
 
@@ -80,7 +84,9 @@ def load_entity(
     if options.on_reject == "batch":
         good = good.join(failed, "branch_id", "left_anti")
     raw_store.append(warehouse, entity, good)
-    return load_audit(page_completeness(mine), staged, entity, run_ts, options.on_reject)
+    audit = load_audit(page_completeness(mine), staged, entity, run_ts, options.on_reject)
+    audit.coalesce(1).write.mode("overwrite").parquet(audit_path)
+    remove_folder(warehouse.spark, staging)
 
 
 def load_audit(

@@ -19,7 +19,7 @@ from tillmart.plans.raw_store import create_raw_tables, read_raw
 from tillmart.plans.views import register_marts, register_raw_views
 from tillmart.plans.warehouse import Warehouse, new_version
 from tillmart.schemas import AUDIT, BRANCHES, STATUS, STATUS_KEY
-from tillmart.session import pin_semantics
+from tillmart.session import pin_semantics, size_shuffles
 from tillmart.sources.selection import active_branches
 
 BRANCH_TABLE = "config/branches"
@@ -91,15 +91,17 @@ def run(
     strict: bool = True,
     parallelism: int = 4,
     marts: Iterable[str] = MARTS,
+    keep_versions: int = 3,
 ) -> RunReport:
     """Load ``pages`` into the warehouse at ``root`` and rebuild what depends on them.
 
     ``run_ts`` stamps every row of the run; it is UTC if it has no time zone, and it must
-    not go back from run to run. ``marts`` names the marts to rebuild. A run may be repeated with its ``run_ts``: what the
+    not go back from run to run. ``marts`` names the marts to rebuild, of
+    which ``keep_versions`` stay for readers that are still at it. A run may be repeated with its ``run_ts``: what the
     broken attempt added is then found to be there already.
     """
     run_ts = run_ts if run_ts.tzinfo else run_ts.replace(tzinfo=timezone.utc)
-    pin_semantics(spark)
+    size_shuffles(pin_semantics(spark))
     warehouse = Warehouse(spark, root)
     report = RunReport()
     branches = active_branches(warehouse.read(BRANCH_TABLE, BRANCHES))
@@ -113,12 +115,9 @@ def run(
     audit_folder = f"{warehouse.folder(AUDIT_FOLDER)}/run={run_ts:%Y%m%dT%H%M%S%f}"
 
     def load(entity: Entity) -> Callable[[], None]:
-        def job() -> None:
-            audit = load_entity(warehouse, pages, entity, branches, status, run_ts, options)
-            # One folder per run and entity, overwritten if the run is repeated.
-            audit.coalesce(1).write.mode("overwrite").parquet(f"{audit_folder}/table={entity.table}")
-
-        return job
+        # One folder per run and entity, overwritten if the run is repeated.
+        path = f"{audit_folder}/table={entity.table}"
+        return lambda: load_entity(warehouse, pages, entity, branches, status, run_ts, path, options)
 
     # An entity without pages brought nothing. There are 17 names at most.
     landed = {row.entity for row in pages.select("entity").distinct().collect()}
@@ -134,7 +133,9 @@ def run(
         )
         warehouse.publish(STATUS_TABLE, set_last_extraction(status, loaded), new_version(), unique=STATUS_KEY)
     report.view_errors = register_raw_views(warehouse, strict)
+    marts = list(marts)
     report.mart_errors = build_marts(warehouse, marts, strict, parallelism)
+    warehouse.drop_old_versions([mart_table(name) for name in marts] + [STATUS_TABLE], keep_versions)
     register_marts(warehouse)
     return report
 

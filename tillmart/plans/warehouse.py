@@ -13,7 +13,7 @@ from datetime import datetime, timezone
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,6 +96,22 @@ class Warehouse:
         )
         self.refresh()
 
+    def drop_old_versions(self, tables: Iterable[str], keep: int = 3) -> list[str]:
+        """Delete what lies behind the last ``keep`` published versions; returns the paths.
+
+        Only as far back as could have come up since the last few calls, so that the
+        work does not grow with the age of the log.
+        """
+        wanted = list(tables)
+        recent = Window.partitionBy("table").orderBy(F.col("published_at").desc(), F.col("version").desc())
+        ranked = (
+            self.spark.read.schema(_PUBLICATIONS).json(f"{self.root}/_publications")
+            .where(F.col("table").isin(wanted)).withColumn("rank", F.row_number().over(recent))
+        )
+        stale = ranked.where((F.col("rank") > keep) & (F.col("rank") <= keep + 10)).collect()
+        paths = [self.version_path(row.table, row.version) for row in stale]
+        return [path for path in paths if remove_folder(self.spark, path)]
+
     def write_version(
         self,
         table: str,
@@ -133,6 +149,12 @@ class Warehouse:
         self.mark_published({table: CREATED for table in tables if self.current_version(table) is None})
 
 
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder on whatever file system it is; False if there was none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def _nullable(schema: T.StructType) -> T.StructType:
     """File sources read every column as nullable."""
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])

@@ -40,3 +40,20 @@ def pin_semantics(spark: SparkSession) -> SparkSession:
     for key, value in SEMANTICS.items():
         spark.conf.set(key, value)
     return spark
+
+
+def size_shuffles(spark: SparkSession) -> None:
+    """Start shuffles with three partitions per core where the setting is below one.
+
+    AQE merges small partitions but does not cut up those of a window, so on a large
+    cluster the number to start from must grow with it.
+    """
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    cores = spark.sparkContext.defaultParallelism
+    if spark.conf.get(key, None) is None and int(spark.conf.get("spark.sql.shuffle.partitions")) < cores:
+        spark.conf.set(key, str(3 * cores))
+
+
+def scratch_folder(spark: SparkSession, otherwise: str) -> str:
+    """Folder all executors share for intermediate tables: the cluster's, if it names one."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or otherwise).rstrip("/")
