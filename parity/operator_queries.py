@@ -24,7 +24,7 @@ from tillmart.operators.merge import (
     set_last_extraction,
     upsert_latest,
 )
-from tillmart.plans.load import load_audit, staged_rows
+from tillmart.plans.load import load_audit, staged_changes
 from tillmart.plans.marts import payments_with_sale, payments_without_sale, sales_order_line
 from tillmart.schemas import CONTRACTS, struct
 from tillmart.sources.pages import page_completeness, unnest_pages
@@ -388,7 +388,7 @@ def load_audit_of_sales(spark, sf_dir):
         .agg(F.concat_ws(",", F.collect_list("record")).alias("_body"))
         .select("branch_id", F.lit("sales").alias("entity"), "page_no", F.concat(F.lit('{"data":['), "_body", F.lit("]}")).alias("body"))
     )
-    staged = staged_rows(unnest_pages(pages), raw, SALES, run_ts)
+    staged = staged_changes(unnest_pages(pages), raw, SALES, run_ts)
     return load_audit(page_completeness(pages), staged, SALES, run_ts)
 
 

@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import at, item, payment, sale
+from conftest import as_text, at, item, payment, sale
 
 from tillmart.entities import ENTITIES
 from tillmart.functions.records import shred
@@ -11,8 +11,10 @@ from tillmart.operators.checks import unique_violations
 from tillmart.operators.dedupe import latest_per_key
 from tillmart.operators.flatten import flatten
 from tillmart.operators.merge import changed_records, new_versions
+from tillmart.plans.load import staged_changes, with_payload
 from tillmart.plans.marts import MARTS, payments, sales_order, sales_order_line
 from tillmart.plans.raw_store import stored_schema
+from tillmart.schemas import RECORDS
 
 
 def plan_of(df) -> str:
@@ -139,3 +141,33 @@ def test_every_mart_has_one_shuffle_at_most(raw):
         if mart.entity is not None:
             plan = plan_of(mart.build(raw(mart.entity, ("b", at(1), 0, {"id": "1"}))))
             assert plan.count("Exchange hashpartitioning") == 1
+
+
+def exchange_inputs(df) -> list[str]:
+    """Columns that go into each shuffle."""
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = df._jdf.queryExecution().explainString(mode)
+    return re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*?)\]\n", text)
+
+
+@pytest.mark.parametrize("name, record", [("items", item("2")), ("sales", sale("2"))])
+def test_finding_changes_shuffles_no_payload(spark, stored, name, record):
+    records = spark.createDataFrame([("b", 1, as_text(record))], RECORDS)
+    changes = staged_changes(records, stored(name), ENTITIES[name], at(3))
+    inputs = exchange_inputs(changes)
+    assert len(inputs) == 2
+    assert not any("payload#" in columns or "record#" in columns or "doc#" in columns for columns in inputs)
+
+
+def test_few_changes_are_broadcast_to_the_records(spark, stored, tmp_path):
+    """Without a hint: the written changes are small, so their size allows it."""
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    records = spark.createDataFrame([("b", 1, as_text(item("2")))], RECORDS)
+    path = str(tmp_path / "changes")
+    staged_changes(records, stored("items"), ENTITIES["items"], at(3)).write.parquet(path)
+    plan = plan_of(with_payload(spark.read.parquet(path), records))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = plan_of(with_payload(spark.read.parquet(path), records))
+    # The choice of one row per address uses the partitioning of the join.
+    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 2

@@ -167,3 +167,34 @@ def test_old_mart_versions_go(warehouse):
     assert len([d for d in os.listdir(warehouse.folder("marts/sales_order")) if d.startswith("v=")]) == 2
     assert mart(warehouse, "sales_order", "id_order") == [(2,), (3,), (4,)]
     assert not os.path.isdir(f"{warehouse.root}/_staging") or not os.listdir(f"{warehouse.root}/_staging")
+
+
+def test_page_number_used_twice_in_a_load(warehouse):
+    """Two extractions landed together: every content is kept once, none is mixed up."""
+    pages = [
+        ("001", "items", 1, page(item("1"), item("2"))),
+        ("001", "items", 1, page(item("1", price=11), item("2"))),
+    ]
+    assert go(warehouse, at(2), pages, marts=[]).ok
+    log = raw_store.read_log(warehouse, ENTITIES["items"])
+    assert rows_of(log, "source_id", F.get_json_object("payload", "$.attributes.price")) == [
+        ("1", "10.0"), ("1", "11"), ("2", "10.0")
+    ]
+
+
+def test_load_that_breaks_off_is_noted(warehouse, monkeypatch):
+    from tillmart.plans import run as run_module
+
+    real = run_module.load_entity
+
+    def broken(warehouse, pages, entity, *rest):
+        if entity.name == "items":
+            raise RuntimeError("disk gone")
+        return real(warehouse, pages, entity, *rest)
+
+    monkeypatch.setattr(run_module, "load_entity", broken)
+    report = go(warehouse, at(2), [("001", "items", 1, page(item("1"))), ("001", "sales", 1, page(sale("1")))], marts=["sales_order"])
+    assert report.load_errors == {"items": "RuntimeError: disk gone"}
+    assert rows_of(read_audit(warehouse), "branch_id", "entity", "status") == [("001", "sales", "LOADED"), (None, "items", "FAILED")]
+    assert rows_of(warehouse.read(STATUS_TABLE, STATUS), "entity") == [("sales",)]
+    assert mart(warehouse, "sales_order", "id_order") == [(1,)]

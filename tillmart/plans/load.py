@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.entities import Entity
-from tillmart.functions.records import name_uuid, shred, to_raw
+from tillmart.functions.payload import computed_once
+from tillmart.functions.records import name_uuid, payload_checksum, shred, to_raw
+from tillmart.operators.dedupe import first_per_key
 from tillmart.operators.merge import changed_records, new_versions
 from tillmart.plans import raw_store
 from tillmart.plans.warehouse import Warehouse, new_version, remove_folder
@@ -29,15 +31,16 @@ class LoadOptions:
     incremental: bool = False
 
 
-def staged_rows(
+def staged_changes(
     records: DataFrame, raw: DataFrame, entity: Entity, run_ts: datetime, on_duplicate: str = "last"
 ) -> DataFrame:
-    """What a batch adds to the raw table, with ``action``, and its rejects.
+    """What a batch adds to the raw table, with ``action``, and its rejects; no payloads.
 
-    Rejects get a key of their own, which equals no other, and so ride along through
-    the merge: the pages are read and parsed once.
+    Most records of a full reload are known, so what is shuffled to find that out is
+    ids and checksums only. Rejects get a key of their own, which equals no other, and
+    so ride along through the merge: the pages are read and parsed once for both.
     """
-    rows = to_raw(records, entity, run_ts)
+    rows = to_raw(records, entity, run_ts).drop("payload")
     rejected = F.col("reject_reason").isNotNull()
     own_key = name_uuid(F.lit("reject"), F.col("branch_id"), F.col("ingest_seq").cast("string"))
     batch = rows.withColumn("source_id", F.when(rejected, own_key).otherwise(F.col("source_id"))).withColumn(
@@ -48,7 +51,22 @@ def staged_rows(
     else:
         delta = new_versions(raw, batch).withColumn("action", F.lit("insert"))
     action = F.when(rejected, "reject").otherwise(F.col("action"))
-    return shred(delta.select(*RAW_COLUMNS, action.alias("action"), "reject_reason"), entity)
+    envelope = [c for c in RAW_COLUMNS if c != "payload"]
+    return delta.select(*envelope, action.alias("action"), "reject_reason")
+
+
+def with_payload(changes: DataFrame, records: DataFrame) -> DataFrame:
+    """Raw rows: the changes and, from the records they came from, the payloads.
+
+    The changes are a written table, so Spark knows their size: few of them are
+    broadcast and the records stay where they are, many are joined by a shuffle.
+    The checksum is compared too, in case a page number was used twice in a load.
+    """
+    address = ["branch_id", "ingest_seq"]
+    found = records.select(*address, F.col("record").alias("payload")).join(changes, address)
+    parsed = computed_once(found, "_v", F.try_parse_json("payload"))
+    same = parsed.where(payload_checksum(F.col("_v")) == F.col("payload_checksum"))
+    return first_per_key(same.select(*RAW_COLUMNS), address + ["payload_checksum"])
 
 
 def load_entity(
@@ -61,12 +79,11 @@ def load_entity(
     audit_path: str,
     options: LoadOptions = LoadOptions(),
 ) -> None:
-    """Load all branches of an entity in one job and write its audit rows.
+    """Load all branches of an entity together and write its audit rows.
 
-    The rows to add are first written to a staging folder. That settles them for the
-    counts, for the decision which branches failed, and for the append: none of these
-    goes back to the pages, and a lost executor costs no more than its own tasks.
-    Loading the same run again adds nothing.
+    The changes are first written to a staging folder. That settles them for the counts,
+    for the decision which branches failed, and for the append, and a lost executor
+    costs no more than its own tasks. Loading the same run again adds nothing.
     """
     mine = pages.where(F.col("entity") == entity.name).join(branches.select("branch_id"), "branch_id", "left_semi")
     records = project_fields(unnest_pages(mine), entity)
@@ -76,14 +93,14 @@ def load_entity(
 
     scratch = scratch_folder(warehouse.spark, f"{warehouse.root}/_staging")
     staging = f"{scratch}/{entity.table}-{new_version()}"
-    staged_rows(records, raw, entity, run_ts, options.on_duplicate).write.mode("overwrite").parquet(staging)
+    staged_changes(records, raw, entity, run_ts, options.on_duplicate).write.mode("overwrite").parquet(staging)
     staged = warehouse.spark.read.parquet(staging)
 
     failed = staged.where("action = 'reject'").select("branch_id").distinct()
     good = staged.where("action <> 'reject'")
     if options.on_reject == "batch":
         good = good.join(failed, "branch_id", "left_anti")
-    raw_store.append(warehouse, entity, good)
+    raw_store.append(warehouse, entity, shred(with_payload(good, records), entity))
     audit = load_audit(page_completeness(mine), staged, entity, run_ts, options.on_reject)
     audit.coalesce(1).write.mode("overwrite").parquet(audit_path)
     remove_folder(warehouse.spark, staging)
@@ -94,7 +111,7 @@ def load_audit(
 ) -> DataFrame:
     """One row per branch: records extracted, what became of them, and the outcome.
 
-    ``pages`` is the page summary, ``staged`` the staged rows. Records that were held
+    ``pages`` is the page summary, ``staged`` the staged changes. Records that were held
     already, or came twice in the batch, count as unchanged.
     """
     counts = staged.groupBy("branch_id").agg(

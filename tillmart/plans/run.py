@@ -96,9 +96,9 @@ def run(
     """Load ``pages`` into the warehouse at ``root`` and rebuild what depends on them.
 
     ``run_ts`` stamps every row of the run; it is UTC if it has no time zone, and it must
-    not go back from run to run. ``marts`` names the marts to rebuild, of
-    which ``keep_versions`` stay for readers that are still at it. A run may be repeated with its ``run_ts``: what the
-    broken attempt added is then found to be there already.
+    not go back from run to run. A run may be repeated with its ``run_ts``: what the
+    broken attempt added is then found to be there already. ``marts`` names the marts to
+    rebuild, of which ``keep_versions`` stay for readers that are still at it.
     """
     run_ts = run_ts if run_ts.tzinfo else run_ts.replace(tzinfo=timezone.utc)
     size_shuffles(pin_semantics(spark))
@@ -123,6 +123,8 @@ def run(
     landed = {row.entity for row in pages.select("entity").distinct().collect()}
     jobs = {name: load(entity) for name, entity in ENTITIES.items() if name in landed}
     report.load_errors = _attempt(spark, jobs, parallelism)
+    if report.load_errors:
+        _note_errors(spark, audit_folder, run_ts, report.load_errors)
 
     if len(report.load_errors) < len(jobs):
         finished = datetime.now(timezone.utc)
@@ -140,6 +142,12 @@ def run(
     return report
 
 
+def _note_errors(spark: SparkSession, audit_folder: str, run_ts: datetime, errors: dict[str, str]) -> None:
+    """Audit rows of entities whose load broke off for all branches."""
+    rows = [(run_ts, None, entity, None, None, None, None, None, "FAILED", error) for entity, error in errors.items()]
+    spark.createDataFrame(rows, AUDIT).coalesce(1).write.mode("overwrite").parquet(f"{audit_folder}/table=_errors")
+
+
 def _audit_rows(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(AUDIT).option("recursiveFileLookup", True).parquet(folder)
 
