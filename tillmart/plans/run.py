@@ -92,13 +92,15 @@ def run(
     parallelism: int = 4,
     marts: Iterable[str] = MARTS,
     keep_versions: int = 3,
+    register: bool = True,
 ) -> RunReport:
     """Load ``pages`` into the warehouse at ``root`` and rebuild what depends on them.
 
     ``run_ts`` stamps every row of the run; it is UTC if it has no time zone, and it must
     not go back from run to run. A run may be repeated with its ``run_ts``: what the
     broken attempt added is then found to be there already. ``marts`` names the marts to
-    rebuild, of which ``keep_versions`` stay for readers that are still at it.
+    rebuild, of which ``keep_versions`` stay for readers that are still at it. With
+    ``register`` this session knows all views and marts by name afterwards.
     """
     run_ts = run_ts if run_ts.tzinfo else run_ts.replace(tzinfo=timezone.utc)
     size_shuffles(pin_semantics(spark))
@@ -134,11 +136,13 @@ def run(
             .select("branch_id", "entity", F.lit(finished).cast("timestamp").alias("last_successful_extraction"))
         )
         warehouse.publish(STATUS_TABLE, set_last_extraction(status, loaded), new_version(), unique=STATUS_KEY)
-    report.view_errors = register_raw_views(warehouse, strict)
+    if register:
+        report.view_errors = register_raw_views(warehouse, strict)
     marts = list(marts)
     report.mart_errors = build_marts(warehouse, marts, strict, parallelism)
     warehouse.drop_old_versions([mart_table(name) for name in marts] + [STATUS_TABLE], keep_versions)
-    register_marts(warehouse)
+    if register:
+        register_marts(warehouse)
     return report
 
 

@@ -38,7 +38,7 @@ def follow_pages(
     marts = list(marts)
 
     def load(batch: DataFrame, _: int) -> None:
-        report = run(batch.sparkSession, batch, root, datetime.now(timezone.utc), options, marts=marts)
+        report = run(batch.sparkSession, batch, root, datetime.now(timezone.utc), options, marts=marts, register=False)
         if reports is not None:
             reports.append(report)
         if report.load_errors:
