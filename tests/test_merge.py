@@ -1,7 +1,5 @@
 """Merges into raw, status and configuration tables."""
 
-import datetime as dt
-
 import pytest
 from conftest import at, item, rows_of, sale
 from pyspark.sql import functions as F

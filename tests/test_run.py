@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tillmart.entities import ENTITIES
 from tillmart.plans import raw_store
-from tillmart.plans.load import LoadOptions
+from tillmart.plans.load import LoadOptions, read_rejects
 from tillmart.plans.marts import MARTS
 from tillmart.plans.run import BRANCH_TABLE, STATUS_TABLE, build_marts, read_audit, run
 from tillmart.plans.views import open_warehouse
@@ -98,6 +98,9 @@ def test_bad_record_fails_its_branch_or_itself(warehouse, on_reject, kept):
     log = raw_store.read_log(warehouse, ENTITIES["items"])
     assert rows_of(log.where("branch_id = '001'"), "source_id") == kept
     assert rows_of(log.where("branch_id = 'b2'"), "source_id") == [("5",)]
+    assert rows_of(read_rejects(warehouse, ENTITIES["items"]), "branch_id", "page_no", "pos", "reject_reason") == [
+        ("001", 1, 1, "null_id")
+    ]
     status = {r[0]: r[-1] for r in audit_of(warehouse, at(2))}
     assert status == {"001": "FAILED" if on_reject == "batch" else "LOADED", "b2": "LOADED"}
 
@@ -193,8 +196,11 @@ def test_load_that_breaks_off_is_noted(warehouse, monkeypatch):
         return real(warehouse, pages, entity, *rest)
 
     monkeypatch.setattr(run_module, "load_entity", broken)
-    report = go(warehouse, at(2), [("001", "items", 1, page(item("1"))), ("001", "sales", 1, page(sale("1")))], marts=["sales_order"])
-    assert report.load_errors == {"items": "RuntimeError: disk gone"}
-    assert rows_of(read_audit(warehouse), "branch_id", "entity", "status") == [("001", "sales", "LOADED"), (None, "items", "FAILED")]
+    pages = [("001", "items", 1, page(item("1"))), ("001", "sales", 1, page(sale("1"))), ("001", "coupons", 1, page())]
+    report = go(warehouse, at(2), pages, marts=["sales_order"])
+    assert report.load_errors.keys() == {"items", "unknown"} and report.load_errors["items"] == "RuntimeError: disk gone"
+    assert rows_of(read_audit(warehouse), "branch_id", "entity", "status") == [
+        ("001", "sales", "LOADED"), (None, "items", "FAILED"), (None, "unknown", "FAILED")
+    ]
     assert rows_of(warehouse.read(STATUS_TABLE, STATUS), "entity") == [("sales",)]
     assert mart(warehouse, "sales_order", "id_order") == [(1,)]

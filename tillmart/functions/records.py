@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.entities import Entity
-from tillmart.functions.payload import computed_once, with_doc, with_trees
+from tillmart.functions.payload import computed_once, with_parsed_payload
 from tillmart.schemas import RAW_COLUMNS
 
 
@@ -98,5 +98,4 @@ def accepted(rows: DataFrame) -> DataFrame:
 
 def shred(raw: DataFrame, entity: Entity) -> DataFrame:
     """Raw rows with their leaves and subtrees as columns, the form that is stored."""
-    paths = ["id"] + [f.path for f in entity.leaves]
-    return with_trees(with_doc(raw, paths), entity.subtrees)
+    return with_parsed_payload(raw, entity)

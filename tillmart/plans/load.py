@@ -15,12 +15,15 @@ from tillmart.operators.dedupe import first_per_key
 from tillmart.operators.merge import changed_records, new_versions
 from tillmart.plans import raw_store
 from tillmart.plans.warehouse import Warehouse, new_version, remove_folder
-from tillmart.schemas import AUDIT, RAW_COLUMNS
+from tillmart.schemas import AUDIT, RAW_COLUMNS, REJECTS
 from tillmart.session import scratch_folder
 from tillmart.sources.pages import page_completeness, unnest_pages
 from tillmart.sources.selection import incremental_filter_by_status, project_fields
 
 
+REJECT_FOLDER = "rejects"
+
+
 @dataclass(frozen=True)
 class LoadOptions:
     # "batch": a bad record fails the whole load of its branch; "row": only itself.
@@ -103,9 +106,25 @@ def load_entity(
     raw_store.append(warehouse, entity, shred(with_payload(good, records), entity))
     audit = load_audit(page_completeness(mine), staged, entity, run_ts, options.on_reject)
     audit.coalesce(1).write.mode("overwrite").parquet(audit_path)
+    rejects = staged.where("action = 'reject'")
+    if not rejects.isEmpty():
+        rejects.select(*REJECTS.fieldNames()).write.mode("append").parquet(f"{warehouse.folder(REJECT_FOLDER)}/{entity.table}")
     remove_folder(warehouse.spark, staging)
 
 
+def read_rejects(warehouse: Warehouse, entity: Entity) -> DataFrame:
+    """Where the records that were not loaded lie in their pages, and why not."""
+    rows = warehouse.spark.read.schema(REJECTS).parquet(f"{warehouse.folder(REJECT_FOLDER)}/{entity.table}")
+    page = F.shiftright("ingest_seq", 32).cast("int")
+    return rows.select(
+        F.col("extracted_at").alias("run_ts"),
+        "branch_id",
+        page.alias("page_no"),
+        (F.col("ingest_seq") - F.shiftleft(page.cast("bigint"), 32)).cast("int").alias("pos"),
+        "reject_reason",
+    )
+
+
 def load_audit(
     pages: DataFrame, staged: DataFrame, entity: Entity, run_ts: datetime, on_reject: str = "batch"
 ) -> DataFrame:

@@ -121,14 +121,17 @@ def run(
         path = f"{audit_folder}/table={entity.table}"
         return lambda: load_entity(warehouse, pages, entity, branches, status, run_ts, path, options)
 
-    # An entity without pages brought nothing. There are 17 names at most.
-    landed = {row.entity for row in pages.select("entity").distinct().collect()}
+    # An entity without pages brought nothing. Names that are none of ours are reported.
+    known = F.when(F.col("entity").isin(*ENTITIES), F.col("entity")).otherwise("unknown")
+    landed = {row.name for row in pages.select(known.alias("name")).distinct().collect()}
     jobs = {name: load(entity) for name, entity in ENTITIES.items() if name in landed}
     report.load_errors = _attempt(spark, jobs, parallelism)
+    if "unknown" in landed:
+        report.load_errors["unknown"] = "there are pages of entities that are not known"
     if report.load_errors:
         _note_errors(spark, audit_folder, run_ts, report.load_errors)
 
-    if len(report.load_errors) < len(jobs):
+    if any(name not in report.load_errors for name in jobs):
         finished = datetime.now(timezone.utc)
         loaded = (
             _audit_rows(spark, audit_folder)

@@ -26,14 +26,10 @@ _TYPES = {
     "timestamp": T.TimestampType(),
 }
 
-PAGES = struct(
-    "branch_id:string entity:string page_no:int body:string",
-)
+PAGES = struct("branch_id:string entity:string page_no:int body:string")
 
 # One record of one page. ingest_seq keeps the order of arrival inside a load.
-RECORDS = struct(
-    "branch_id:string ingest_seq:bigint record:string",
-)
+RECORDS = struct("branch_id:string ingest_seq:bigint record:string")
 
 RAW = struct(
     "source_id:string branch_id:string extracted_at:timestamp payload:string"
@@ -63,6 +59,8 @@ AUDIT = struct(
     " updated:bigint unchanged:bigint rejected:bigint status:string detail:string",
 )
 
+REJECTS = struct("extracted_at:timestamp branch_id:string ingest_seq:bigint reject_reason:string")
+
 
 @dataclass(frozen=True)
 class Contract:
