@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 
 from tillmart.entities import ENTITIES
 from tillmart.schemas import BRANCHES, PAGES, STATUS
-from tillmart.sources.pages import page_completeness, read_page_files, read_page_lines, read_page_parquet, unnest_pages
+from tillmart.sources.pages import (
+    page_completeness,
+    read_page_files,
+    read_page_lines,
+    read_page_parquet,
+    split_by_entity,
+    unnest_pages,
+)
 from tillmart.sources.selection import active_branches, incremental_filter, incremental_filter_by_status, project_fields
 
 
@@ -74,6 +81,20 @@ def test_readers_agree(spark, tmp_path):
     assert rows_of(unnest_pages(from_lines), "*") == expected == rows_of(unnest_pages(packed), "*")
 
 
+def test_pages_by_entity_are_pruned(spark, tmp_path):
+    folder = tmp_path / "lines" / "entity=items"
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_text(json.dumps({"branch_id": "b", "page_no": 1, "body": {"data": [item("1")]}}))
+    landed = read_page_lines(spark, str(tmp_path / "lines"))
+    assert rows_of(landed, "branch_id", "entity", "page_no") == [("b", "items", 1)]
+    mixed = pages_of(spark, ("b", "items", 1, page(item("1"))), ("b", "sales", 1, page(sale("1"))), ("c", "sales", 1, "x"))
+    split = split_by_entity(mixed, str(tmp_path / "split"))
+    assert rows_of(split, *PAGES.fieldNames()) == rows_of(mixed, *PAGES.fieldNames())
+    for pages in (landed, split):
+        plan = pages.where("entity = 'items'")._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(entity" in plan
+
+
 def test_active_branches(spark):
     config = spark.createDataFrame([("a", "s1", "A", True, None, None), ("b", "s2", "B", False, None, None)], BRANCHES)
     assert rows_of(active_branches(config), "*") == [("a", "s1", "A")]

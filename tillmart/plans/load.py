@@ -87,6 +87,9 @@ def load_entity(
     The changes are first written to a staging folder. That settles them for the counts,
     for the decision which branches failed, and for the append, and a lost executor
     costs no more than its own tasks. Loading the same run again adds nothing.
+
+    The entity's pages are read three times (changes, payloads of changes, page counts),
+    so they should lie apart from those of other entities.
     """
     mine = pages.where(F.col("entity") == entity.name).join(branches.select("branch_id"), "branch_id", "left_semi")
     records = project_fields(unnest_pages(mine), entity)
@@ -99,22 +102,24 @@ def load_entity(
     staged_changes(records, raw, entity, run_ts, options.on_duplicate).write.mode("overwrite").parquet(staging)
     staged = warehouse.spark.read.parquet(staging)
 
-    failed = staged.where("action = 'reject'").select("branch_id").distinct()
-    good = staged.where("action <> 'reject'")
-    if options.on_reject == "batch":
-        good = good.join(failed, "branch_id", "left_anti")
+    rejects, good = staged.where("action = 'reject'"), staged.where("action <> 'reject'")
+    if not rejects.isEmpty():
+        path = f"{warehouse.folder(REJECT_FOLDER)}/{entity.table}/load={new_version()}"
+        rejects.select(*REJECTS.fieldNames()).write.parquet(path)
+        if options.on_reject == "batch":
+            # Read back from its own small files, whose size Spark knows.
+            failed = warehouse.spark.read.schema(REJECTS).parquet(path).select("branch_id").distinct()
+            good = good.join(failed, "branch_id", "left_anti")
     raw_store.append(warehouse, entity, shred(with_payload(good, records), entity))
     audit = load_audit(page_completeness(mine), staged, entity, run_ts, options.on_reject)
     audit.coalesce(1).write.mode("overwrite").parquet(audit_path)
-    rejects = staged.where("action = 'reject'")
-    if not rejects.isEmpty():
-        rejects.select(*REJECTS.fieldNames()).write.mode("append").parquet(f"{warehouse.folder(REJECT_FOLDER)}/{entity.table}")
     remove_folder(warehouse.spark, staging)
 
 
 def read_rejects(warehouse: Warehouse, entity: Entity) -> DataFrame:
     """Where the records that were not loaded lie in their pages, and why not."""
-    rows = warehouse.spark.read.schema(REJECTS).parquet(f"{warehouse.folder(REJECT_FOLDER)}/{entity.table}")
+    folder = f"{warehouse.folder(REJECT_FOLDER)}/{entity.table}"
+    rows = warehouse.spark.read.schema(REJECTS).option("recursiveFileLookup", True).parquet(folder)
     page = F.shiftright("ingest_seq", 32).cast("int")
     return rows.select(
         F.col("extracted_at").alias("run_ts"),

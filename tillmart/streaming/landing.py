@@ -11,7 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 from tillmart.plans.load import LoadOptions
 from tillmart.plans.marts import MARTS
 from tillmart.plans.run import RunReport, run
+from tillmart.plans.warehouse import new_version, remove_folder
 from tillmart.schemas import PAGES
+from tillmart.session import scratch_folder
+from tillmart.sources.pages import split_by_entity
 
 
 class LoadFailed(Exception):
@@ -34,11 +37,16 @@ def follow_pages(
     files only. A batch that broke off is loaded again: rows that it had added already
     are found to be there, so nothing is added twice.
     """
-    checkpoint = checkpoint or f"{root.rstrip('/')}/_checkpoints/landing"
+    root = root.rstrip("/")
+    checkpoint = checkpoint or f"{root}/_checkpoints/landing"
     marts = list(marts)
 
     def load(batch: DataFrame, _: int) -> None:
-        report = run(batch.sparkSession, batch, root, datetime.now(timezone.utc), options, marts=marts, register=False)
+        # A batch would be read from its files again for every use, so it is split once.
+        mixed = f"{scratch_folder(spark, f'{root}/_staging')}/pages-{new_version()}"
+        pages = split_by_entity(batch, mixed)
+        report = run(batch.sparkSession, pages, root, datetime.now(timezone.utc), options, marts=marts, register=False)
+        remove_folder(spark, mixed)
         if reports is not None:
             reports.append(report)
         if report.load_errors:
