@@ -7,12 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillmart.llm.bpe_tree import encode_decode
 from tillmart.llm.common import table
 from tillmart.llm.exact_dedup import exact_duplicates
 from tillmart.llm.simhash_trie import near_duplicates
 from tillmart.llm.source_mix import mixture
 
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Where a public tokenizer's file is on the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = encode_decode(table(spark, sf_dir, "documents"), tokenizer_path())
+    return found.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -27,6 +48,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bpe": op2_bpe,
     "op3_source_mix": op3_source_mix,
     "op6_simhash": op6_simhash,
     "op7_exact_dedup": op7_exact_dedup,
