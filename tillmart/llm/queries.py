@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillmart.llm.bpe_tree import encode_decode
 from tillmart.llm.common import table
 from tillmart.llm.exact_dedup import exact_duplicates
+from tillmart.llm.language_id import held_out, identify
 from tillmart.llm.simhash_trie import near_duplicates
 from tillmart.llm.source_mix import mixture
 
@@ -38,6 +39,11 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identify(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -50,6 +56,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_source_mix": op3_source_mix,
+    "op4_language_id": op4_language_id,
     "op6_simhash": op6_simhash,
     "op7_exact_dedup": op7_exact_dedup,
 }
