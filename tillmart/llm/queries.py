@@ -41,7 +41,7 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = identify(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+    return found.select("document.doc_id", held_out(F.col("document.doc_id")).alias("held_out"), "lang_pred", "score")
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
