@@ -11,8 +11,10 @@ from tillmart.llm.bpe_tree import encode_decode
 from tillmart.llm.common import table
 from tillmart.llm.exact_dedup import exact_duplicates
 from tillmart.llm.language_id import held_out, identify
+from tillmart.llm.secret_index import BASE, MORE, digest, find_secrets
 from tillmart.llm.simhash_trie import near_duplicates
 from tillmart.llm.source_mix import mixture
+from tillmart.llm.syncmers import as_text, edited_fingerprints
 
 
 TOKENIZER = "word_bpe_49k.json"
@@ -53,12 +55,35 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = edited_fingerprints(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+        as_text(F.col("anchors")).alias("fingerprint"),
+        as_text(F.col("edited_anchors")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("found", lambda s: s["kind"] < len(BASE))
+    kinds = F.transform("found", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, n))).cast("long").alias(f"n_{rule.kind}") for n, rule in enumerate(BASE)]
+    return found.select("doc_id", *counts, F.sha2(digest(base, BASE), 256).alias("base_sha256"), digest(F.col("found"), BASE + MORE).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_source_mix": op3_source_mix,
     "op4_language_id": op4_language_id,
     "op6_simhash": op6_simhash,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_syncmers": op8_syncmers,
+    "op10_secrets": op10_secrets,
 }
 
 
