@@ -11,6 +11,7 @@ from tillmart.llm.bpe_tree import encode_decode
 from tillmart.llm.common import table
 from tillmart.llm.exact_dedup import exact_duplicates
 from tillmart.llm.language_id import held_out, identify
+from tillmart.llm.link_graph import judge
 from tillmart.llm.secret_index import BASE, MORE, digest, find_secrets
 from tillmart.llm.simhash_trie import near_duplicates
 from tillmart.llm.source_mix import mixture
@@ -68,6 +69,10 @@ def op8_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(table(spark, sf_dir, "documents"))
     base = F.filter("found", lambda s: s["kind"] < len(BASE))
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_syncmers": op8_syncmers,
+    "op9_link_graph": op9_link_graph,
     "op10_secrets": op10_secrets,
 }
 
