@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from tillmart.llm.bpe_tree import encode_decode
 from tillmart.llm.common import table
 from tillmart.llm.exact_dedup import exact_duplicates
+from tillmart.llm.html_paths import extract
 from tillmart.llm.language_id import held_out, identify
 from tillmart.llm.link_graph import judge
 from tillmart.llm.secret_index import BASE, MORE, digest, find_secrets
 from tillmart.llm.simhash_trie import near_duplicates
 from tillmart.llm.source_mix import mixture
 from tillmart.llm.syncmers import as_text, edited_fingerprints
+from tillmart.llm.toxicity import toxicity
 
 
 TOKENIZER = "word_bpe_49k.json"
@@ -28,6 +30,11 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_html_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = encode_decode(table(spark, sf_dir, "documents"), tokenizer_path())
     return found.select(
@@ -47,6 +54,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("document.doc_id", held_out(F.col("document.doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
+    found = toxicity(table(spark, sf_dir, "documents"), labels)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -82,9 +95,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_paths": op1_html_paths,
     "op2_bpe": op2_bpe,
     "op3_source_mix": op3_source_mix,
     "op4_language_id": op4_language_id,
+    "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_syncmers": op8_syncmers,
