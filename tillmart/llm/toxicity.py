@@ -83,8 +83,8 @@ class CharacterModel:
     def __init__(self, counts: np.ndarray):
         two, one = counts.sum(axis=0), counts.sum(axis=(0, 1))
         p1 = (one + 1) / (one.sum() + STATES)
-        p2 = (two + 5 * p1) / (two.sum(axis=1, keepdims=True) + 5)
-        p3 = (counts + 5 * p2) / (counts.sum(axis=2, keepdims=True) + 5)
+        p2 = (two + p1) / (two.sum(axis=1, keepdims=True) + 1)
+        p3 = (counts + p2) / (counts.sum(axis=2, keepdims=True) + 1)
         p3[:, 0, :] = p2[0]  # what came before a word does not bear on it
         self.log = np.log(p3).tolist()
         self.number = {letter: n for n, letter in enumerate(LETTERS, 1)}
