@@ -17,6 +17,7 @@ Tokenizer files are read where Spark puts them: their path is added to the sessi
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections.abc import Iterator
 from functools import cached_property
@@ -29,9 +30,15 @@ from pyspark.sql import functions as F
 
 
 LONG = 1 << 15  # code points from which a text, and bytes from which a pre-token, is halved
-CACHE = 1 << 19  # words whose encodings a task holds
+CACHE = 1 << 18  # words, and as many pre-tokens, whose encodings a task holds
 ROWS = 256  # rows in a batch of output
 
+# Fixed value: the pattern by which word_bpe_49k.json cuts text into pre-tokens, and what it comes to for ASCII in lower case.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+ASCII_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+
+CONTROL = re.compile(rb"[\x00-\x20\x7f]")  # other characters of ASCII are themselves as byte symbols
+
 PARTS = "part int, piece int, last boolean, body string"
 
 
@@ -39,22 +46,44 @@ class Codec:
     """Encodes and decodes with one tokenizer of the ``tokenizers`` library, in one task."""
 
     def __init__(self, spec: str):
+        # Spark has a task on every core already; threads of the library would only take memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_str(spec)
         self.whole.no_truncation()
         self.whole.no_padding()
-        self.model = json.loads(spec)["model"]
-        self.suffix = self.model.get("end_of_word_suffix") or ""
-        self.texts = {i: t for t, i in self.model["vocab"].items()}
+        form = json.loads(spec)
+        self.vocab, self.merges = form["model"]["vocab"], [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in form["model"]["merges"]]
+        self.suffix = form["model"].get("end_of_word_suffix") or ""
+        self.plain = self._cuts_ascii(form)
         self.added = {t.content: i for i, t in self.whole.get_added_tokens_decoder().items()}
         self.words: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _cuts_ascii(self, form: dict) -> bool:
+        """Whether ASCII_SPLIT of the lower-case text gives the pre-tokens of a word in ASCII."""
+        steps = (form.get("normalizer") or {}).get("normalizers", [])
+        cuts = (form.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        split = {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True}
+        bytes_only = {"add_prefix_space": False, "use_regex": False}
+        return (
+            [s["type"] for s in steps] == ["NFC", "Replace", "Lowercase"]
+            and steps[1]["pattern"] == {"Regex": r"\s+"}
+            and len(cuts) == 2
+            and cuts[0] == split
+            and cuts[1]["type"] == "ByteLevel"
+            and bytes_only.items() <= cuts[1].items()
+        )
+
+    @cached_property
+    def texts(self) -> dict[int, str]:
+        return {i: t for t, i in self.vocab.items()}
 
     def _bpe(self, **more: str):
         from tokenizers.models import BPE
 
-        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in self.model["merges"]]
-        return BPE(vocab=self.model["vocab"], merges=merges, **more)
+        return BPE(vocab=self.vocab, merges=self.merges, **more)
 
     @cached_property
     def inner(self):
@@ -77,19 +106,37 @@ class Codec:
 
     def packed(self, text: bytes) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers. Words recur, so each is encoded once."""
-        known, out = self.words, []
+        known = self.words
         words = text.split()
-        missing = [w for w in set(words) if w not in known]
+        missing = set(words).difference(known)
         if len(known) + len(missing) > CACHE:
             known.clear()
-            missing = list(set(words))
-        if missing:
-            found = self.whole.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)
-            for word, encoding in zip(missing, found, strict=True):
+            missing = set(words)
+        slow = []
+        for word in missing:
+            # Names of added tokens have a "<"; they and other scripts are the library's business.
+            if self.plain and word.isascii() and b"<" not in word and not CONTROL.search(word):
+                known[word] = b"".join(map(self._pretoken, ASCII_SPLIT.findall(word.decode("ascii").lower())))
+            else:
+                slow.append(word)
+        if slow:
+            found = self.whole.encode_batch_fast([w.decode() for w in slow], add_special_tokens=False)
+            for word, encoding in zip(slow, found, strict=True):
                 known[word] = np.array(encoding.ids, dtype="<u4").tobytes()
-        for word in words:
-            out.append(known[word])
-        return b"".join(out)
+        return b"".join(map(known.__getitem__, words))
+
+    def _pretoken(self, piece: str) -> bytes:
+        """Ids of a whole pre-token in ASCII, where characters and bytes are the same."""
+        packed = self.pieces.get(piece)
+        if packed is None:
+            if len(self.pieces) >= CACHE:
+                self.pieces.clear()
+            packed = self.pieces[piece] = b"".join([t.id.to_bytes(4, "little") for t in self.final.tokenize(piece)])
+        return packed
+
+    def release(self) -> None:
+        self.words.clear()
+        self.pieces.clear()
 
     def decode(self, packed: bytes) -> str:
         return self.whole.decode(np.frombuffer(packed, dtype="<u4").tolist(), skip_special_tokens=False)
@@ -202,6 +249,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, long: int = LONG) -> DataFram
                 packed = [codec.packed(t.as_py()) for t in batch.column("text")]
                 decoded = [codec.decode(p) for p in packed]
                 yield pa.record_batch([batch.column("doc_id"), pa.array(packed, pa.binary()), pa.array(decoded, pa.string())], names=["doc_id", "ids", "decoded"])
+        codec.release()
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(shared.value)
@@ -224,6 +272,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, long: int = LONG) -> DataFram
                     ids.append(np.array(codec.piece(row["body"], row["last"]), dtype="<u4").tobytes())
             names = ["doc_id", "key", "copies", "part", "piece"]
             yield pa.record_batch([*(batch.column(n) for n in names), pa.array(ids, pa.binary())], names=[*names, "ids"])
+        codec.release()
 
     made: list[Codec] = []  # one for all groups of a task
 
