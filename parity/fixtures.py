@@ -17,18 +17,9 @@ N_BRANCHES = 5
 FIXED = "2024-02-01 00:00:00"
 
 
-FACTS = ("orders", "lineitem", "events", "part", "customer")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table; a fact table in fewer splits than there are cores is dealt out to all of them.
-
-    The small files hold one row group, which is one task. A larger table is read as it
-    lies, without a shuffle.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if name in FACTS and df.rdd.getNumPartitions() < cores else df
+    """A table as it lies."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def branch(number: Column) -> Column:

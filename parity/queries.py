@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parity import expected_marts, expected_views, fixtures, operator_queries
+from parity import expected_marts, expected_views, fixtures, operator_queries, stored_queries
 from parity.operator_queries import Query, raw_of
 from tillmart.entities import ENTITIES
 from tillmart.operators.flatten import flatten
@@ -57,11 +57,11 @@ def _sql_name(prefix: str, name: str) -> str:
 def queries() -> dict[str, Query]:
     found = {_sql_name("mart", name): _mart(name) for name in MARTS}
     found |= {_sql_name("view", name): _view(name) for name in expected_views.VIEWS}
-    found |= operator_queries.QUERIES
+    found |= operator_queries.QUERIES | stored_queries.QUERIES
     return {name: _pinned(build) for name, build in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
     found = {_sql_name("mart", name): sql for name, sql in expected_marts.MARTS.items()}
     found |= {_sql_name("view", name): sql for name, sql in expected_views.VIEWS.items()}
-    return found | operator_queries.ORACLES
+    return found | operator_queries.ORACLES | stored_queries.ORACLES

@@ -68,8 +68,8 @@ def test_upsert_duplicates(raw):
     held = raw("sales", ("b", at(1), 0, sale("1")))
     batch = raw("sales", ("b", at(2), 0, sale("1", total=1)), ("b", at(2), 1, sale("1", saleState="CLOSED")))
     assert upserted(upsert_latest(held, batch)) == [("1", 2, "CLOSED")]
-    with pytest.raises(ValueError):
-        upsert_latest(held, batch, on_duplicate="error")
+    with pytest.raises(Exception, match="more than once"):
+        upsert_latest(held, batch, on_duplicate="error").collect()
     with pytest.raises(ValueError):
         upsert_latest(held, batch, on_duplicate="first")
 

@@ -19,7 +19,7 @@ from tillmart.sources.selection import active_branches, incremental_filter, incr
 
 
 def pages_of(spark, *rows):
-    return spark.createDataFrame(list(rows), PAGES)
+    return spark.createDataFrame([r if len(r) == 5 else (*r, None) for r in rows], PAGES)
 
 
 def test_unnest(spark):
@@ -76,9 +76,11 @@ def test_readers_agree(spark, tmp_path):
     from_files = read_page_files(spark, str(tmp_path / "files"))
     from_lines.write.parquet(str(tmp_path / "packed"))
     packed = read_page_parquet(spark, str(tmp_path / "packed"))
-    expected = rows_of(unnest_pages(from_files), "*")
+    columns = ["branch_id", "entity", "page_no", "pos", "ingest_seq", "record", "page_error"]
+    expected = rows_of(unnest_pages(from_files), *columns)
     assert len(expected) == 2 and expected[0][0] == "001" and '"price":3.0' in expected[0][5]
-    assert rows_of(unnest_pages(from_lines), "*") == expected == rows_of(unnest_pages(packed), "*")
+    assert rows_of(unnest_pages(from_lines), *columns) == expected == rows_of(unnest_pages(packed), *columns)
+    assert all(unnest_pages(x).where("extracted_at IS NULL").isEmpty() for x in (from_lines, from_files, packed))
 
 
 def test_pages_by_entity_are_pruned(spark, tmp_path):
@@ -125,10 +127,11 @@ def test_projection_of_fields(spark):
 def test_incremental_filters(spark):
     records = records_of(spark, sale("1", createdAt="2024-01-02T00:00:00Z"), sale("2", createdAt="2024-01-04T00:00:00Z"), sale("3", createdAt=None))
     sales = ENTITIES["sales"]
-    assert rows_of(incremental_filter(records, sales, at(4)), "ingest_seq") == [(1,)]
+    # The record without a date may be new, so it stays.
+    assert rows_of(incremental_filter(records, sales, at(4)), "ingest_seq") == [(1,), (2,)]
     assert incremental_filter(records, sales, None).count() == 3
     assert incremental_filter(records, ENTITIES["items"], at(4)).count() == 3
     known = spark.createDataFrame([("b", "sales", at(3)), ("b", "items", at(9))], STATUS)
-    assert rows_of(incremental_filter_by_status(records, sales, known), "ingest_seq") == [(1,)]
+    assert rows_of(incremental_filter_by_status(records, sales, known), "ingest_seq") == [(1,), (2,)]
     other = spark.createDataFrame([("c", "sales", at(3))], STATUS)
     assert incremental_filter_by_status(records, sales, other).count() == 3

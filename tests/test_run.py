@@ -25,7 +25,7 @@ def warehouse(spark, tmp_path):
 
 
 def go(warehouse, when, pages, **options):
-    df = warehouse.spark.createDataFrame(pages, PAGES)
+    df = warehouse.spark.createDataFrame([p if len(p) == 5 else (*p, None) for p in pages], PAGES)
     report = run(warehouse.spark, df, warehouse.root, when, **{"marts": ["sales_order", "sales_order_line", "payments", "branches"], "register": False, **options})
     warehouse.refresh()
     return report
@@ -60,7 +60,9 @@ def test_two_runs(warehouse, spark):
         ("001", "sales", 1, page(sale("1", saleState="CANCELED"), sale("2"))),
         ("b2", "sales", 1, "<html>oops"),
     ]
-    assert go(warehouse, at(3), second, register=True).ok
+    report = go(warehouse, at(3), second, register=True)
+    assert report.not_loaded == {("b2", "sales"): "FAILED"} and not report.ok
+    assert not (report.load_errors or report.mart_errors or report.view_errors)
     assert audit_of(warehouse, at(3)) == [
         ("001", "items", 2, 1, 0, 1, 0, "LOADED"),
         ("001", "sales", 2, 0, 1, 1, 0, "LOADED"),
@@ -121,8 +123,9 @@ def test_bad_value_fails_one_mart_and_keeps_its_old_version(warehouse):
     assert mart(warehouse, "sales_order_line", "order_line_key") == [("1-001",)]
     assert mart(warehouse, "payments", "payment_key") == [("1-001",), ("2-001",)]
     assert build_marts(warehouse, ["sales_order_line"], strict=False) == {}
-    # Read leniently the price is null, which counts as 0 once the leaf is there.
-    assert mart(warehouse, "sales_order_line", "order_line_key", "amount_total") == [("1-001", 10.0), ("2-001", 0.0)]
+    # Read leniently the line is left out, and published as a reject.
+    assert mart(warehouse, "sales_order_line", "order_line_key", "amount_total") == [("1-001", 10.0)]
+    assert mart(warehouse, "sales_order_line_rejects", "source_id", "branch_id", "bad") == [("2", "001", ["attributes.price"])]
 
 
 def test_key_that_is_not_unique_fails_its_mart(warehouse):

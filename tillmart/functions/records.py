@@ -23,8 +23,20 @@ def payload_checksum(variant: Column) -> Column:
 
 
 def parse_iso_timestamp(text: Column) -> Column:
-    """ISO-8601 text to a timestamp; null for null and for anything unreadable."""
-    return text.try_cast("timestamp")
+    """ISO-8601 text to a timestamp; null for null and for anything unreadable.
+
+    It must begin with a whole date: Spark alone would take a time of day as today's.
+    """
+    return F.when(text.rlike(r"^\s*\d{4}-\d{2}-\d{2}"), text.try_cast("timestamp"))
+
+
+def bad_date(entity: Entity, text_of) -> Column:
+    """Whether one of the entity's dates is given but can't be read."""
+    found = F.lit(False)
+    for name in entity.dated_by:
+        text = text_of(name)
+        found = found | (text.isNotNull() & parse_iso_timestamp(text).isNull())
+    return found
 
 
 def source_updated_at(entity: Entity, text_of) -> Column:
@@ -68,13 +80,16 @@ def to_raw(records: DataFrame, entity: Entity, run_ts: datetime | None = None) -
     """Raw rows (envelope, payload, checksum) plus ``reject_reason``.
 
     ``records`` has branch_id, ingest_seq and record (JSON text). ``extracted_at``
-    is taken from the records if they carry it, else it is ``run_ts`` for all.
+    is taken from the records if they carry it, else it is ``run_ts``. ``bad_date`` marks
+    records with a date that can't be read.
     """
     stamped = records
     if "extracted_at" not in records.columns:
         if run_ts is None:
             raise ValueError("run_ts is needed for records without extracted_at")
         stamped = records.withColumn("extracted_at", F.lit(run_ts).cast("timestamp"))
+    elif run_ts is not None:
+        stamped = records.withColumn("extracted_at", F.coalesce("extracted_at", F.lit(run_ts).cast("timestamp")))
     v = F.col("_v")
     surrogate = name_uuid(F.col("branch_id"), F.unix_micros("extracted_at").cast("string"), F.col("ingest_seq").cast("string"))
     page_error = F.col("page_error") if "page_error" in records.columns else F.lit(None).cast("string")
@@ -88,6 +103,8 @@ def to_raw(records: DataFrame, entity: Entity, run_ts: datetime | None = None) -
         payload_checksum(v).alias("payload_checksum"),
         "ingest_seq",
         F.coalesce(page_error, reject_reason(F.col("record"), v, entity)).alias("reject_reason"),
+        *([F.col("page_md5")] if "page_md5" in records.columns else []),
+        bad_date(entity, date_text).alias("bad_date"),
     )
 
 

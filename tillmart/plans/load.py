@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillmart.entities import Entity
@@ -43,9 +43,10 @@ def staged_changes(
     ids and checksums only. Rejects get a key of their own, which equals no other, and
     so ride along through the merge: the pages are read and parsed once for both.
     """
-    rows = to_raw(records, entity, run_ts).drop("payload")
+    rows = to_raw(records, entity, run_ts)
     rejected = F.col("reject_reason").isNotNull()
-    own_key = name_uuid(F.lit("reject"), F.col("branch_id"), F.col("ingest_seq").cast("string"))
+    what = F.coalesce(F.col("page_md5") if "page_md5" in rows.columns else F.lit(None), F.col("payload_checksum"), F.md5("payload"), F.lit(""))
+    own_key = name_uuid(F.lit("reject"), F.col("branch_id"), F.col("ingest_seq").cast("string"), F.unix_micros("extracted_at").cast("string"), what)
     batch = rows.withColumn("source_id", F.when(rejected, own_key).otherwise(F.col("source_id"))).withColumn(
         "payload_checksum", F.when(rejected, own_key).otherwise(F.col("payload_checksum"))
     )
@@ -55,7 +56,7 @@ def staged_changes(
         delta = new_versions(raw, batch).withColumn("action", F.lit("insert"))
     action = F.when(rejected, "reject").otherwise(F.col("action"))
     envelope = [c for c in RAW_COLUMNS if c != "payload"]
-    return delta.select(*envelope, action.alias("action"), "reject_reason")
+    return delta.select(*envelope, action.alias("action"), "reject_reason", "bad_date")
 
 
 def with_payload(changes: DataFrame, records: DataFrame) -> DataFrame:
@@ -110,7 +111,13 @@ def load_entity(
             # Read back from its own small files, whose size Spark knows.
             failed = warehouse.spark.read.schema(REJECTS).parquet(path).select("branch_id").distinct()
             good = good.join(failed, "branch_id", "left_anti")
-    raw_store.append(warehouse, entity, shred(with_payload(good, records), entity))
+    due = good.count()
+    if due:
+        written = Observation()
+        rows = shred(with_payload(good, records), entity).observe(written, F.count(F.lit(1)).alias("n"))
+        raw_store.append(warehouse, entity, rows)
+        if written.get["n"] != due:
+            raise RuntimeError(f"{entity.table}: {due} rows are new or changed, but {written.get['n']} were written")
     audit = load_audit(page_completeness(mine), staged, entity, run_ts, options.on_reject)
     audit.coalesce(1).write.mode("overwrite").parquet(audit_path)
     remove_folder(warehouse.spark, staging)
@@ -135,6 +142,9 @@ def load_audit(
 ) -> DataFrame:
     """One row per branch: records extracted, what became of them, and the outcome.
 
+    A branch with rejects has FAILED (unless rejects are taken row by row). One whose pages are not all
+    there, or not full, is INCOMPLETE: what came is kept, but it does not count as loaded.
+
     ``pages`` is the page summary, ``staged`` the staged changes. Records that were held
     already, or came twice in the batch, count as unchanged.
     """
@@ -143,9 +153,10 @@ def load_audit(
         F.count_if(F.col("action") == "update").alias("updated"),
         F.count_if(F.col("action") == "reject").alias("rejected"),
         F.count_if(F.col("reject_reason") == "bad_page").alias("_bad_pages"),
+        F.count_if("bad_date").alias("bad_dates"),
         F.concat_ws(",", F.array_sort(F.collect_set("reject_reason"))).alias("detail"),
     )
-    joined = pages.select("branch_id", F.col("records").alias("extracted")).join(counts, "branch_id", "left")
+    joined = pages.select("branch_id", F.col("records").alias("extracted"), "is_complete").join(counts, "branch_id", "left")
     zero = F.lit(0).cast("bigint")
     rejected = F.coalesce("rejected", zero)
     failed = (rejected > 0) if on_reject == "batch" else F.lit(False)
@@ -154,7 +165,7 @@ def load_audit(
     # An unreadable page is a reject but holds no counted record.
     bad_records = rejected - F.coalesce("_bad_pages", zero)
     unchanged = F.when(failed, zero).otherwise(F.col("extracted") - bad_records - inserted - updated)
-    outcome = F.when(failed, "FAILED").when(F.col("extracted") == 0, "EMPTY").otherwise("LOADED")
+    outcome = F.when(failed, "FAILED").when(~F.col("is_complete"), "INCOMPLETE").when(F.col("extracted") == 0, "EMPTY").otherwise("LOADED")
     return joined.select(
         F.lit(run_ts).cast("timestamp").alias("run_ts"),
         "branch_id",
@@ -164,6 +175,7 @@ def load_audit(
         updated.alias("updated"),
         unchanged.alias("unchanged"),
         rejected.alias("rejected"),
+        F.coalesce("bad_dates", zero).alias("bad_dates"),
         outcome.alias("status"),
         F.nullif(F.col("detail"), F.lit("")).alias("detail"),
     ).select(*AUDIT.fieldNames())

@@ -30,14 +30,87 @@ def _attr(name: str) -> str:
     return f"attributes.{name}"
 
 
+# What each mart casts, by leaf: a type, or "whole" for a number that becomes a whole one.
+CASTS: dict[str, dict[str, str]] = {
+    "categories": {ID: "whole"},
+    "payment_methods": {ID: "whole"},
+    "products": {ID: "whole", _rel("productCategory"): "whole"},
+    "sales_order": {ID: "whole", _attr("createdAt"): "timestamp", _attr("closedAt"): "timestamp", _attr("total"): "double"},
+    "payments": {
+        ID: "whole",
+        _attr("amount"): "double",
+        _attr("createdAt"): "timestamp",
+        _attr("canceled"): "boolean",
+        _rel("sale"): "whole",
+        _rel("paymentMethod"): "whole",
+    },
+    "sales_order_line": {
+        ID: "whole",
+        _attr("quantity"): "whole",
+        _attr("price"): "double",
+        _attr("createdAt"): "timestamp",
+        _attr("canceled"): "boolean",
+        _rel("sale"): "whole",
+        _rel("product"): "whole",
+    },
+    "expense_categories": {ID: "whole", _attr("active"): "boolean"},
+    "expenses": {
+        ID: "whole",
+        _attr("amount"): "double",
+        _attr("date"): "timestamp",
+        _attr("dueDate"): "timestamp",
+        _attr("canceled"): "boolean",
+        _attr("createdAt"): "timestamp",
+        _attr("paymentDate"): "timestamp",
+        _attr("useInCashCount"): "boolean",
+    },
+    "product_categories_details": {
+        ID: "whole",
+        _attr("position"): "int",
+        _attr("preparationTime"): "int",
+        _attr("enableOnlineMenu"): "boolean",
+    },
+    "product_prices_by_branch": {_attr("price"): "double", _attr("stock"): "double", _attr("active"): "boolean"},
+}
+
+
+def _unreadable(path: str, type: str) -> Column:
+    """Whether a leaf is there but does not fit its type."""
+    text = leaf(path)
+    value = half_even_int(text, strict=False) if type == "whole" else typed(text, type, strict=False)
+    return text.isNotNull() & value.isNull()
+
+
+def _readable(mart: str, strict: bool) -> Column:
+    """What a lenient mart asks of a row: nothing unreadable, for a null in its place would be a wrong figure."""
+    condition = F.lit(True)
+    for path, type in {} if strict else CASTS[mart].items():
+        condition = condition & ~_unreadable(path, type)
+    return condition
+
+
+def mart_rejects(raw: DataFrame, mart: str) -> DataFrame:
+    """Rows that a lenient mart leaves out, and the leaves that can't be read."""
+    flags = [F.when(_unreadable(path, type), F.lit(path)) for path, type in CASTS[mart].items()]
+    found = with_doc(raw, list(CASTS[mart])).select(*RECORD_KEY, *ARRIVAL_ORDER, F.array_compact(F.array(*flags)).alias("bad"))
+    return found.where(F.size("bad") > 0)
+
+
 def latest_matching(
-    raw: DataFrame, paths: list[str], condition: Column, columns: list[Column], latest_first: bool = False
+    raw: DataFrame,
+    paths: list[str],
+    condition: Column,
+    columns: list[Column],
+    latest_first: bool = False,
+    readable: Column | None = None,
 ) -> DataFrame:
-    """Rows that match, projected, one per record: the latest.
+    """Rows that match and are ``readable``, projected, one per record: the latest.
 
     Only the key, the order and the projected columns are shuffled, never the payload.
     """
     parsed = with_doc(raw, paths)
+    if readable is not None:
+        condition = condition & readable
     if latest_first:
         return latest_per_key(parsed.drop("payload")).where(condition).select(*columns)
     names = parsed.select(*columns).columns
@@ -62,6 +135,7 @@ def categories(raw: DataFrame, strict: bool = True, latest_first: bool = False)
             varchar(leaf(NAME)).alias("rubro_name"),
         ],
         latest_first,
+        _readable("categories", strict),
     )
 
 
@@ -77,6 +151,7 @@ def payment_methods(raw: DataFrame, strict: bool = True, latest_first: bool = Fa
             varchar(leaf(NAME)).alias("payment_method"),
         ],
         latest_first,
+        _readable("payment_methods", strict),
     )
 
 
@@ -95,6 +170,7 @@ def products(raw: DataFrame, strict: bool = True, latest_first: bool = False) ->
             branch_key(leaf(category)).alias("rubro_key_fk"),
         ],
         latest_first,
+        _readable("products", strict),
     )
 
 
@@ -120,6 +196,7 @@ def sales_order(raw: DataFrame, strict: bool = True, latest_first: bool = False)
             typed(leaf(closed), "timestamp", strict).alias("closed_at"),
         ],
         latest_first,
+        _readable("sales_order", strict),
     )
 
 
@@ -156,6 +233,7 @@ def payments(raw: DataFrame, strict: bool = True, latest_first: bool = False) ->
             branch_key(leaf(sale)).alias("order_key_fk"),
         ],
         latest_first,
+        _readable("payments", strict),
     )
 
 
@@ -188,6 +266,7 @@ def sales_order_line(raw: DataFrame, strict: bool = True, latest_first: bool = F
             (unit_price * quantity).alias("amount_total"),
         ],
         latest_first,
+        _readable("sales_order_line", strict),
     )
 
 
@@ -207,6 +286,7 @@ def expense_categories(raw: DataFrame, strict: bool = True, latest_first: bool =
             branch_key(leaf(ID)).alias("expense_category_key"),
         ],
         latest_first,
+        _readable("expense_categories", strict),
     )
 
 
@@ -244,6 +324,7 @@ def expenses(raw: DataFrame, strict: bool = True, latest_first: bool = False) ->
             branch_key(leaf(_rel("expenseCategory"))).alias("expense_category_key"),
         ],
         latest_first,
+        _readable("expenses", strict),
     )
 
 
@@ -266,6 +347,7 @@ def product_categories_details(raw: DataFrame, strict: bool = True, latest_first
             branch_key(leaf(ID)).alias("product_category_key"),
         ],
         latest_first,
+        _readable("product_categories_details", strict),
     )
 
 
@@ -285,6 +367,7 @@ def product_prices_by_branch(raw: DataFrame, strict: bool = True, latest_first:
             branch_key(leaf(ID)).alias("product_branch_key"),
         ],
         latest_first,
+        _readable("product_prices_by_branch", strict),
     )
 
 
@@ -329,7 +412,7 @@ def _parsed_payments(raw: DataFrame, strict: bool) -> DataFrame:
     sale, method = _rel("sale"), _rel("paymentMethod")
     return (
         with_doc(raw, [ID, amount, created, canceled, sale, method])
-        .where(all_present(ID, amount, created, method) & _not_true(canceled, strict))
+        .where(all_present(ID, amount, created, method) & _not_true(canceled, strict) & _readable("payments", strict))
         .select(
             *RECORD_KEY,
             *ARRIVAL_ORDER,

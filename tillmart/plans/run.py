@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tillmart.entities import ENTITIES, Entity
 from tillmart.operators.merge import set_last_extraction
 from tillmart.plans.load import LoadOptions, load_entity
-from tillmart.plans.marts import MARTS, mart_table
+from tillmart.plans.marts import MARTS, mart_rejects, mart_table
 from tillmart.plans.raw_store import create_raw_tables, read_raw
 from tillmart.plans.views import register_marts, register_raw_views
 from tillmart.plans.warehouse import Warehouse, new_version
@@ -34,11 +34,13 @@ class RunReport:
     load_errors: dict[str, str] = field(default_factory=dict)
     view_errors: dict[str, str] = field(default_factory=dict)
     mart_errors: dict[str, str] = field(default_factory=dict)
+    # (branch, entity): FAILED or INCOMPLETE, where a load ended but not well.
+    not_loaded: dict[tuple[str, str], str] = field(default_factory=dict)
     skipped: bool = False
 
     @property
     def ok(self) -> bool:
-        return not (self.load_errors or self.view_errors or self.mart_errors)
+        return not (self.load_errors or self.view_errors or self.mart_errors or self.not_loaded)
 
 
 def _attempt(spark: SparkSession, jobs: dict[str, Callable[[], None]], parallelism: int) -> dict[str, str]:
@@ -61,7 +63,8 @@ def build_marts(
 ) -> dict[str, str]:
     """Rebuild marts from the raw tables, then show those that came out well.
 
-    Marts do not depend on each other; one that fails keeps its old version.
+    Marts do not depend on each other; one that fails keeps its old version. Unless ``strict``,
+    rows with a value that can't be read are left out of a mart and published beside it.
     """
     names, version = list(names), new_version()
 
@@ -72,7 +75,10 @@ def build_marts(
             if mart.entity is None:
                 df = mart.build(warehouse.read(BRANCH_TABLE, BRANCHES))
             else:
-                df = mart.build(read_raw(warehouse, ENTITIES[mart.entity]), strict)
+                raw = read_raw(warehouse, ENTITIES[mart.entity])
+                df = mart.build(raw, strict)
+                if not strict:
+                    warehouse.publish(mart_table(f"{name}_rejects"), mart_rejects(raw, name), version)
             warehouse.write_version(mart_table(name), df, version, unique=mart.key)
 
         return build
@@ -128,10 +134,17 @@ def run(
     report.load_errors = _attempt(spark, jobs, parallelism)
     if "unknown" in landed:
         report.load_errors["unknown"] = "there are pages of entities that are not known"
+    # Branches that nobody configured would vanish from their entities' loads.
+    strangers = pages.select("branch_id").distinct().join(warehouse.read(BRANCH_TABLE, BRANCHES).select("branch_id"), "branch_id", "left_anti")
+    if names := [str(row.branch_id) for row in strangers.limit(20).collect()]:
+        report.load_errors["unknown branch"] = "there are pages of branches that are not configured: " + ", ".join(sorted(names))
     if report.load_errors:
         _note_errors(spark, audit_folder, run_ts, report.load_errors)
 
     if any(name not in report.load_errors for name in jobs):
+        bad = _audit_rows(spark, audit_folder).where("status IN ('FAILED', 'INCOMPLETE') AND branch_id IS NOT NULL")
+        # One row for each branch and entity at most.
+        report.not_loaded = {(row.branch_id, row.entity): row.status for row in bad.select("branch_id", "entity", "status").collect()}
         finished = datetime.now(timezone.utc)
         loaded = (
             _audit_rows(spark, audit_folder)
@@ -151,7 +164,7 @@ def run(
 
 def _note_errors(spark: SparkSession, audit_folder: str, run_ts: datetime, errors: dict[str, str]) -> None:
     """Audit rows of entities whose load broke off for all branches."""
-    rows = [(run_ts, None, entity, None, None, None, None, None, "FAILED", error) for entity, error in errors.items()]
+    rows = [(run_ts, None, entity, None, None, None, None, None, None, "FAILED", error) for entity, error in errors.items()]
     spark.createDataFrame(rows, AUDIT).coalesce(1).write.mode("overwrite").parquet(f"{audit_folder}/table=_errors")
 
 

@@ -26,7 +26,8 @@ _TYPES = {
     "timestamp": T.TimestampType(),
 }
 
-PAGES = struct("branch_id:string entity:string page_no:int body:string")
+# landed_at tells two landings of a page apart: the later one holds the newer state. It may be null.
+PAGES = struct("branch_id:string entity:string page_no:int body:string landed_at:timestamp")
 
 # One record of one page. ingest_seq keeps the order of arrival inside a load.
 RECORDS = struct("branch_id:string ingest_seq:bigint record:string")
@@ -40,7 +41,8 @@ RAW_COLUMNS = RAW.fieldNames()
 
 RECORD_KEY = ["source_id", "branch_id"]
 VERSION_KEY = ["source_id", "branch_id", "payload_checksum"]
-ARRIVAL_ORDER = ["extracted_at", "ingest_seq"]
+# The checksum settles what time and address leave open.
+ARRIVAL_ORDER = ["extracted_at", "ingest_seq", "payload_checksum"]
 
 BRANCHES = struct(
     "branch_id:string source_branch:string branch_name:string is_active:boolean"
@@ -54,9 +56,10 @@ STATUS = struct(
 )
 STATUS_KEY = ["branch_id", "entity"]
 
+# extracted counts the records of the pages; those that an incremental load left out are in no other count.
 AUDIT = struct(
     "run_ts:timestamp branch_id:string entity:string extracted:bigint inserted:bigint"
-    " updated:bigint unchanged:bigint rejected:bigint status:string detail:string",
+    " updated:bigint unchanged:bigint rejected:bigint bad_dates:bigint status:string detail:string",
 )
 
 REJECTS = struct("extracted_at:timestamp branch_id:string ingest_seq:bigint reject_reason:string")

@@ -39,6 +39,8 @@ def pin_semantics(spark: SparkSession) -> SparkSession:
     """Apply the result-relevant settings to a session somebody else made."""
     for key, value in SEMANTICS.items():
         spark.conf.set(key, value)
+    # Rebalanced writes and skewed joins rely on it.
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
     return spark
 
 

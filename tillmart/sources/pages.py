@@ -15,12 +15,22 @@ _BODY_OPTIONS = {"columnNameOfCorruptRecord": "_corrupt"}
 
 
 def read_page_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Pages as JSON lines with branch_id, entity, page_no and body; files split freely.
+    """Pages as JSON lines with branch_id, entity, page_no, body and, if known, landed_at; files split freely.
+
+    A line that does not say when it landed did so when its file was written.
 
     Files under ``entity=…`` folders, with the entity left out of the lines, are the
     better layout: the load of an entity then reads its own files only.
     """
-    return spark.read.schema(PAGES).option("mode", "FAILFAST").json(path)
+    return landed(spark.read.schema(PAGES).option("mode", "FAILFAST").json(path))
+
+
+def landed(pages: DataFrame) -> DataFrame:
+    """Pages read from files, dated by their file unless dated themselves."""
+    return pages.select(
+        *[c for c in PAGES.fieldNames() if c != "landed_at"],
+        F.coalesce("landed_at", "_metadata.file_modification_time").alias("landed_at"),
+    )
 
 
 def read_page_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -34,7 +44,14 @@ def read_page_files(spark: SparkSession, path: str) -> DataFrame:
     number = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\.[^.]+$", 1)
     return (
         spark.read.schema(schema).option("wholetext", True).format("text").load(path)
-        .select("branch_id", "entity", number.cast("int").alias("page_no"), F.col("value").alias("body"))
+        .select(
+            "branch_id",
+            "entity",
+            # A name without a number gives a page without one, which is rejected by itself.
+            number.try_cast("int").alias("page_no"),
+            F.col("value").alias("body"),
+            F.col("_metadata.file_modification_time").alias("landed_at"),
+        )
     )
 
 
@@ -53,29 +70,43 @@ def _parsed(pages: DataFrame) -> DataFrame:
 
 def _page_error() -> Column:
     unreadable = F.col("_page").isNull() | F.col("_page._corrupt").isNotNull() | (F.trim("body") == "")
-    return F.when(F.col("body").isNull() | unreadable, F.lit("bad_page"))
+    # Without a number its records have no address, and whether all pages came can't be told.
+    return F.when(F.col("body").isNull() | unreadable | F.col("page_no").isNull(), F.lit("bad_page"))
 
 
 def unnest_pages(pages: DataFrame) -> DataFrame:
     """One row per record of each page's ``data``; a page without it gives no rows.
 
-    ``ingest_seq`` orders records by page and position. An unreadable page gives one
-    row without a record and with ``page_error`` set, so that it cannot get lost.
+    ``ingest_seq`` orders records by page and position, ``extracted_at`` is when the page
+    landed (null if unknown). An unreadable page, or one without a number, gives one row
+    without a record and with ``page_error`` set, so that it cannot get lost.
     """
+    dated = "landed_at" in pages.columns
+    number = F.coalesce("page_no", F.lit(-1))
     records = F.when(_page_error().isNotNull(), F.array(F.lit(None).cast("string"))).otherwise(
         F.coalesce(F.col("_page.data"), F.array().cast("array<string>"))
     )
     return (
         _parsed(pages)
-        .select("branch_id", "entity", "page_no", _page_error().alias("page_error"), F.posexplode(records).alias("pos", "record"))
+        .select(
+            "branch_id",
+            "entity",
+            "page_no",
+            (F.col("landed_at") if dated else F.lit(None).cast("timestamp")).alias("extracted_at"),
+            F.md5("body").alias("page_md5"),
+            _page_error().alias("page_error"),
+            F.posexplode(records).alias("pos", "record"),
+        )
         .select(
             "branch_id",
             "entity",
             "page_no",
             "pos",
-            (F.shiftleft(F.col("page_no").cast("bigint"), 32) + F.col("pos")).alias("ingest_seq"),
+            (F.shiftleft(number.cast("bigint"), 32) + F.col("pos")).alias("ingest_seq"),
+            "extracted_at",
             "record",
             "page_error",
+            F.when(F.col("page_error").isNotNull(), F.coalesce("page_md5", F.lit(""))).alias("page_md5"),
         )
     )
 
@@ -83,8 +114,9 @@ def unnest_pages(pages: DataFrame) -> DataFrame:
 def page_completeness(pages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """Per branch and entity: are pages 1..n there, all full but the last, the last short?
 
-    Each page is counted where it lies, and one aggregate with map-side partial sums
-    brings the counts together, so a branch with most of the pages is no hot spot.
+    Each page is counted where it lies, and aggregates with map-side partial sums bring the
+    counts together, so a branch with most of the pages is no hot spot. A page that landed
+    more than once counts once, with the most records it had.
     """
     counted = _parsed(pages).select(
         "branch_id",
@@ -93,14 +125,18 @@ def page_completeness(pages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame
         F.coalesce(F.size("_page.data"), F.lit(0)).cast("bigint").alias("n"),
         _page_error().isNotNull().alias("bad"),
     )
+    each = counted.groupBy("branch_id", "entity", "page_no").agg(
+        F.max("n").alias("n"), F.sum("n").alias("all"), F.bool_or("bad").alias("bad"), F.count("*").alias("times")
+    )
     short = F.col("n") < page_size
-    summary = counted.groupBy("branch_id", "entity").agg(
-        F.count("*").alias("pages"),
-        F.sum(F.greatest("n", F.lit(0))).alias("records"),
+    numbered = F.col("page_no").isNotNull()
+    summary = each.groupBy("branch_id", "entity").agg(
+        F.count_if(numbered).alias("pages"),
+        F.sum(F.greatest("all", F.lit(0))).alias("records"),
         F.max("page_no").alias("last_page"),
         F.max_by("n", "page_no").alias("last_page_size"),
-        F.count_if(short).alias("_short"),
-        F.count_if("bad").alias("bad_pages"),
+        F.count_if(short & numbered).alias("_short"),
+        F.sum(F.when(~numbered, F.col("times")).otherwise(F.col("bad").cast("bigint"))).alias("bad_pages"),
     )
     last_is_short = F.col("last_page_size") < page_size
     return summary.select(

@@ -42,22 +42,30 @@ def project_fields(records: DataFrame, entity: Entity) -> DataFrame:
 
 
 def incremental_filter(records: DataFrame, entity: Entity, since: datetime | None) -> DataFrame:
-    """Records dated at or after ``since``; all of them if it is None or the entity is undated."""
+    """Records dated at or after ``since``; all of them if it is None or the entity is undated.
+
+    What has no readable date may be new, and what is no record is to be rejected: both stay.
+    """
     if since is None or entity.incremental_by is None:
         return records
     created = _attribute_date(entity.incremental_by)
-    return records.where(created >= F.lit(since).cast("timestamp"))
+    return records.where(created.isNull() | (created >= F.lit(since).cast("timestamp")))
 
 
 def incremental_filter_by_status(records: DataFrame, entity: Entity, status: DataFrame) -> DataFrame:
-    """The same with each branch's own last extraction; a new branch is taken whole."""
+    """The same with each branch's own last extraction; a new branch is taken whole.
+
+    The status has one row per branch and entity, so its share for an entity is small, and
+    Spark's own size rule decides how it gets to the records.
+    """
     if entity.incremental_by is None:
         return records
     since = status.where(F.col("entity") == entity.name).select(
         "branch_id", F.col("last_successful_extraction").alias("_since")
     )
     created = _attribute_date(entity.incremental_by)
-    return records.join(since, "branch_id", "left").where(F.col("_since").isNull() | (created >= F.col("_since"))).drop("_since")
+    old = F.coalesce(created < F.col("_since"), F.lit(False))
+    return records.join(since, "branch_id", "left").where(~old).drop("_since")
 
 
 def _attribute_date(name: str):

@@ -14,7 +14,7 @@ from tillmart.plans.run import RunReport, run
 from tillmart.plans.warehouse import new_version, remove_folder
 from tillmart.schemas import PAGES
 from tillmart.session import scratch_folder
-from tillmart.sources.pages import split_by_entity
+from tillmart.sources.pages import landed, split_by_entity
 
 
 class LoadFailed(Exception):
@@ -26,16 +26,19 @@ def follow_pages(
     folder: str,
     root: str,
     checkpoint: str | None = None,
-    options: LoadOptions = LoadOptions(),
+    options: LoadOptions = LoadOptions(on_reject="row"),
     marts: Iterable[str] = MARTS,
-    max_files: int = 10_000,
     reports: list[RunReport] | None = None,
 ) -> StreamingQuery:
     """Load the page files (JSON lines) that came since the last call, then stop.
 
     The stream's checkpoint, kept with the warehouse, knows which files were loaded, so a scheduled call reads new
-    files only. A batch that broke off is loaded again: rows that it had added already
-    are found to be there, so nothing is added twice.
+    files only. All of them are one load, since the pages of a branch belong together. A batch
+    that broke off is loaded again: rows that it had added already are found to be there, so
+    nothing is added twice. Made-up ids depend on when a page landed, not on the try.
+
+    A bad record is rejected by itself, unless ``options`` say that it fails its branch: then
+    the batch does not pass, and is taken up again as a whole, good branches included.
     """
     root = root.rstrip("/")
     checkpoint = checkpoint or f"{root}/_checkpoints/landing"
@@ -49,10 +52,11 @@ def follow_pages(
         remove_folder(spark, mixed)
         if reports is not None:
             reports.append(report)
-        if report.load_errors:
-            raise LoadFailed(str(report.load_errors))
+        failed = {pair: status for pair, status in report.not_loaded.items() if status == "FAILED"}
+        if report.load_errors or failed:
+            raise LoadFailed(str(report.load_errors or failed))
 
     return (
-        spark.readStream.schema(PAGES).option("maxFilesPerTrigger", max_files).option("mode", "FAILFAST").json(folder)
+        landed(spark.readStream.schema(PAGES).option("mode", "FAILFAST").json(folder))
         .writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
