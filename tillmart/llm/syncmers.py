@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import SPACE_CLASS, SPACES, kept
+from tillmart.llm.common import SPACE_CLASS, SPACES
 
 K = 5
 ANCHOR_BITS = 32
@@ -57,42 +57,42 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(total == 0, F.lit(1.0)).otherwise(2.0 * F.size(F.array_intersect(one, two)) / total)
 
 
-def followers(keys: DataFrame) -> DataFrame:
-    """(doc_id, hash, next_id, next_hash): by descending doc_id the document after each; after the last, the first.
+def with_next(docs: DataFrame, rows_per_range: int) -> DataFrame:
+    """``docs`` (doc_id, text, hash) with ``next_text``: by descending doc_id the text after each; after the last, the first.
 
-    Null comes after all others; documents that share a doc_id go by their hash. The order is
-    made by ranges, and each range asks the next one for its first row only.
+    Null doc_ids come after all others; rows that share a doc_id go by their hash. Ranges of doc_ids of equal width are put in order
+    one by one, and texts are shuffled once for it; the text that a range's last row needs is looked up.
     """
-    order = [F.col("doc_id").desc_nulls_last(), F.col("hash").asc()]
-    ranged = kept(keys.distinct().repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "document-order")
-    within = Window.partitionBy("range").orderBy(*order)
-    row = F.struct("doc_id", "hash")
-    ordered = ranged.withColumn("after", F.lead(row).over(within)).withColumn("place", F.row_number().over(within))
-    firsts = ordered.where("place = 1").select("range", row.alias("first"))
+    n, low, high = docs.agg(F.count(F.lit(1)), F.min("doc_id"), F.max("doc_id")).first()  # three numbers
+    ranges = max(1, n // rows_per_range)
+    bits = ranges.bit_length()
+    low, high = low or 0, high or 0
+    numbered = F.expr(f"cast((cast({high} as decimal(20,0)) - cast(doc_id as decimal(20,0))) div {(high - low) // ranges + 1} as long)")
+    unnumbered = F.shiftright("hash", 64 - bits) + F.lit(ranges + (1 << bits - 1))
+    ranged = docs.withColumn("range", F.when(F.col("doc_id").isNotNull(), numbered).otherwise(unnumbered).cast("long"))
+    # ~x turns the order of numbers round.
+    firsts = ranged.groupBy("range").agg(F.min(F.struct(F.bitwise_not("doc_id").alias("turned"), "hash")).alias("first"))
     by_range = Window.orderBy("range")  # one row a range
-    linked = firsts.select(
-        "range", F.coalesce(F.lead("first").over(by_range), F.first("first").over(by_range.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("then")
-    )
-    after = F.coalesce("after", "then")
-    return ordered.join(linked, "range").select("doc_id", "hash", after["doc_id"].alias("next_id"), after["hash"].alias("next_hash"))
+    whole = by_range.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    heads = firsts.select(F.col("range").alias("before"), F.coalesce(F.lead("first").over(by_range), F.first("first").over(whole)).alias("head"))
+    heads = heads.select("before", F.bitwise_not("head.turned").alias("id"), F.col("head.hash").alias("h"))
+    looked_up = docs.join(heads, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("h"))).groupBy("before").agg(F.first("text").alias("head_text"))
+    within = Window.partitionBy("range").orderBy(F.col("doc_id").desc_nulls_last(), F.col("hash").asc())
+    followed = ranged.withColumn("following", F.lead("text").over(within))
+    joined = followed.join(looked_up, (F.col("range") == F.col("before")) & F.col("following").isNull(), "left")
+    return joined.select("doc_id", "text", F.coalesce("following", "head_text").alias("next_text"))
 
 
-def edited_fingerprints(docs: DataFrame, k: int = K) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, k: int = K, rows_per_range: int = 8192) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_chars, edited_text, anchors, edited_anchors, near_edited, near_next.
 
     The edited text is the text with its last ``floor(n_chars / 2)`` code points replaced by as many (or
     all there are) from the start of the next document by descending doc_id; after the last comes
-    the first. Null texts count as empty. Rows that repeat doc_id and text are one document in that order; an only
+    the first. Null texts count as empty. Repeated rows follow each other in that order; an only
     document is its own next. Other columns of ``docs`` are not read. An empty table gives no rows.
     """
     body = F.coalesce("text", F.lit(""))
-    keyed = docs.select("doc_id", body.alias("text"), F.xxhash64(body).alias("hash"))
-    links = followers(keyed.select("doc_id", "hash"))
-    texts = keyed.select(F.col("doc_id").alias("next_id"), F.col("hash").alias("next_hash"), F.col("text").alias("next_text")).dropDuplicates(["next_id", "next_hash"])
-    linked = links.select(F.col("doc_id").alias("id"), F.col("hash").alias("h"), F.col("next_id").alias("to_id"), F.col("next_hash").alias("to_hash"))
-    paired = keyed.join(linked, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("h"))).join(
-        texts, F.col("to_id").eqNullSafe(F.col("next_id")) & (F.col("to_hash") == F.col("next_hash"))
-    )
+    paired = with_next(docs.select("doc_id", body.alias("text"), F.xxhash64(body).alias("hash")), rows_per_range)
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = paired.withColumn("n_chars", F.length("text")).withColumn(
         "edited_text", F.concat(F.substring("text", F.lit(1), F.col("n_chars") - half), F.substring("next_text", F.lit(1), half))
