@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tillmart.llm.secret_index import BASE, MORE
+
 OP7 = r"""
 WITH texts AS (
     SELECT doc_id, length(coalesce(text, '')) AS n_chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS body
@@ -81,7 +83,37 @@ JOIN sources s ON p.source IS NOT DISTINCT FROM s.source
 LEFT JOIN taken t ON p.row = t.row
 """
 
-ORACLES: dict[str, str] = {"op3_source_mix": OP3, "op7_exact_dedup": OP7}
+
+
+def _matches(number: int, kind: str, pattern: str, group: int, least: int) -> str:
+    pattern = pattern.replace("'", "''")
+    return f"""
+    SELECT row, {number} AS number, '{kind}' AS kind, {least} AS least, regexp_split_to_array(text, '{pattern}') AS parts,
+        regexp_extract_all(text, '{pattern}', 0) AS wholes, regexp_extract_all(text, '{pattern}', {group}) AS owns
+    FROM docs WHERE regexp_matches(text, '{pattern}')"""
+
+
+OP10 = f"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+matches AS ({" UNION ALL ".join(_matches(n, *rule) for n, rule in enumerate(BASE + MORE))}),
+each AS (SELECT *, unnest(range(1, len(wholes) + 1)) AS i FROM matches),
+spans AS (
+    SELECT row, number, kind, length(array_to_string(parts[1:i], '')) + coalesce(length(array_to_string(wholes[1:i - 1], '')), 0) AS start,
+        length(wholes[i]) AS size
+    FROM each WHERE length(owns[i]) >= least
+),
+told AS (
+    SELECT row, count(*) FILTER (WHERE number = 0) AS n_assign, count(*) FILTER (WHERE number = 1) AS n_access, count(*) FILTER (WHERE number = 2) AS n_hex,
+        string_agg(kind || ':' || start || ':' || (start + size), ',' ORDER BY start, number) FILTER (WHERE number < {len(BASE)}) AS base,
+        string_agg(kind || ':' || start || ':' || (start + size), ',' ORDER BY start, number) AS spans
+    FROM spans GROUP BY row
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN told ON docs.row = told.row
+"""
+
+ORACLES: dict[str, str] = {"op3_source_mix": OP3, "op7_exact_dedup": OP7, "op10_secrets": OP10}
 
 
 def oracle_sql() -> dict[str, str]:
