@@ -43,7 +43,8 @@ SPACED = re.compile(r"(?<!\S)[^\W_](?:[ \t.\-_*]{1,3}[^\W_\s]|[ \t.\-_*]{1,3}[@$
 PREFIXES = (4, 5)  # letters at a word's beginning that are features, besides the word
 
 SAMPLE = 20_000  # labelled rows that the classifier is fitted on
-ROUNDS = 3
+ROUNDS = 12
+FOLLOWERS = 0.25  # of a round's strongest evidence that a feature needs to be taken in the same round
 LEAST_SHARE = 0.3  # of a feature's texts that are toxic, for it to tell
 WORDS = 1 << 18  # distinct words that a task holds
 
@@ -207,14 +208,19 @@ def fit(docs: DataFrame, labels: DataFrame, counts: np.ndarray, sample: int = SA
         each = rest.select("toxic", F.explode("features").alias("feature")).groupBy("feature").agg(F.count_if("toxic").alias("bad"), F.count(F.lit(1)).alias("n"))
         tested = each.count()
         base = size["bad"] / size["n"]
-        told = {}
+        weighed = {}
         for r in each.where(F.col("bad") >= 3).where(F.col("bad") > F.col("n") * max(LEAST_SHARE, base)).toLocalIterator():
             good = r["n"] - r["bad"]
             evidence = 2 * (r["bad"] * math.log(r["bad"] / (r["n"] * base)) + (good * math.log(good / (r["n"] * (1 - base))) if good else 0.0))
             if evidence >= 2 * math.log(2 * tested):  # fewer than one feature in all passes by chance
-                told[r["feature"]] = Sign(r["bad"] / size["bad"], (good + 0.5) / size["words"], math.log(base / (1 - base)))
-        if not told:
+                weighed[r["feature"]] = evidence, Sign(r["bad"] / size["bad"], (good + 0.5) / size["words"], math.log(base / (1 - base)))
+        if not weighed:
             break
+        # Words that only come along with a telling one, as in copies of a toxic text, tell nothing once its texts are out.
+        least = FOLLOWERS * max(evidence for evidence, _ in weighed.values())
+        told = {f: sign for f, (evidence, sign) in weighed.items() if evidence >= least}
+        # A beginning that tells no more than one of its words does stands for that word only.
+        told = {f: sign for f, sign in told.items() if not (f.endswith("~") and any(g != f and g.startswith(f[:-1]) and weighed[g][0] >= 0.95 * weighed[f][0] for g in told))}
         found = told | found
         rest = kept(_without(rest, set(told)), "toxic-rest")
     size = sizes(rest)
