@@ -63,7 +63,7 @@ def long_plans(spark):
 def test_mart_reads_its_leaves_and_shuffles_once(stored, name, build):
     plan = plan_of(build(stored(name)))
     (schema,) = read_schemas(plan)
-    assert "payload" not in schema and "trees" not in schema and "comment" not in schema
+    assert "payload:" not in schema and "trees" not in schema and "comment" not in schema
     assert "from_json" not in plan and "parseJson" not in plan
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
     # The best row of a key within each input partition is all that is shuffled.
@@ -75,14 +75,14 @@ def test_current_sales_need_one_shuffle_and_no_payload(stored):
     """Choosing the last state of a sale and the mart's own choice share a shuffle."""
     plan = plan_of(sales_order(latest_per_key(stored("sales"))))
     (schema,) = read_schemas(plan)
-    assert "payload" not in schema and "trees" not in schema and "comment" not in schema and "customerName" not in schema
+    assert "payload:" not in schema and "trees" not in schema and "comment" not in schema and "customerName" not in schema
     assert plan.count("Exchange hashpartitioning") == 1
 
 
 def test_latest_first_shuffles_needed_leaves_only(stored):
     plan = plan_of(sales_order_line(stored("items"), latest_first=True))
     (schema,) = read_schemas(plan)
-    assert "payload" not in schema and "comment" not in schema
+    assert "payload:" not in schema and "comment" not in schema
     assert plan.count("Exchange hashpartitioning") == 1 and "row_number(), 1, Partial" in plan
 
 

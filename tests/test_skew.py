@@ -44,7 +44,7 @@ def shuffled_rows(df) -> int:
 
 def test_hot_record_is_cut_down_before_the_shuffle(spark):
     raw = accepted(to_raw(skewed(spark, F.concat(F.lit('","v":'), F.col("id").cast("string"))), ENTITIES["items"]))
-    latest = latest_per_key(raw.select("source_id", "branch_id", "extracted_at", "ingest_seq"))
+    latest = latest_per_key(raw.select("source_id", "branch_id", "extracted_at", "ingest_seq", "payload_checksum"))
     assert shuffled_rows(latest) < 2 * N // 3 + N // 2 + N  # the repartition of the fixture moves N rows
     rows = latest.where("source_id = 'hot'").collect()
     assert [r.ingest_seq for r in rows] == [N - 3]

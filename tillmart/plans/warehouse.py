@@ -99,8 +99,8 @@ class Warehouse:
     def drop_old_versions(self, tables: Iterable[str], keep: int = 3) -> list[str]:
         """Delete what lies behind the last ``keep`` published versions; returns the paths.
 
-        Only as far back as could have come up since the last few calls, so that the
-        work does not grow with the age of the log.
+        The folders are listed, so versions that were written but never shown go too, once
+        they are older than the oldest version that stays. Names of versions sort by time.
         """
         wanted = list(tables)
         recent = Window.partitionBy("table").orderBy(F.col("published_at").desc(), F.col("version").desc())
@@ -108,9 +108,17 @@ class Warehouse:
             self.spark.read.schema(_PUBLICATIONS).json(f"{self.root}/_publications")
             .where(F.col("table").isin(wanted)).withColumn("rank", F.row_number().over(recent))
         )
-        stale = ranked.where((F.col("rank") > keep) & (F.col("rank") <= keep + 10)).collect()
-        paths = [self.version_path(row.table, row.version) for row in stale]
-        return [path for path in paths if remove_folder(self.spark, path)]
+        # At most ``keep`` rows a table.
+        shown: dict[str, set[str]] = {}
+        for row in ranked.where(F.col("rank") <= keep).collect():
+            shown.setdefault(row.table, set()).add(row.version)
+        stale = [
+            self.version_path(table, version)
+            for table, versions in shown.items()
+            for version in _versions_in(self.spark, self.folder(table))
+            if version not in versions and version < min(versions)
+        ]
+        return [path for path in stale if remove_folder(self.spark, path)]
 
     def write_version(
         self,
@@ -149,6 +157,16 @@ class Warehouse:
         self.mark_published({table: CREATED for table in tables if self.current_version(table) is None})
 
 
+def _versions_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the versions that a table's folder holds, on whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    return [name.removeprefix("v=") for name in names if name.startswith("v=")]
+
+
 def remove_folder(spark: SparkSession, path: str) -> bool:
     """Delete a folder on whatever file system it is; False if there was none."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
