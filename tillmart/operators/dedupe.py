@@ -21,9 +21,10 @@ def _top_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
 
 
 def latest_per_key(
-    df: DataFrame, keys: Sequence[str] = RECORD_KEY, order: Sequence[str] = ARRIVAL_ORDER
+    df: DataFrame, keys: Sequence[str] = RECORD_KEY, order: Sequence[str] | None = None
 ) -> DataFrame:
-    """The row that arrived last for each key."""
+    """The row that arrived last for each key: by the columns of ARRIVAL_ORDER that ``df`` has, unless told otherwise."""
+    order = [c for c in ARRIVAL_ORDER if c in df.columns] if order is None else order
     return _top_row(df, keys, [F.col(c).desc() for c in order])
 
 

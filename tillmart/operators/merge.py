@@ -11,14 +11,14 @@ from tillmart.operators.dedupe import first_per_key, latest_per_key
 from tillmart.schemas import ARRIVAL_ORDER, RECORD_KEY, VERSION_KEY
 
 
-def new_versions(raw: DataFrame, batch: DataFrame) -> DataFrame:
-    """Batch rows whose (record, checksum) is not yet held, first arrival of each.
+def new_versions(raw: DataFrame, batch: DataFrame, order: Sequence[str] = ("ingest_seq",)) -> DataFrame:
+    """Batch rows whose (record, checksum) is not yet held, first arrival of each by ``order``.
 
     The join hashes on all three columns, so the many versions of one record spread
     over the reducers, and it reads only those three columns of the raw table. The
     ranking before it leaves the batch partitioned and sorted the way the join needs.
     """
-    return first_per_key(batch, VERSION_KEY, ["extracted_at", "ingest_seq"]).join(raw.select(*VERSION_KEY), VERSION_KEY, "left_anti")
+    return first_per_key(batch, VERSION_KEY, order).join(raw.select(*VERSION_KEY), VERSION_KEY, "left_anti")
 
 
 def append_new_versions(raw: DataFrame, batch: DataFrame) -> DataFrame:

@@ -53,7 +53,8 @@ def staged_changes(
     if entity.merge == "upsert":
         delta = changed_records(raw, batch, on_duplicate)
     else:
-        delta = new_versions(raw, batch).withColumn("action", F.lit("insert"))
+        # A batch may hold several landings, so time comes before page and place.
+        delta = new_versions(raw, batch, ["extracted_at", "ingest_seq"]).withColumn("action", F.lit("insert"))
     action = F.when(rejected, "reject").otherwise(F.col("action"))
     envelope = [c for c in RAW_COLUMNS if c != "payload"]
     return delta.select(*envelope, action.alias("action"), "reject_reason", "bad_date")
