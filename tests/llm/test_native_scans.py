@@ -83,6 +83,7 @@ def test_secrets_against_brute_force(spark):
     got = [(r.doc_id, [tuple(s) for s in r.found]) for r in find_secrets(docs).collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
     assert find_secrets(docs.limit(0)).collect() == []
+    assert find_secrets(docs, BASE[2:]).where("size(found) > 0").count() == 2
 
 
 def test_trigram_queries():

@@ -175,12 +175,15 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE) -> Data
         "secret-index",
     )
     clauses = [(n, c, t, len(clause)) for n, q in indexed.items() for c, clause in enumerate(sorted(map(sorted, q))) for t in clause]
-    asked = docs.sparkSession.createDataFrame(clauses, "rule int, clause int, trigram string, needs int")  # as large as the rules
+    if not clauses:
+        return scan.select("doc_id", F.array_sort("scanned").alias("found"))
+    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    listed = [F.struct(F.lit(n).alias("rule"), F.lit(c).alias("clause"), F.lit(t).alias("trigram"), F.lit(needs).alias("needs")) for n, c, t, needs in clauses]
+    asked = docs.sparkSession.range(1).select(F.inline(F.array(*listed)))  # as large as the rules
     postings = scan.select("doc_id", "hash", F.explode("trigrams").alias("trigram"))
     met = postings.join(F.broadcast(asked), "trigram").groupBy("doc_id", "hash", "rule", "clause", "needs").agg(F.count_distinct("trigram").alias("has"))
     candidates = met.where("has = needs").groupBy("doc_id", "hash").agg(F.collect_set("rule").alias("rules"))
     wanted = candidates.select(F.col("doc_id").alias("id"), F.col("hash").alias("h"), "rules")
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     verified = (
         keyed.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("h")))
         .select("id", "h", F.concat(none, *[F.when(F.array_contains("rules", n), spans("text", rules[n], n)).otherwise(none) for n in indexed]).alias("verified"))
