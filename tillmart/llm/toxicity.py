@@ -244,8 +244,10 @@ def _without(rows: DataFrame, told: set[str]) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(told)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array([shared.value.isdisjoint(x) for x in batch.column("features").to_pylist()], pa.bool_()))
+        for big in batches:
+            for at in range(0, big.num_rows, 256):
+                batch = big.slice(at, 256)
+                yield batch.filter(pa.array([shared.value.isdisjoint(x) for x in batch.column("features").to_pylist()], pa.bool_()))
 
     return rows.mapInArrow(run, rows.schema)
 
