@@ -3,7 +3,7 @@
 Writers hide words by digits and signs for letters (``1d10t``), by spacing (``i d i o t``, ``i.d.i.o.t``) and by
 repeating letters (``idiooot``). A stretch that may be so disguised is a lattice: each character may stand for
 some letters, for nothing, or for itself. The Viterbi path under a character trigram model, counted over
-all texts, is the restored word; it is added to the words as written. A word of plain letters has one path, itself.
+all texts, is the restored word; it is added to the words as written. A word of plain letters, none of them twice in a row, has one path, itself.
 
 The classifier learns from a bounded sample of labelled rows which words and beginnings of words
 tell: those that toxic texts have more often than chance allows, counted on the texts that no stronger one explains.
@@ -38,8 +38,8 @@ GAPS = frozenset(" .-_*,'`~^/\\|:;+=#%")  # characters that may stand for nothin
 # signs for any vowel left out, and a letter left out that is repeated thrice or more, or twice.
 SIGN, VOWEL, GAP, END, NO_VOWEL, REPEAT, DOUBLE = 0.7, 1.0, 0.4, 0.8, 2.0, 0.2, 3.0
 EDGE = ".,;:!?\"'()[]{}<>«»“”…—–"
-LONGEST = 40  # characters of a disguised word; a longer token is cut there
 SPACED = re.compile(r"(?<!\S)[^\W_](?:[ \t.\-_*]{1,3}[^\W_\s]|[ \t.\-_*]{1,3}[@$!|+€]){2,}(?!\S)")
+TWICE = re.compile(r"(.)\1", re.S)
 PREFIXES = (4, 5)  # letters at a word's beginning that are features, besides the word
 
 SAMPLE = 20_000  # labelled rows that the classifier is fitted on
@@ -92,9 +92,12 @@ class CharacterModel:
 
 
 def restore(span: str, model: CharacterModel) -> str:
-    """The most likely letters and word ends behind a stretch of text, by Viterbi over its lattice."""
+    """The most likely letters and word ends behind a stretch of text of any length, by Viterbi over its lattice.
+
+    A path is a chain of (rest of the path, letter), which paths with the same beginning share.
+    """
     log, number = model.log, model.number
-    best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     runs = [len(m[0]) for m in re.finditer(r"(.)\1*", span, re.S) for _ in m[0]]
     for i, c in enumerate(span):
         reads: list[tuple[str, float]] = []
@@ -109,18 +112,23 @@ def restore(span: str, model: CharacterModel) -> str:
                 reads.append((" ", END))
         elif i and c == span[i - 1]:
             skip = REPEAT if runs[i] > 2 else DOUBLE
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, text) in best.items():
+        after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (score, path) in best.items():
             if skip is not None and score - skip > after.get((a, b), (-math.inf,))[0]:
-                after[a, b] = (score - skip, text)
+                after[a, b] = (score - skip, path)
             row = log[a][b]
             for letter, cost in reads:
                 n = 0 if letter == " " else number.get(letter, OTHER)
                 found = score + row[n] - cost
                 if found > after.get((b, n), (-math.inf,))[0]:
-                    after[b, n] = (found, text + letter)
+                    after[b, n] = (found, (path, letter))
         best = after
-    return max(((score + log[a][b][0], text) for (a, b), (score, text) in best.items()), default=(0.0, ""))[1]
+    path = max(((score + log[a][b][0], path) for (a, b), (score, path) in best.items()), key=lambda x: x[0], default=(0.0, None))[1]
+    letters = []
+    while path:
+        path, letter = path
+        letters.append(letter)
+    return "".join(reversed(letters))
 
 
 def disguised(token: str) -> str:
@@ -136,18 +144,17 @@ def disguised(token: str) -> str:
     if len(bare) < 3 or not any(c.isalpha() for c in bare):
         return ""
     if bare.isalpha():
-        return bare if re.search(r"(.)\1\1", bare) else ""
+        return bare if TWICE.search(bare) else ""
     return bare
 
 
 def words_of(token: str, model: CharacterModel) -> list[str]:
     """The words of letters in a token as written, and what is behind it."""
-    if token.isalpha() and not re.search(r"(.)\1\1", token):
+    if token.isalpha() and not TWICE.search(token):
         return [token]
     out = [w for w in re.split(r"[\W\d_]+", token) if w]
     if hidden := disguised(token):
-        for at in range(0, len(hidden), LONGEST):
-            out += restore(hidden[at : at + LONGEST], model).split()
+        out += restore(hidden, model).split()
     return out
 
 
