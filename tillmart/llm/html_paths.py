@@ -4,8 +4,8 @@
    in links, and half of it goes on to the container around (``score_page``).
 2. A container's path is the tags and classes from the root down to it, with digits generalised, so that pages of
    one template share it. Spark sums the scores by host and path.
-3. Every page is extracted again from the containers on the best of its host's paths that it
-   has, and has text at. A page whose host offers none falls back on its own best container.
+3. Every page is extracted again from the containers on that one of its own paths which is worth most
+   over its host. A page without any falls back on its own best container.
 
 What is never text, wherever it stands: scripts, styles, forms, menus, headers and footers of
 the site, sidebars, notices, adverts and reader comments, told by tag, role or class.
@@ -18,6 +18,7 @@ from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -267,7 +268,7 @@ def text_at(page: Page, path: str) -> str:
 
 
 def best_text(page: Page, paths: list[str]) -> str:
-    """Text at the first of the host's paths that has any; else at the page's own best container."""
+    """Text at the first of the paths that has any; else at the page's own best container."""
     for path in paths:
         if text := text_at(page, path):
             return text
@@ -275,34 +276,57 @@ def best_text(page: Page, paths: list[str]) -> str:
     return text_at(page, own[0][0]) if own else ""
 
 
-def host_paths(pages: DataFrame, most: int = 8) -> DataFrame:
-    """(host, paths): up to ``most`` paths of each host's containers by their pages' votes, best first.
+def candidates(page: Page) -> dict[tuple[str, bool], float]:
+    """Of each path at which the page has text in favour, and whether most of it is right there: its share of the best score.
 
-    A page gives its best container one vote and others the share of its score that they reach.
-    ``most`` is the number of templates that a host is expected to have; pages on none of these paths fall back on their own best.
+    A container that holds its text itself and one that has it from containers inside are told apart, so that body where a
+    template writes right into it bears nothing on a page whose article is further down.
+    """
+    direct: dict[int, int] = {}
+    sizes: dict[int, int] = {}
+    for block in page.blocks:
+        size = len(block.text())
+        direct[block.path[-1][0]] = direct.get(block.path[-1][0], 0) + size
+        for number, _ in block.path:
+            sizes[number] = sizes.get(number, 0) + size
+    scored = score_page(page)
+    top = max((s for _, s in scored.values()), default=0.0)
+    best: dict[str, tuple[float, bool]] = {}
+    for number, (path, score) in scored.items():
+        best[path] = max(best.get(path, (0.0, False)), (score, 2 * direct.get(number, 0) >= sizes[number]))
+    return {(path, own): score / top for path, (score, own) in best.items() if score > 0}
+
+
+def key_of(host: str, path: str, own: bool) -> int:
+    """One number for a path of a host."""
+    return xxhash.xxh64_intdigest(f"{host}\n{path}\n{own:d}", 42) - (1 << 63)
+
+
+def chosen_paths(pages: DataFrame) -> DataFrame:
+    """(page, key): of each distinct page (``page`` names its host and html) the best of its own paths.
+
+    Every path counts: a page gives its best container one vote and others the share of its score that they reach, and a
+    path's worth is the sum of votes over one more than the pages that have it. So a path that is the best wherever it stands wins
+    over one that every page has and few favour, however rare its template, and one that a single page has over little else.
     """
 
     def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sums: dict[tuple[str, str], float] = {}
-            for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                scored = score_page(Page(html)).values()
-                top = max((s for _, s in scored), default=0.0)
-                by_path: dict[str, float] = {}
-                for path, score in scored:
-                    by_path[path] = max(by_path.get(path, 0.0), score)
-                for path, score in by_path.items():
-                    if top and score > 0:
-                        sums[host, path] = sums.get((host, path), 0.0) + score / top
-            hosts, paths = zip(*sums, strict=True) if sums else ((), ())
-            yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(sums.values(), pa.float64())], names=["host", "path", "votes"])
-
-    cast = pages.where("html IS NOT NULL").select("host", "html").mapInArrow(votes, "host string, path string, votes double")
-    # Votes are summed as whole millionths, in any order.
-    counted = cast.groupBy("host", "path").agg(F.sum(F.round(F.col("votes") * 1e6).cast("long")).alias("votes"))
-    # Only the lengths of paths and not the pages' texts come together by host.
-    ranked = counted.groupBy("host").agg(F.array_sort(F.collect_list(F.struct((-F.col("votes")).alias("votes"), F.length("path").alias("size"), "path"))).alias("all"))
-    return ranked.select("host", F.transform(F.slice("all", 1, most), lambda x: x["path"]).alias("paths"))
+        for big in batches:
+            for at in range(0, big.num_rows, 256):
+                batch = big.slice(at, 256)
+                rows = [
+                    (page, key_of(host, path, own), round(share * 1e6), len(path))
+                    for page, host, html in zip(*(batch.column(c).to_pylist() for c in ("page", "host", "html")), strict=True)
+                    for (path, own), share in candidates(Page(html)).items()
+                ]
+                columns = zip(*rows, strict=True) if rows else ((), (), (), ())
+                yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["page", "key", "vote", "size"])
+
+    # Votes are whole millionths, summed in any order. Paths are numbers by now.
+    cast = kept(pages.select("page", "host", "html").mapInArrow(votes, "page long, key long, vote long, size long"), "path-votes")
+    worth = cast.groupBy("key").agg((F.sum("vote") / (F.count(F.lit(1)) + F.lit(1))).alias("worth"))
+    ranked = cast.join(worth, "key").groupBy("page").agg(F.max_by("key", F.struct("worth", "vote", (-F.col("size")).alias("size"), "key")).alias("key"))
+    return ranked
 
 
 def extract(pages: DataFrame, salts: int = 32) -> DataFrame:
@@ -311,18 +335,22 @@ def extract(pages: DataFrame, salts: int = 32) -> DataFrame:
     The host is what follows ``://`` in the url; pages without one count as one host. Null, empty and
     broken html is read as far as it goes. Repeated rows vote and are extracted like others. Other
     columns of ``pages`` are not read. An empty table gives no rows. ``salts``: in so many parts the
-    rows of one host are dealt out when they get its paths.
+    copies of one page are dealt out when they get its path.
     """
     host = F.coalesce(F.lower(F.regexp_extract("url", r"(?s)^.*?://([^/?#]*)", 1)), F.lit(""))
-    read = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"))
-    winning = kept(host_paths(read), "host-paths").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    read = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host")).withColumn("page", F.xxhash64("host", "html"))
+    winning = kept(chosen_paths(read), "host-paths").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = read.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)).cast("int"))
-    joined = salted.join(winning, ["host", "salt"], "left").select("page_id", "url", "html", "paths")
+    joined = salted.join(winning, ["page", "salt"], "left").select("page_id", "url", "html", "host", "key")
     schema = T.StructType([pages.schema["page_id"], T.StructField("url", T.StringType()), T.StructField("text", T.StringType())])
 
+    def text_of(host: str, html: str, key: int | None) -> str:
+        page = Page(html)
+        return best_text(page, [path for path, own in candidates(page) if key_of(host, path, own) == key] if key is not None else [])
+
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [best_text(Page(h), p or []) for h, p in zip(batch.column("html").to_pylist(), batch.column("paths").to_pylist(), strict=True)]
+            found = [text_of(*row) for row in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "key")), strict=True)]
             yield pa.record_batch([batch.column("page_id"), batch.column("url"), pa.array(found, pa.string())], names=["page_id", "url", "text"])
 
     return joined.mapInArrow(texts, schema)
