@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from tests.llm.conftest import PAGES, prose
 from tillmart.llm import html_paths
 
@@ -24,3 +26,24 @@ def test_text_right_in_body_on_other_pages(spark):
     plain = [("http://h/", f"<body><p>{prose(i, 60)}</body>") for i in range(20)]
     rare = [("http://h/", f"<body><div class=story><p>{prose(50 + i, 60)}</div><div class=x><p>Some more of the site</div></body>") for i in range(2)]
     assert texts(spark, plain + rare) == [prose(i, 60) for i in range(20)] + [prose(50 + i, 60) for i in range(2)]
+
+
+REST = "<div class=sidebar><p>Beside it</p></div><section id=comments><p>nice</p></section>"
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<div class='has-sidebar'><div class=c><h1>T</h1><p>{}</p></div>{}</div>", "<div class='page no-sidebar'><p>{}</p>{}</div>", "<main class='comments-open'><p>{}</p>{}</main>",
+        "<div class='post search-result'><article><p>{}</p></article>{}</div>", "<article class='article share-enabled'><p>{}</p>{}</article>", "<div class=has-header><p>{}</p></div>{}",
+        "<app-root class=no-sidebar><p>{}</p>{}</app-root>", "<table><tr><td class=with-menu><p>{}</p></td></tr></table>{}",
+    ],
+)
+def test_wrappers_labelled_as_boilerplate_stay(html):
+    text = html_paths.best_text(html_paths.Page(html.format(prose(1, 80), REST)), [])
+    assert text.endswith(prose(1, 80)) and "nice" not in text and "Beside" not in text
+
+
+def test_long_comments_go():
+    page = f"<div class=c><h1>T</h1><p>{prose(1, 40)}</p></div><div class=comments><p>{prose(2, 80)}</p></div>"
+    assert html_paths.best_text(html_paths.Page(page), []) == f"T\n\n{prose(1, 40)}"

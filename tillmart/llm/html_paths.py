@@ -8,7 +8,9 @@
    over its host. A page without any falls back on its own best container.
 
 What is never text, wherever it stands: scripts, styles, forms, menus, headers and footers of
-the site, sidebars, notices, adverts and reader comments, told by tag, role or class.
+the site, sidebars, notices, adverts and reader comments, told by tag, role or class. A word of a class may also
+name what a wrapper has or allows (``has-sidebar``, ``comments-open``): a container that holds much of the page's
+unlinked text stays (``Page._decide``), and so do article and main.
 """
 
 from __future__ import annotations
@@ -71,10 +73,10 @@ def _labels(attributes: str) -> tuple[str, frozenset[str]]:
 class Block:
     """A run of text within one block element: its place in the tree, its text, and how much of it is in links."""
 
-    __slots__ = ("path", "tag", "pieces", "linked")
+    __slots__ = ("path", "tag", "pieces", "linked", "labels")
 
-    def __init__(self, path: tuple[tuple[int, str], ...], tag: str):
-        self.path, self.tag, self.pieces, self.linked = path, tag, [], 0
+    def __init__(self, path: tuple[tuple[int, str], ...], tag: str, labels: tuple[int, ...]):
+        self.path, self.tag, self.pieces, self.linked, self.labels = path, tag, [], 0, labels
 
     def text(self) -> str:
         """White space as one space, none at the ends."""
@@ -90,11 +92,26 @@ class Page:
     def __init__(self, html: str):
         self.blocks: list[Block] = []
         self.count = 0
-        # Open elements: tag, whether it starts what is dropped, and (number, step) of a container.
-        self.open: list[tuple[str, bool, tuple[int, str] | None]] = []
+        # Open elements: tag, whether it starts what is dropped, (number, step) of a container, and the number of one labelled as no article.
+        self.open: list[tuple[str, bool, tuple[int, str] | None, int | None]] = []
+        self.headed: list[bool] = []  # by number of a labelled container: whether a title, article or main is in it
         self.dropping = self.links = 0
         self.block: Block | None = None
         self._read(html)
+        if self.headed:
+            self._decide()
+
+    def _decide(self) -> None:
+        """Drops the blocks in labelled containers, but for those that hold over a quarter of the page's unlinked text and a
+        title, article or main, or over three quarters of it: they are wrappers."""
+        inside, total = [0] * len(self.headed), 0
+        for block in self.blocks:
+            size = max(0, len(block.text()) - block.linked)
+            total += size
+            for label in block.labels:
+                inside[label] += size
+        wraps = [4 * size > (total if headed else 3 * total) for size, headed in zip(inside, self.headed, strict=True)]
+        self.blocks = [b for b in self.blocks if all(wraps[label] for label in b.labels)]
 
     def _read(self, html: str) -> None:
         at, end = 0, len(html)
@@ -125,7 +142,7 @@ class Page:
             if text.isspace():
                 return
             tag = next((x[0] for x in reversed(self.open) if x[0] in BLOCKS or x[2]), "")
-            self.block = Block((ROOT, *(x[2] for x in self.open if x[2])), tag)
+            self.block = Block((ROOT, *(x[2] for x in self.open if x[2])), tag, tuple(x[3] for x in self.open if x[3] is not None))
             self.blocks.append(self.block)
         self.block.pieces.append(text)
         if self.links:
@@ -145,25 +162,37 @@ class Page:
                 self._close_sibling(tag, CLOSES_ITSELF[tag])
             self.block = None
         css, words = _labels(attributes)
-        drop = tag in DROPPED or (not words.isdisjoint(BOILERPLATE) and tag not in ("html", "body"))
-        if not drop and (tag == "header" or "header" in words):
-            drop = not any(x[0] == "article" for x in self.open)  # the site's, not the article's
-        step = None
+        told = not words.isdisjoint(BOILERPLATE) or ("header" in words and not any(x[0] == "article" for x in self.open))
+        told &= tag not in ("html", "body", "article", "main")
+        apart = tag in CONTAINERS or tag in BLOCKS or "-" in tag  # no text runs on over its edges
+        drop = tag in DROPPED or (told and not apart)
+        if not drop and tag == "header":
+            drop = told or not any(x[0] == "article" for x in self.open)  # the site's, not the article's
+        step = label = None
+        if not drop and not self.dropping:
+            if tag in ("h1", "article", "main") and words.isdisjoint(BOILERPLATE):
+                for x in self.open:
+                    if x[3] is not None:
+                        self.headed[x[3]] = True
+            if told:
+                label = len(self.headed)
+                self.headed.append(False)
+                self.block = None
         if tag in CONTAINERS:
             self.count += 1
             name = ".".join([tag, *sorted(DIGITS.sub("0", c) for c in css.split())])
             step = (self.count, name)
         if attributes.rstrip().endswith("/") and tag in ("svg", "path", "iframe"):
             return
-        self.open.append((tag, drop, step))
+        self.open.append((tag, drop, step, label))
         self.dropping += drop
         self.links += tag == "a"
 
     def _pop(self) -> None:
-        tag, drop, _ = self.open.pop()
+        tag, drop, _, label = self.open.pop()
         self.dropping -= drop
         self.links -= tag == "a"
-        if tag in BLOCKS or tag in CONTAINERS:
+        if tag in BLOCKS or tag in CONTAINERS or label is not None:
             self.block = None
 
     def _pop_to_paragraph(self) -> bool:
