@@ -1,0 +1,107 @@
+"""Product codes against plain k-means, and the bounds against full scans."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+
+from tests.llm.conftest import plain
+from tillmart.llm.queries import queries
+from tillmart.llm.vector_codes import ENTRIES, NONE, Bounds, bring_up, displacements, nearest, product_codes
+
+SCHEMA = "vec_id long, embedding array<float>, label int, code string, own string, error string, vector string"
+
+
+def brute(rows: list[tuple]) -> tuple[list[tuple], list]:
+    """(vec_id, code, error, label_error) and the codebooks, by measuring every distance."""
+    usable = [r for r in rows if r[1] is not None and all(x is not None and math.isfinite(x) for x in r[1])]
+    whole = [[math.floor(1024 * x) for x in r[1]] for r in usable]
+    size = len(whole[0]) // 4
+    parts = [[v[p * size : (p + 1) * size] for v in whole] for p in range(4)]
+    order = sorted(range(len(usable)), key=lambda i: (usable[i][0] is None, usable[i][0] or 0, whole[i]))[:256]
+    books = [[parts[p][i] for i in order] for p in range(4)]
+    apart = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+    for turn in range(5):
+        codes = [[min((apart(x, e), k) for k, e in enumerate(books[p])) for x in parts[p]] for p in range(4)]
+        if turn < 4:
+            for p in range(4):
+                for k in range(len(books[p])):
+                    mine = [x for x, (_, c) in zip(parts[p], codes[p]) if c == k]
+                    if mine:
+                        books[p][k] = [sum(column) // len(mine) for column in zip(*mine)]
+    errors = [sum(codes[p][i][0] for p in range(4)) for i in range(len(usable))]
+    of: dict = {}
+    for r, e in zip(usable, errors):
+        of[r[2]] = of.get(r[2], 0) + e
+    return [(r[0], "".join(f"{codes[p][i][1]:02x}" for p in range(4)), errors[i], of[r[2]]) for i, r in enumerate(usable)], books
+
+
+def table(seed: int, n: int, spread: float) -> list[tuple]:
+    rng = random.Random(seed)
+    centres = [[rng.gauss(0, 1) for _ in range(8)] for _ in range(30)]
+    f32 = lambda x: float(np.float32(x))
+    rows = [(i, [f32(c + rng.gauss(0, spread)) for c in rng.choice(centres)], rng.choice([None, 1, 2, 3])) for i in range(n)]
+    rows += [(n + 1, None, 1), (n + 2, rows[0][1][:7] + [None], 1), (n + 3, rows[0][1][:7] + [float("nan")], 1), (n + 4, rows[0][1][:7] + [float("-inf")], 2)]
+    rows += [(None, rows[min(3, n - 1)][1], None), (5, rows[min(7, n - 1)][1], 9), (5, rows[min(7, n - 1)][1], 9), (6, [0.0] * 8, 1)]
+    rng.shuffle(rows)
+    return [(*r, *["clash"] * 4) for r in rows]
+
+
+@pytest.mark.parametrize("seed,n,spread", [(1, 500, 0.05), (2, 400, 1.0), (3, 60, 0.3), (4, 1, 0.1)])
+def test_query_against_plain_kmeans(spark, tmp_path, seed, n, spread):
+    rows = table(seed, n, spread)
+    want, books = brute(rows)
+    spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = queries()["op13_vector_codes"](spark, str(tmp_path))
+    assert plain(got.select("vec_id", "code", "error", "label_error")) == sorted(want, key=repr)
+    text = ",".join(str(x) for part in books for entry in part for x in entry)
+    assert {r.codebooks_sha256 for r in got.select("codebooks_sha256").collect()} == {hashlib.sha256(text.encode()).hexdigest()}
+
+
+def test_tables_without_usable_vectors(spark):
+    for rows in ([], [(1, None, 1)], [(1, [1.0, float("nan")], None)]):
+        codes, books = product_codes(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string"))
+        assert codes.columns == ["vec_id", "label", "code", "error"] and codes.collect() == [] and books.shape == (4, 0, 0)
+    codes, books = product_codes(spark.createDataFrame([(1, [], "a"), (2, [], "b")], "vec_id long, embedding array<double>, label string"))
+    assert [(r.vec_id, bytes(r.code), r.error) for r in codes.collect()] == [(1, b"\0\0\0\0", 0), (2, b"\0\0\0\0", 0)]
+
+
+def test_unequal_lengths_and_large_components_fail(spark):
+    for rows in ([(1, [1.0] * 4), (2, [1.0] * 8)], [(1, [1.0] * 6)], [(1, [1e9] * 4)]):
+        with pytest.raises(Exception, match="length|components|beyond"):
+            product_codes(spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, label int"))[0].collect()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_bounds_never_change_an_answer(seed):
+    """Entries that wander, some of them back: the state equals a full scan in every round, with fewer scans; bounds hold."""
+    rng = np.random.default_rng(seed)
+    parts = rng.integers(-900, 900, (600, 4))
+    book = parts[:ENTRIES][rng.permutation(min(ENTRIES, 40))].copy()
+    history, state, scans = [book], Bounds.unknown(len(parts)), []
+    home = book.copy()
+    for turn in range(8):
+        scans.append(bring_up(parts, np.stack(history), state))
+        code, best, _ = nearest(parts, history[-1])
+        assert state.code.tolist() == code.tolist()
+        same = state.own_stamp == turn
+        assert (state.own[same] == best[same]).all() and (state.lower_stamp != NONE).all()
+        # Back and forth: the way is long, the net displacement is not.
+        history.append(home + rng.integers(-3, 4, home.shape) * (1 + turn % 2))
+    assert scans[0] == len(parts) and max(scans[1:]) < len(parts) // 2
+
+
+def test_net_displacement_is_tighter_than_the_way():
+    history = np.array([[[0, 0], [9, 9]], [[5, 0], [9, 9]], [[0, 1], [9, 9]]])
+    moved, others = displacements(history)
+    assert moved[0][0] == pytest.approx(1) and moved[1][0] == pytest.approx(math.sqrt(26)) and moved[2].tolist() == [0, 0]
+    assert others[0].tolist() == [0, moved[0][0]]
+
+
+def test_ties_go_to_the_lower_entry():
+    code, best, other = nearest(np.array([[0], [4]]), np.array([[2], [-2], [2]]))
+    assert code.tolist() == [0, 0] and best.tolist() == [4, 4] and other.tolist() == [4, 4]

@@ -113,7 +113,64 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM docs LEFT JOIN told ON docs.row = told.row
 """
 
-ORACLES: dict[str, str] = {"op3_source_mix": OP3, "op7_exact_dedup": OP7, "op10_secrets": OP10}
+OP12 = """
+WITH records AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+),
+placed AS (SELECT *, first_value(page_id) OVER (PARTITION BY payload_digest ORDER BY page_id NULLS LAST) AS first FROM records)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+    CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM placed
+"""
+
+
+def _round(turn: int) -> str:
+    """Every part's nearest entry of the codebooks ``turn``, and the codebooks after it."""
+    return f"""
+near{turn} AS MATERIALIZED (
+    SELECT row, p, arg_min(e, (apart, e)) AS e, min(apart) AS apart FROM (
+        SELECT x.row, x.p, c.e, (x.norm - 2 * list_inner_product(x.part, c.part) + list_inner_product(c.part, c.part))::BIGINT AS apart
+        FROM parts x JOIN book{turn} c ON x.p = c.p
+    ) GROUP BY row, p
+),
+sums{turn} AS (
+    SELECT p, e, place, count(*) AS n, sum(value::HUGEINT) AS total FROM (
+        SELECT x.p, near.e, unnest(x.part) AS value, unnest(range(len(x.part))) AS place
+        FROM parts x JOIN near{turn} near ON x.row = near.row AND x.p = near.p
+    ) GROUP BY p, e, place
+),
+book{turn + 1} AS MATERIALIZED (
+    SELECT b.p, b.e, coalesce(m.part, b.part) AS part FROM book{turn} b LEFT JOIN (
+        SELECT p, e, list(((total - ((total % n) + n) % n) // n)::DOUBLE ORDER BY place) AS part FROM sums{turn} GROUP BY p, e
+    ) m ON b.p = m.p AND b.e = m.e
+)"""
+
+
+# The distances are sums of products of whole numbers far below 2^53, so doubles hold them exactly.
+OP13 = f"""
+WITH usable AS (
+    SELECT row_number() OVER () AS row, vec_id, label, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS whole FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+parts AS MATERIALIZED (
+    SELECT *, list_inner_product(part, part) AS norm FROM (
+        SELECT row, p, whole[p * (len(whole) // 4) + 1:(p + 1) * (len(whole) // 4)] AS part FROM usable, range(4) AS t(p)
+    )
+),
+first AS (SELECT row, row_number() OVER (ORDER BY vec_id NULLS LAST, whole) - 1 AS e FROM usable QUALIFY e < 256),
+book0 AS MATERIALIZED (SELECT p, e, part FROM parts JOIN first ON parts.row = first.row),
+{",".join(_round(turn) for turn in range(5))},
+coded AS (SELECT row, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, sum(apart)::BIGINT AS error FROM near4 GROUP BY row),
+books AS (
+    SELECT sha256(string_agg(component, ',' ORDER BY p, e, place)) AS codebooks_sha256
+    FROM (SELECT p, e, unnest(part)::BIGINT::VARCHAR AS component, unnest(range(len(part))) AS place FROM book4)
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM usable JOIN coded ON usable.row = coded.row, books
+"""
+
+ORACLES: dict[str, str] = {"op3_source_mix": OP3, "op7_exact_dedup": OP7, "op10_secrets": OP10, "op12_arc_convert": OP12, "op13_vector_codes": OP13}
 
 
 def oracle_sql() -> dict[str, str]:
