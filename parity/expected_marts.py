@@ -84,7 +84,7 @@ MARTS = {
                CASE WHEN event_id % 11 <> 0 THEN CAST(event_id % 25 AS VARCHAR) END AS expense_category_id,
                CASE WHEN event_id % 11 <> 0 THEN (event_id % 25) || '-' || {BRANCH.format("user_id")} END
                    AS expense_category_key
-        FROM events WHERE event_type IN ('signup', 'view')""",
+        FROM events""",
     "product_categories_details": f"""
         SELECT k AS id_product_category, p_type AS product_category_name, CAST(k % 100 AS INTEGER) AS position,
                CAST(NULL AS INTEGER) AS preparation_time, k % 2 = 0 AS enable_online_menu,

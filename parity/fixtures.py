@@ -194,7 +194,7 @@ def payments_of(events: DataFrame) -> DataFrame:
 
 
 def expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").where(F.col("event_type").isin("signup", "view"))
+    events = table(spark, sf_dir, "events")
     key = F.col("event_id")
     return _records(
         events,
@@ -293,7 +293,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def discounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = F.col("l_orderkey")
     return _records(
-        table(spark, sf_dir, "lineitem").where("l_discount > 0"),
+        table(spark, sf_dir, "lineitem"),
         text_id(order * 10 + F.col("l_linenumber")),
         order % N_BRANCHES,
         {

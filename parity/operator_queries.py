@@ -131,7 +131,7 @@ def source_pages_completeness(spark, sf_dir):
            'amount,canceled,createdAt,date,' || CASE WHEN event_id % 3 = 0 THEN 'receiptNumber,' ELSE '' END
                || 'status,useInCashCount' AS attributes,
            'expenseCategory,expenseItems,user' AS relationships
-    FROM events WHERE event_type IN ('signup', 'view')""")
+    FROM events""")
 def source_project_fields(spark, sf_dir):
     """Records come with members nobody asked for; those must go."""
     extra = F.regexp_replace(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parity import fixtures as fx
@@ -16,9 +16,11 @@ from tillmart.functions.payload import leaf
 from tillmart.operators.flatten import flatten
 from tillmart.plans import raw_store
 from tillmart.plans.load import LoadOptions
-from tillmart.plans.run import BRANCH_TABLE, read_audit, run
+from tillmart.plans.quarantine import held_pages, put_aside, with_held
+from tillmart.plans.run import BRANCH_TABLE, STATUS_TABLE, read_audit, run
 from tillmart.plans.views import open_warehouse
 from tillmart.plans.warehouse import Warehouse, new_version
+from tillmart.schemas import STATUS
 from tillmart.session import scratch_folder
 
 FIRST, SECOND = (dt.datetime(2024, month, 1, tzinfo=dt.timezone.utc) for month in (2, 3))
@@ -179,3 +181,106 @@ def latest_of_two_landings(spark, sf_dir):
     warehouse.refresh()
     rows = raw_store.read_raw(warehouse, ENTITIES["sales"])
     return rows.select("source_id", "branch_id", leaf("attributes.total").cast("double").alias("total"), "extracted_at")
+
+
+def landed_on(pages: DataFrame, day: str) -> DataFrame:
+    return pages.withColumn("landed_at", F.lit(day).cast("timestamp"))
+
+
+@query(f"""
+    WITH told AS (SELECT {BRANCH.format("o_orderkey")} AS branch_id, count(*) AS n FROM orders GROUP BY 1)
+    SELECT {FIRST_TS} + INTERVAL (run) HOUR AS run_ts, branch_id, n AS extracted,
+           CASE WHEN run = 0 THEN n ELSE 0 END AS inserted, CAST(0 AS BIGINT) AS updated,
+           CASE WHEN run = 0 THEN 0 ELSE n END AS unchanged, n AS held, CAST(0 AS BIGINT) AS replaced
+    FROM told, range(4) AS runs(run)""")
+def reload_of_older_landing(spark, sf_dir):
+    """A landing, and then three times one that is older: nothing is added, nothing is counted as changed."""
+    orders = fx.table(spark, sf_dir, "orders")
+    new = landed_on(pages_of(fx.sales_of(orders.withColumn("o_totalprice", F.col("o_totalprice") + 1)), "sales"), "2024-01-02")
+    old = landed_on(pages_of(fx.sales_of(orders), "sales"), "2024-01-01")
+    warehouse = warehouse_for(spark, new)
+    for hour, pages in enumerate((new, old, old, old)):
+        run(spark, pages, warehouse.root, FIRST + dt.timedelta(hours=hour), marts=[], register=False)
+    warehouse.refresh()
+    sales = ENTITIES["sales"]
+    held = raw_store.read_raw(warehouse, sales).groupBy("branch_id").agg(F.count(F.lit(1)).alias("held"))
+    replaced = raw_store.read_history(warehouse, sales).groupBy("branch_id").agg(F.count(F.lit(1)).alias("replaced"))
+    told = read_audit(warehouse).select("run_ts", "branch_id", "extracted", "inserted", "updated", "unchanged")
+    return told.join(held, "branch_id").join(replaced, "branch_id", "left").withColumn("replaced", F.coalesce("replaced", F.lit(0)).cast("bigint"))
+
+
+def line_records(orders: DataFrame, price, canceled) -> DataFrame:
+    """Orders as order lines of their own."""
+    key = F.col("o_orderkey")
+    made = {"createdAt": fx.iso(F.col("o_orderdate")), "price": price, "quantity": F.lit(2.0), "canceled": canceled}
+    return fx._records(orders, fx.text_id(key), key % fx.N_BRANCHES, made, {"sale": fx.one(fx.text_id(key)), "product": fx.one(fx.text_id(key % 7))})
+
+
+@query(f"""
+    SELECT o_orderkey AS id_order_line_source, {BRANCH.format("o_orderkey")} AS branch_id,
+           CASE WHEN o_orderkey % 5 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS price_from_api
+    FROM orders""")
+def stored_marts_by_change(spark, sf_dir):
+    """Order lines over four loads, of which the last three touch some: where the newest version is canceled, the one before shows."""
+    orders = fx.table(spark, sf_dir, "orders")
+    key, price, no, yes = F.col("o_orderkey"), F.col("o_totalprice"), F.lit(False), F.lit(True)
+    loads = [
+        line_records(orders, price, no),
+        line_records(orders.where(key % 3 == 0), price, yes),
+        line_records(orders.where(key % 5 == 0), price + 1, no),
+        line_records(orders.where(key % 15 == 0), price + 2, yes),
+    ]
+    # Without a time of their own they are stamped by their run.
+    pages = [pages_of(records.drop("extracted_at"), "items") for records in loads]
+    warehouse = warehouse_for(spark, pages[0])
+    for hour, some in enumerate(pages):
+        run(spark, some, warehouse.root, FIRST + dt.timedelta(hours=hour), marts=["sales_order_line"], register=False)
+    warehouse.refresh()
+    return warehouse.read_published("marts/sales_order_line").select("id_order_line_source", "branch_id", "price_from_api")
+
+
+@query(f"""
+    WITH told AS (SELECT {BRANCH.format("o_orderkey")} AS branch_id, count(*) AS n FROM orders GROUP BY 1),
+    sets AS (SELECT *, (n + 499) // 500 AS pages, n % 500 <> 0 AS ends FROM told)
+    SELECT {FIRST_TS} AS run_ts, branch_id, CASE WHEN pages = 1 AND ends THEN 'LOADED' ELSE 'INCOMPLETE' END AS status, ends AS advanced
+    FROM sets
+    UNION ALL
+    SELECT {SECOND_TS}, branch_id, CASE WHEN ends THEN 'LOADED' ELSE 'INCOMPLETE' END, ends FROM sets WHERE pages > 1""")
+def completeness_over_loads(spark, sf_dir):
+    """The odd pages of each branch in one load, the even ones in the next: a set is complete, and its status advances, when its last page comes."""
+    orders = fx.table(spark, sf_dir, "orders")
+    place = F.row_number().over(Window.partitionBy(F.col("o_orderkey") % fx.N_BRANCHES).orderBy("o_orderkey"))
+    number = F.floor((place - 1) / 500).cast("int") + 1
+    numbers = orders.select(F.col("o_orderkey").cast("string").alias("id"), number.alias("page_no"))
+    records = fx.sales_of(orders).withColumn("id", F.get_json_object("record", "$.id")).join(numbers, "id")
+    body = F.concat(F.lit('{"data":['), F.concat_ws(",", F.collect_list("record")), F.lit("]}"))
+    paged = records.groupBy("branch_id", "page_no").agg(body.alias("body"))
+    pages = paged.select("branch_id", F.lit("sales").alias("entity"), "page_no", "body", F.lit(None).cast("timestamp").alias("landed_at"))
+    warehouse = warehouse_for(spark, pages)
+    for when, odd in ((FIRST, 1), (SECOND, 0)):
+        run(spark, pages.where(F.col("page_no") % 2 == odd), warehouse.root, when, marts=[], register=False)
+    warehouse.refresh()
+    status = warehouse.read(STATUS_TABLE, STATUS).select("branch_id", F.lit(True).alias("advanced"))
+    told = read_audit(warehouse).select("run_ts", "branch_id", "status").join(status, "branch_id", "left")
+    return told.withColumn("advanced", F.coalesce("advanced", F.lit(False)))
+
+
+@query(f"""
+    SELECT {BRANCH.format("o_orderkey")} AS branch_id, count(*) AS held, CAST(sum(o_orderkey) AS BIGINT) AS id_sum, CAST(0 AS BIGINT) AS aside
+    FROM orders GROUP BY 1""")
+def quarantine_and_replay(spark, sf_dir):
+    """A branch whose page has a bad record fails; the others load, and it does when that page lands again, with nothing twice."""
+    orders = fx.table(spark, sf_dir, "orders")
+    good = pages_of(fx.sales_of(orders), "sales")
+    spoilt = (F.col("branch_id") == "branch_1") & (F.col("page_no") == 1)
+    bad = good.withColumn("body", F.when(spoilt, F.regexp_replace("body", r'^\{"data":\[', '{"data":[{"id":null},')).otherwise(F.col("body")))
+    warehouse = warehouse_for(spark, good)
+    for hour, batch in enumerate((bad, good.where(spoilt))):
+        pages = with_held(batch, held_pages(warehouse))
+        report = run(spark, pages, warehouse.root, FIRST + dt.timedelta(hours=hour), marts=[], register=False)
+        warehouse.refresh()
+        put_aside(warehouse, pages, report)
+    rows = raw_store.read_raw(warehouse, ENTITIES["sales"])
+    aside = held_pages(warehouse).groupBy("branch_id").agg(F.count(F.lit(1)).alias("aside"))
+    told = rows.groupBy("branch_id").agg(F.count(F.lit(1)).alias("held"), F.sum(F.col("source_id").cast("bigint")).alias("id_sum"))
+    return told.join(aside, "branch_id", "left").withColumn("aside", F.coalesce("aside", F.lit(0)).cast("bigint"))

@@ -37,7 +37,7 @@ def test_each_file_is_loaded_once(spark, tmp_path):
     assert [r.ok for r in follow()] == [True]
     assert follow() == []
     assert rows_of(warehouse.read_published("marts/sales_order"), "id_order") == [(1,), (3,)]
-    assert raw_store.read_log(warehouse, ENTITIES["items"]).count() == 1
+    assert raw_store.read_raw(warehouse, ENTITIES["items"]).count() == 1
     assert rows_of(read_audit(warehouse), "entity", "extracted", "inserted", "updated") == [
         ("items", 1, 1, 0), ("sales", 2, 1, 1), ("sales", 2, 2, 0)
     ]

@@ -6,7 +6,7 @@ import pytest
 from conftest import as_text, at, item, payment, sale
 
 from tillmart.entities import ENTITIES
-from tillmart.functions.records import shred
+from tillmart.functions.records import shred, to_raw
 from tillmart.operators.checks import unique_violations
 from tillmart.operators.dedupe import latest_per_key
 from tillmart.operators.flatten import flatten
@@ -116,7 +116,7 @@ def test_append_reads_keys_of_the_raw_table_and_shuffles_each_side_once(stored,
 def test_change_detection_reads_keys_only(stored, raw):
     batch = raw("sales", ("b", at(2), 0, sale("2")))
     plan = plan_of(changed_records(stored("sales"), batch))
-    assert read_schemas(plan) == ["struct<source_id:string,payload_checksum:string>"]
+    assert read_schemas(plan) == ["struct<source_id:string,extracted_at:timestamp,payload_checksum:string,ingest_seq:bigint>"]
     assert plan.count("Exchange hashpartitioning") == 2
 
 
@@ -163,11 +163,12 @@ def test_few_changes_are_broadcast_to_the_records(spark, stored, tmp_path):
     """Without a hint: the written changes are small, so their size allows it."""
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     records = spark.createDataFrame([("b", 1, as_text(item("2")))], RECORDS)
+    rows = to_raw(records, ENTITIES["items"], at(3))
     path = str(tmp_path / "changes")
     staged_changes(records, stored("items"), ENTITIES["items"], at(3)).write.parquet(path)
-    plan = plan_of(with_payload(spark.read.parquet(path), records))
+    plan = plan_of(with_payload(spark.read.parquet(path), rows))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    plan = plan_of(with_payload(spark.read.parquet(path), records))
+    plan = plan_of(with_payload(spark.read.parquet(path), rows))
     # The choice of one row per address uses the partitioning of the join.
     assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 2

@@ -123,9 +123,25 @@ _ALL = [
             to_one("paymentMethod"),
             to_one("expenseCategory"),
         ),
-        requested=tuple(
-            "amount canceled cashRegister createdAt date description dueDate expenseCategory expenseItems"
-            " paymentDate paymentMethod provider receiptNumber receiptType status useInCashCount user".split()
+        # The fields asked of the source.
+        requested=(
+            "amount",
+            "canceled",
+            "cashRegister",
+            "createdAt",
+            "date",
+            "description",
+            "dueDate",
+            "expenseCategory",
+            "expenseItems",
+            "paymentDate",
+            "paymentMethod",
+            "provider",
+            "receiptNumber",
+            "receiptType",
+            "status",
+            "useInCashCount",
+            "user",
         ),
     ),
     Entity(

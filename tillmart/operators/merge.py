@@ -37,15 +37,22 @@ def _one_per_record(batch: DataFrame, on_duplicate: str) -> DataFrame:
     return ranked.where(F.when(F.col("_n") > 1, twice).otherwise(F.lit(True))).drop("_n")
 
 
+def _supersedes(held: Column) -> Column:
+    """Whether a row changes the content of ``held``, a struct of the arrival order, and arrived after it."""
+    arrival = F.struct(*ARRIVAL_ORDER)
+    return held.isNull() | (~F.col("payload_checksum").eqNullSafe(held["payload_checksum"]) & (arrival > held))
+
+
 def changed_records(current: DataFrame, batch: DataFrame, on_duplicate: str = "last") -> DataFrame:
     """Batch rows that insert a record or change its content, with ``action``.
 
-    ``current`` has one row per record. What is left out is unchanged.
+    ``current`` has one row per record. What is left out is unchanged, or arrived before what is held: an older landing
+    that is loaded late, or again, changes nothing.
     """
-    held = current.select(*RECORD_KEY, F.col("payload_checksum").alias("_held"))
+    held = current.select(*RECORD_KEY, F.struct(*ARRIVAL_ORDER).alias("_held"))
     joined = _one_per_record(batch, on_duplicate).join(held, RECORD_KEY, "left")
     return (
-        joined.where(~F.col("_held").eqNullSafe(F.col("payload_checksum")))
+        joined.where(_supersedes(F.col("_held")))
         .withColumn("action", F.when(F.col("_held").isNull(), "insert").otherwise("update"))
         .drop("_held")
     )
@@ -54,13 +61,15 @@ def changed_records(current: DataFrame, batch: DataFrame, on_duplicate: str = "l
 def upsert_latest(raw: DataFrame, batch: DataFrame, on_duplicate: str = "last") -> DataFrame:
     """The table after the batch, one row per record.
 
-    A record with the same checksum keeps its old row, extraction time included.
+    A record with the same checksum keeps its old row, extraction time included; so does one whose new row arrived before it.
     """
     rest = [c for c in raw.columns if c not in RECORD_KEY]
     old = raw.select(*RECORD_KEY, F.struct(*rest).alias("_old"))
     new = _one_per_record(batch, on_duplicate).select(*RECORD_KEY, F.struct(*rest).alias("_new"))
+    arrival = lambda side: F.struct(*[F.col(f"{side}.{c}") for c in ARRIVAL_ORDER])
     differs = ~F.col("_old.payload_checksum").eqNullSafe(F.col("_new.payload_checksum"))
-    row = F.when(F.col("_new").isNotNull() & differs, F.col("_new")).otherwise(F.col("_old"))
+    later = F.col("_old").isNull() | (differs & (arrival("_new") > arrival("_old")))
+    row = F.when(F.col("_new").isNotNull() & later, F.col("_new")).otherwise(F.col("_old"))
     return (
         old.join(new, RECORD_KEY, "full_outer").select(*RECORD_KEY, row.alias("_row"))
         .select(*RECORD_KEY, "_row.*").select(*raw.columns)

@@ -9,19 +9,19 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillmart.entities import Entity
-from tillmart.functions.payload import computed_once
-from tillmart.functions.records import name_uuid, payload_checksum, shred, to_raw
+from tillmart.functions.records import name_uuid, shred, to_raw
 from tillmart.operators.dedupe import first_per_key
 from tillmart.operators.merge import changed_records, new_versions
 from tillmart.plans import raw_store
-from tillmart.plans.warehouse import Warehouse, new_version, remove_folder
-from tillmart.schemas import AUDIT, RAW_COLUMNS, REJECTS
+from tillmart.plans.warehouse import Conflict, Warehouse, new_version, remove_folder
+from tillmart.schemas import AUDIT, RAW_COLUMNS, REJECTS, UNFINISHED
 from tillmart.session import scratch_folder
-from tillmart.sources.pages import page_completeness, unnest_pages
-from tillmart.sources.selection import incremental_filter_by_status, project_fields
+from tillmart.sources.pages import completeness_over_loads, page_counts
 
 
-REJECT_FOLDER = "rejects"
+REJECT_FOLDER, AUDIT_FOLDER = "rejects", "audit"
+UNFINISHED_TABLE = "config/unfinished_pages"
+TRIES = 3  # a load is tried against other runners
 
 
 @dataclass(frozen=True)
@@ -37,13 +37,17 @@ class LoadOptions:
 def staged_changes(
     records: DataFrame, raw: DataFrame, entity: Entity, run_ts: datetime, on_duplicate: str = "last"
 ) -> DataFrame:
+    """``changes_of`` the records of one entity, taken from their JSON here."""
+    return changes_of(to_raw(records, entity, run_ts), raw, entity, on_duplicate)
+
+
+def changes_of(rows: DataFrame, raw: DataFrame, entity: Entity, on_duplicate: str = "last") -> DataFrame:
     """What a batch adds to the raw table, with ``action``, and its rejects; no payloads.
 
     Most records of a full reload are known, so what is shuffled to find that out is
     ids and checksums only. Rejects get a key of their own, which equals no other, and
-    so ride along through the merge: the pages are read and parsed once for both.
+    so ride along through the merge: the batch is read once for both.
     """
-    rows = to_raw(records, entity, run_ts)
     rejected = F.col("reject_reason").isNotNull()
     what = F.coalesce(F.col("page_md5") if "page_md5" in rows.columns else F.lit(None), F.col("payload_checksum"), F.md5("payload"), F.lit(""))
     own_key = name_uuid(F.lit("reject"), F.col("branch_id"), F.col("ingest_seq").cast("string"), F.unix_micros("extracted_at").cast("string"), what)
@@ -60,68 +64,97 @@ def staged_changes(
     return delta.select(*envelope, action.alias("action"), "reject_reason", "bad_date")
 
 
-def with_payload(changes: DataFrame, records: DataFrame) -> DataFrame:
-    """Raw rows: the changes and, from the records they came from, the payloads.
+def with_payload(changes: DataFrame, rows: DataFrame) -> DataFrame:
+    """Raw rows: the changes and, from the rows they came from (branch_id, ingest_seq, payload and checksum), the payloads.
 
     The changes are a written table, so Spark knows their size: few of them are
-    broadcast and the records stay where they are, many are joined by a shuffle.
+    broadcast and the rows stay where they are, many are joined by a shuffle.
     The checksum is compared too, in case a page number was used twice in a load.
     """
-    address = ["branch_id", "ingest_seq"]
-    found = records.select(*address, F.col("record").alias("payload")).join(changes, address)
-    parsed = computed_once(found, "_v", F.try_parse_json("payload"))
-    same = parsed.where(payload_checksum(F.col("_v")) == F.col("payload_checksum"))
-    return first_per_key(same.select(*RAW_COLUMNS), address + ["payload_checksum"])
+    address = ["branch_id", "ingest_seq", "payload_checksum"]
+    found = rows.select(*address, "payload").join(changes, address)
+    return first_per_key(found.select(*RAW_COLUMNS), address)
+
+
+def since_last_load(rows: DataFrame, entity: Entity, status: DataFrame) -> DataFrame:
+    """Staged rows without the records dated before their branch's last extraction. What has no date stays."""
+    if entity.incremental_by is None:
+        return rows
+    since = status.where(F.col("entity") == entity.name).select("branch_id", F.col("last_successful_extraction").alias("_since"))
+    old = F.coalesce(F.col("dated") < F.col("_since"), F.lit(False))
+    return rows.join(since, "branch_id", "left").where(~old).drop("_since")
 
 
 def load_entity(
     warehouse: Warehouse,
-    pages: DataFrame,
+    staged: DataFrame,
     entity: Entity,
-    branches: DataFrame,
     status: DataFrame,
     run_ts: datetime,
     audit_path: str,
     options: LoadOptions = LoadOptions(),
 ) -> None:
-    """Load all branches of an entity together and write its audit rows.
+    """Load all branches of an entity together out of ``staged`` rows (see ``staging``), and write its audit rows.
 
     The changes are first written to a staging folder. That settles them for the counts,
     for the decision which branches failed, and for the append, and a lost executor
-    costs no more than its own tasks. Loading the same run again adds nothing.
+    costs no more than its own tasks. Loading the same run again adds nothing, and if another
+    runner adds to the table meanwhile, the changes are found anew against what it added.
 
-    The entity's pages are read three times (changes, payloads of changes, page counts),
-    so they should lie apart from those of other entities.
+    Page counts of page sets that are not complete yet are left beside the audit rows, for the load that brings the rest.
     """
-    mine = pages.where(F.col("entity") == entity.name).join(branches.select("branch_id"), "branch_id", "left_semi")
-    records = project_fields(unnest_pages(mine), entity)
+    mine = staged.where(F.col("entity") == entity.name)
+    # A page that can't be read is a reject; the rows of other pages are for counting only.
+    rows = mine.where("pos >= 0 OR reject_reason IS NOT NULL")
     if options.incremental:
-        records = incremental_filter_by_status(records, entity, status)
-    raw = raw_store.read_raw(warehouse, entity)
+        rows = since_last_load(rows, entity, status)
 
     scratch = scratch_folder(warehouse.spark, f"{warehouse.root}/_staging")
-    staging = f"{scratch}/{entity.table}-{new_version()}"
-    staged_changes(records, raw, entity, run_ts, options.on_duplicate).write.mode("overwrite").parquet(staging)
-    staged = warehouse.spark.read.parquet(staging)
+    rejects_path = f"{warehouse.folder(REJECT_FOLDER)}/{entity.table}/load={new_version()}"
+    for attempt in range(TRIES):
+        folder = f"{scratch}/{entity.table}-{new_version()}"
+        changes_of(rows, raw_store.read_raw(warehouse, entity), entity, options.on_duplicate).write.mode("overwrite").parquet(folder)
+        changes = warehouse.spark.read.parquet(folder)
+        try:
+            _add(warehouse, entity, changes, rows, rejects_path, options)
+            break
+        except Conflict:
+            if attempt + 1 == TRIES:
+                raise
+            warehouse.refresh()
+            remove_folder(warehouse.spark, folder)
+
+    counted = mine.where("pos < 0").select("branch_id", "entity", "page_no", F.col("page_records").alias("n"), F.col("reject_reason").isNotNull().alias("bad"))
+    told, unfinished = completeness_over_loads(page_counts(counted), warehouse.read(UNFINISHED_TABLE, UNFINISHED).where(F.col("entity") == entity.name))
+    audit = load_audit(told, changes, entity, run_ts, options.on_reject)
+    audit.coalesce(1).write.mode("overwrite").parquet(audit_path)
+    # Pages of branches that failed were not loaded: they do not count as come.
+    failed = warehouse.spark.read.schema(AUDIT).parquet(audit_path).where("status = 'FAILED'").select("branch_id")
+    unfinished.join(failed, "branch_id", "left_anti").write.mode("overwrite").parquet(unfinished_path(audit_path))
+    remove_folder(warehouse.spark, folder)
 
-    rejects, good = staged.where("action = 'reject'"), staged.where("action <> 'reject'")
+
+def unfinished_path(audit_path: str) -> str:
+    """Where a load leaves the page counts of unfinished sets, beside its audit rows."""
+    return audit_path.replace(f"/{AUDIT_FOLDER}/", f"/{AUDIT_FOLDER}_pages/")
+
+
+def _add(warehouse: Warehouse, entity: Entity, changes: DataFrame, rows: DataFrame, rejects_path: str, options: LoadOptions) -> None:
+    """Write the rejects of staged changes and add the rest to the raw table."""
+    rejects, good = changes.where("action = 'reject'"), changes.where("action <> 'reject'")
     if not rejects.isEmpty():
-        path = f"{warehouse.folder(REJECT_FOLDER)}/{entity.table}/load={new_version()}"
-        rejects.select(*REJECTS.fieldNames()).write.parquet(path)
+        rejects.select(*REJECTS.fieldNames()).write.mode("overwrite").parquet(rejects_path)
         if options.on_reject == "batch":
             # Read back from its own small files, whose size Spark knows.
-            failed = warehouse.spark.read.schema(REJECTS).parquet(path).select("branch_id").distinct()
+            failed = warehouse.spark.read.schema(REJECTS).parquet(rejects_path).select("branch_id").distinct()
             good = good.join(failed, "branch_id", "left_anti")
     due = good.count()
     if due:
         written = Observation()
-        rows = shred(with_payload(good, records), entity).observe(written, F.count(F.lit(1)).alias("n"))
-        raw_store.append(warehouse, entity, rows)
+        found = shred(with_payload(good, rows.where("reject_reason IS NULL")), entity).observe(written, F.count(F.lit(1)).alias("n"))
+        raw_store.add(warehouse, entity, found, good)
         if written.get["n"] != due:
             raise RuntimeError(f"{entity.table}: {due} rows are new or changed, but {written.get['n']} were written")
-    audit = load_audit(page_completeness(mine), staged, entity, run_ts, options.on_reject)
-    audit.coalesce(1).write.mode("overwrite").parquet(audit_path)
-    remove_folder(warehouse.spark, staging)
 
 
 def read_rejects(warehouse: Warehouse, entity: Entity) -> DataFrame:

@@ -8,12 +8,16 @@ newest version of a record is filtered out an older one that passes shows up aga
 
 from __future__ import annotations
 
+import hashlib
+import inspect
+import sys
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillmart.functions import payload
 from tillmart.functions.payload import all_present, branch_key, half_even_int, leaf, typed, varchar, with_doc
 from tillmart.operators.dedupe import latest_per_key
 from tillmart.schemas import ARRIVAL_ORDER, RECORD_KEY
@@ -103,27 +107,29 @@ def latest_matching(
     columns: list[Column],
     latest_first: bool = False,
     readable: Column | None = None,
+    keyed: bool = False,
 ) -> DataFrame:
-    """Rows that match and are ``readable``, projected, one per record: the latest.
+    """Rows that match and are ``readable``, projected, one per record: the latest. ``keyed`` adds the record's id.
 
     Only the key, the order and the projected columns are shuffled, never the payload.
     """
+    key = ["source_id"] if keyed else []
     parsed = with_doc(raw, paths)
     if readable is not None:
         condition = condition & readable
     if latest_first:
-        return latest_per_key(parsed.drop("payload")).where(condition).select(*columns)
+        return latest_per_key(parsed.drop("payload")).where(condition).select(*columns, *key)
     names = parsed.select(*columns).columns
     own = [column for column, name in zip(columns, names) if name not in RECORD_KEY]
     rows = parsed.where(condition).select(*RECORD_KEY, *ARRIVAL_ORDER, *own)
-    return latest_per_key(rows).select(*names)
+    return latest_per_key(rows).select(*names, *key)
 
 
 def branches(config: DataFrame) -> DataFrame:
     return config.where("is_active").select("branch_id", "branch_name")
 
 
-def categories(raw: DataFrame, strict: bool = True, latest_first: bool = False) -> DataFrame:
+def categories(raw: DataFrame, strict: bool = True, latest_first: bool = False, keyed: bool = False) -> DataFrame:
     return latest_matching(
         raw,
         [ID, NAME],
@@ -136,10 +142,11 @@ def categories(raw: DataFrame, strict: bool = True, latest_first: bool = False)
         ],
         latest_first,
         _readable("categories", strict),
+        keyed,
     )
 
 
-def payment_methods(raw: DataFrame, strict: bool = True, latest_first: bool = False) -> DataFrame:
+def payment_methods(raw: DataFrame, strict: bool = True, latest_first: bool = False, keyed: bool = False) -> DataFrame:
     return latest_matching(
         raw,
         [ID, NAME],
@@ -152,10 +159,11 @@ def payment_methods(raw: DataFrame, strict: bool = True, latest_first: bool = Fa
         ],
         latest_first,
         _readable("payment_methods", strict),
+        keyed,
     )
 
 
-def products(raw: DataFrame, strict: bool = True, latest_first: bool = False) -> DataFrame:
+def products(raw: DataFrame, strict: bool = True, latest_first: bool = False, keyed: bool = False) -> DataFrame:
     category = _rel("productCategory")
     return latest_matching(
         raw,
@@ -171,10 +179,11 @@ def products(raw: DataFrame, strict: bool = True, latest_first: bool = False) ->
         ],
         latest_first,
         _readable("products", strict),
+        keyed,
     )
 
 
-def sales_order(raw: DataFrame, strict: bool = True, latest_first: bool = False) -> DataFrame:
+def sales_order(raw: DataFrame, strict: bool = True, latest_first: bool = False, keyed: bool = False) -> DataFrame:
     total, created, closed = _attr("total"), _attr("createdAt"), _attr("closedAt")
     state, sale_type, table, waiter = _attr("saleState"), _attr("saleType"), _rel("table"), _rel("waiter")
     created_at = typed(leaf(created), "timestamp", strict)
@@ -197,6 +206,7 @@ def sales_order(raw: DataFrame, strict: bool = True, latest_first: bool = False)
         ],
         latest_first,
         _readable("sales_order", strict),
+        keyed,
     )
 
 
@@ -205,7 +215,7 @@ def _not_true(path: str, strict: bool) -> Column:
     return ~F.coalesce(typed(leaf(path), "boolean", strict), F.lit(False))
 
 
-def payments(raw: DataFrame, strict: bool = True, latest_first: bool = False) -> DataFrame:
+def payments(raw: DataFrame, strict: bool = True, latest_first: bool = False, keyed: bool = False) -> DataFrame:
     """Payments and their direction. An expense wins over a sale when both are given.
 
     There is no join to the sales: nothing is taken from them, and one row per payment
@@ -234,10 +244,11 @@ def payments(raw: DataFrame, strict: bool = True, latest_first: bool = False) ->
         ],
         latest_first,
         _readable("payments", strict),
+        keyed,
     )
 
 
-def sales_order_line(raw: DataFrame, strict: bool = True, latest_first: bool = False) -> DataFrame:
+def sales_order_line(raw: DataFrame, strict: bool = True, latest_first: bool = False, keyed: bool = False) -> DataFrame:
     created, price_text, quantity_text = _attr("createdAt"), _attr("price"), _attr("quantity")
     canceled, sale, product = _attr("canceled"), _rel("sale"), _rel("product")
     quantity = F.coalesce(typed(leaf(quantity_text), "double", strict), F.lit(0.0))
@@ -267,10 +278,11 @@ def sales_order_line(raw: DataFrame, strict: bool = True, latest_first: bool = F
         ],
         latest_first,
         _readable("sales_order_line", strict),
+        keyed,
     )
 
 
-def expense_categories(raw: DataFrame, strict: bool = True, latest_first: bool = False) -> DataFrame:
+def expense_categories(raw: DataFrame, strict: bool = True, latest_first: bool = False, keyed: bool = False) -> DataFrame:
     financial, active, parent = _attr("financialCategory"), _attr("active"), _rel("parentCategory")
     return latest_matching(
         raw,
@@ -287,10 +299,11 @@ def expense_categories(raw: DataFrame, strict: bool = True, latest_first: bool =
         ],
         latest_first,
         _readable("expense_categories", strict),
+        keyed,
     )
 
 
-def expenses(raw: DataFrame, strict: bool = True, latest_first: bool = False) -> DataFrame:
+def expenses(raw: DataFrame, strict: bool = True, latest_first: bool = False, keyed: bool = False) -> DataFrame:
     """Canceled expenses stay in, with their flag."""
     typed_attributes = [
         ("amount", "double", "amount"),
@@ -325,10 +338,11 @@ def expenses(raw: DataFrame, strict: bool = True, latest_first: bool = False) ->
         ],
         latest_first,
         _readable("expenses", strict),
+        keyed,
     )
 
 
-def product_categories_details(raw: DataFrame, strict: bool = True, latest_first: bool = False) -> DataFrame:
+def product_categories_details(raw: DataFrame, strict: bool = True, latest_first: bool = False, keyed: bool = False) -> DataFrame:
     position, preparation, online = _attr("position"), _attr("preparationTime"), _attr("enableOnlineMenu")
     kitchen, parent = _rel("kitchen"), _rel("parentCategory")
     return latest_matching(
@@ -348,10 +362,11 @@ def product_categories_details(raw: DataFrame, strict: bool = True, latest_first
         ],
         latest_first,
         _readable("product_categories_details", strict),
+        keyed,
     )
 
 
-def product_prices_by_branch(raw: DataFrame, strict: bool = True, latest_first: bool = False) -> DataFrame:
+def product_prices_by_branch(raw: DataFrame, strict: bool = True, latest_first: bool = False, keyed: bool = False) -> DataFrame:
     price, stock, active = _attr("price"), _attr("stock"), _attr("active")
     return latest_matching(
         raw,
@@ -368,6 +383,7 @@ def product_prices_by_branch(raw: DataFrame, strict: bool = True, latest_first:
         ],
         latest_first,
         _readable("product_prices_by_branch", strict),
+        keyed,
     )
 
 
@@ -380,6 +396,11 @@ class Mart:
     key: tuple[str, ...]
     report_name: str
 
+    @property
+    def key_is_the_record(self) -> bool:
+        """Whether rows of two records never share a key: keys of text are the written id and the branch, others are rounded."""
+        return all(column.endswith("_key") for column in self.key)
+
 
 MARTS: dict[str, Mart] = {
     "branches": Mart(branches, None, ("branch_id",), "mv_sucursales"),
@@ -402,6 +423,11 @@ MARTS: dict[str, Mart] = {
 }
 
 
+def rules() -> str:
+    """A short name for how marts are made; another one whenever this code changes."""
+    return hashlib.md5("".join(inspect.getsource(m) for m in (sys.modules[__name__], payload)).encode()).hexdigest()[:12]
+
+
 def mart_table(name: str) -> str:
     """Where the warehouse keeps a mart."""
     return f"marts/{name}"

@@ -1,22 +1,25 @@
-"""The raw tables: one parquet dataset per entity, split by branch.
+"""The raw tables: one table in parts per entity.
 
 Rows carry the payload as it came and, next to it, its leaves as nested text columns.
 The JSON is thereby parsed once per version, on arrival; marts and views read only the
-nested columns they use. Tables are only ever added to. For an entity of which just
-the last state counts, the current rows are the last ones of each record.
+nested columns they use. Most tables are only ever added to. For an entity of which just
+the last state counts, the parts that hold changed records are written anew, and what was there before goes to a history beside them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillmart.entities import ENTITIES, Entity
 from tillmart.functions.payload import leaf_type
 from tillmart.functions.records import shred
-from tillmart.operators.dedupe import latest_per_key
-from tillmart.plans.warehouse import Warehouse, new_version
-from tillmart.schemas import RAW, RAW_COLUMNS
+from tillmart.plans.parts import PartTable, Place, Reader, shape_of
+from tillmart.plans.warehouse import Part, Warehouse
+from tillmart.schemas import RAW, RAW_COLUMNS, RECORD_KEY
 
 
 def stored_schema(entity: Entity) -> T.StructType:
@@ -31,28 +34,55 @@ def create_raw_tables(warehouse: Warehouse) -> None:
     warehouse.create_if_absent(e.table for e in ENTITIES.values())
 
 
-def read_log(warehouse: Warehouse, entity: Entity) -> DataFrame:
-    """All stored rows."""
-    return warehouse.read(entity.table, stored_schema(entity))
+def table_of(warehouse: Warehouse, entity: Entity) -> PartTable:
+    return PartTable(warehouse, entity.table)
+
+
+def reader(warehouse: Warehouse, entity: Entity) -> Reader:
+    """How parts of the raw table are read. Those stored before a field was added to the entity get it from their payloads."""
+    schema = stored_schema(entity)
+    shape = shape_of(schema)
+
+    def read(parts: list[Part]) -> DataFrame:
+        rows = warehouse.read_parts(entity.table, [p for p in parts if p.shape == shape], schema)
+        older = [p for p in parts if p.shape != shape and p.rows]
+        if older:
+            rows = rows.unionByName(shred(warehouse.read_parts(entity.table, older, RAW), entity).select(*schema.names))
+        return rows
+
+    return read
+
+
+def read_raw(warehouse: Warehouse, entity: Entity, places: Collection[Place] | None = None) -> DataFrame:
+    """The raw table as readers see it, or the parts of it at ``places`` (branch and bucket).
+
+    Where just the last state of a record counts, that is what the parts hold: nothing is ranked on reading.
+    """
+    parts = table_of(warehouse, entity).parts
+    return reader(warehouse, entity)([p for p in parts if places is None or (p.branch_id, p.bucket) in places])
 
 
-def read_raw(warehouse: Warehouse, entity: Entity) -> DataFrame:
-    """The raw table as readers see it."""
-    log = read_log(warehouse, entity)
-    return latest_per_key(log) if entity.merge == "upsert" else log
+def read_history(warehouse: Warehouse, entity: Entity) -> DataFrame:
+    """Rows that later ones took the place of, since the table was last compacted."""
+    paths = [f"{warehouse.version_path(entity.table, p.version)}/state=replaced" for p in table_of(warehouse, entity).history]
+    if not paths:
+        return warehouse.spark.createDataFrame([], RAW).select(*RAW_COLUMNS)
+    rows = warehouse.spark.read.schema(RAW).option("basePath", warehouse.folder(entity.table)).parquet(*paths)
+    return rows.select(*RAW_COLUMNS)
 
 
-def append(warehouse: Warehouse, entity: Entity, rows: DataFrame) -> None:
-    """Add staged rows. Rebalancing gives each branch whole files and cuts up large ones."""
-    path = warehouse.current_path(entity.table)
-    if path is None:
-        raise LookupError(f"{entity.table} does not exist")
+def add(warehouse: Warehouse, entity: Entity, rows: DataFrame, changes: DataFrame) -> None:
+    """Add staged rows, in the place of older ones where just the last state counts. ``changes`` is their written list."""
     columns = stored_schema(entity).fieldNames()
-    rows.select(*columns).hint("rebalance", "branch_id").write.mode("append").partitionBy("branch_id").parquet(path)
+    # One row a branch.
+    counts = {r.branch_id: r.n for r in changes.groupBy("branch_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+    table, read = table_of(warehouse, entity), reader(warehouse, entity)
+    if entity.merge == "upsert":
+        table.replace(rows.select(*columns), changes.select(*RECORD_KEY), counts, read)
+    else:
+        table.add(rows.select(*columns), counts, read)
 
 
 def compact(warehouse: Warehouse, entity: Entity) -> None:
-    """Rewrite a raw table: superseded rows dropped where only the last state counts,
-    leaves taken anew from the payloads (after fields were added to the entity)."""
-    rows = shred(read_raw(warehouse, entity).select(*RAW_COLUMNS), entity)
-    warehouse.publish(entity.table, rows.hint("rebalance", "branch_id"), new_version(), partition_by=["branch_id"])
+    """Rewrite a raw table: one version a part, history forgotten, leaves of older parts taken from their payloads for good."""
+    table_of(warehouse, entity).rewrite(reader(warehouse, entity), stored_schema(entity))

@@ -62,6 +62,9 @@ AUDIT = struct(
     " updated:bigint unchanged:bigint rejected:bigint bad_dates:bigint status:string detail:string",
 )
 
+# Pages that came of page sets whose other pages did not yet.
+UNFINISHED = struct("branch_id:string entity:string page_no:int n:bigint all:bigint bad:boolean times:bigint")
+
 REJECTS = struct("extracted_at:timestamp branch_id:string ingest_seq:bigint reject_reason:string")
 
 

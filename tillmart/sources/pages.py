@@ -81,32 +81,47 @@ def unnest_pages(pages: DataFrame) -> DataFrame:
     landed (null if unknown). An unreadable page, or one without a number, gives one row
     without a record and with ``page_error`` set, so that it cannot get lost.
     """
+    rows = unnest_with_pages(pages).where("pos >= 0 OR page_error IS NOT NULL")
+    # What stands for a page that can't be read has the place of its first record.
+    place = F.when(F.col("page_error").isNotNull(), F.lit(0)).otherwise(F.col("pos"))
+    return rows.withColumn("pos", place).drop("page_records")
+
+
+def unnest_with_pages(pages: DataFrame, *carried: str) -> DataFrame:
+    """As ``unnest_pages``, with a row of ``pos`` -1 before the records of each page, which has its number of records.
+
+    That row has ``page_error`` if the page can't be read. ``carried`` are further columns of the pages.
+    """
     dated = "landed_at" in pages.columns
     number = F.coalesce("page_no", F.lit(-1))
-    records = F.when(_page_error().isNotNull(), F.array(F.lit(None).cast("string"))).otherwise(
-        F.coalesce(F.col("_page.data"), F.array().cast("array<string>"))
-    )
+    none = F.array().cast("array<string>")
+    records = F.when(F.col("page_error").isNotNull(), none).otherwise(F.coalesce(F.col("_page.data"), none))
+    first = F.array(F.lit(None).cast("string"))
+    told = _parsed(pages).select("*", _page_error().alias("page_error"))
     return (
-        _parsed(pages)
-        .select(
+        told.select(
             "branch_id",
             "entity",
             "page_no",
             (F.col("landed_at") if dated else F.lit(None).cast("timestamp")).alias("extracted_at"),
-            F.md5("body").alias("page_md5"),
-            _page_error().alias("page_error"),
-            F.posexplode(records).alias("pos", "record"),
+            F.when(F.col("page_error").isNotNull(), F.coalesce(F.md5("body"), F.lit(""))).alias("page_md5"),
+            "page_error",
+            F.coalesce(F.size("_page.data"), F.lit(0)).cast("bigint").alias("page_records"),
+            *carried,
+            F.posexplode(F.concat(first, records)).alias("_at", "record"),
         )
         .select(
             "branch_id",
             "entity",
             "page_no",
-            "pos",
-            (F.shiftleft(number.cast("bigint"), 32) + F.col("pos")).alias("ingest_seq"),
+            (F.col("_at") - 1).alias("pos"),
+            (F.shiftleft(number.cast("bigint"), 32) + F.greatest(F.col("_at") - 1, F.lit(0))).alias("ingest_seq"),
             "extracted_at",
             "record",
             "page_error",
-            F.when(F.col("page_error").isNotNull(), F.coalesce("page_md5", F.lit(""))).alias("page_md5"),
+            "page_md5",
+            "page_records",
+            *carried,
         )
     )
 
@@ -125,9 +140,18 @@ def page_completeness(pages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame
         F.coalesce(F.size("_page.data"), F.lit(0)).cast("bigint").alias("n"),
         _page_error().isNotNull().alias("bad"),
     )
-    each = counted.groupBy("branch_id", "entity", "page_no").agg(
+    return completeness(page_counts(counted), page_size)
+
+
+def page_counts(counted: DataFrame) -> DataFrame:
+    """One row for each page number of each pair, out of a row (n records, bad or not) for each page that landed."""
+    return counted.groupBy("branch_id", "entity", "page_no").agg(
         F.max("n").alias("n"), F.sum("n").alias("all"), F.bool_or("bad").alias("bad"), F.count("*").alias("times")
     )
+
+
+def completeness(each: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """What ``page_completeness`` returns, from page counts."""
     short = F.col("n") < page_size
     numbered = F.col("page_no").isNotNull()
     summary = each.groupBy("branch_id", "entity").agg(
@@ -156,3 +180,21 @@ def page_completeness(pages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame
         & (F.col("bad_pages") == 0)
         & (F.col("last_page_size") < page_size),
     )
+
+
+def completeness_over_loads(counts: DataFrame, held: DataFrame, page_size: int = PAGE_SIZE) -> tuple[DataFrame, DataFrame]:
+    """Completeness of the pairs of a load, with pages of their sets that came in earlier loads, and all pages of the unfinished sets.
+
+    ``counts`` are the load's page counts, ``held`` those of unfinished sets, as returned here by the load before. A pair's set is
+    complete if the load's own pages are, or if they are together with those held; a page that came again counts as it came
+    last. ``records`` and ``bad_pages`` are the load's own.
+    """
+    pairs, key = ["branch_id", "entity"], ["branch_id", "entity", "page_no"]
+    earlier = held.join(counts.select(*pairs).distinct(), pairs, "left_semi")
+    both = counts.withColumn("_now", F.lit(1)).unionByName(earlier.withColumn("_now", F.lit(0)))
+    rest = [c for c in counts.columns if c not in key]
+    together = both.groupBy(*key).agg(F.max_by(F.struct(*rest), "_now").alias("_r")).select(*key, "_r.*")
+    whole = completeness(together, page_size).select(*pairs, F.col("is_complete").alias("_together"))
+    told = completeness(counts, page_size).join(whole, pairs).withColumn("is_complete", F.col("is_complete") | F.col("_together")).drop("_together")
+    unfinished = together.where("page_no IS NOT NULL AND NOT bad").join(told.where("NOT is_complete").select(*pairs), pairs, "left_semi")
+    return told, unfinished

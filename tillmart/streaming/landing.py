@@ -10,15 +10,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillmart.plans.load import LoadOptions
 from tillmart.plans.marts import MARTS
+from tillmart.plans.quarantine import held_pages, put_aside, with_held
 from tillmart.plans.run import RunReport, run
-from tillmart.plans.warehouse import new_version, remove_folder
+from tillmart.plans.warehouse import Warehouse
 from tillmart.schemas import PAGES
-from tillmart.session import scratch_folder
-from tillmart.sources.pages import landed, split_by_entity
-
-
-class LoadFailed(Exception):
-    """A batch did not load; the stream stops and takes it up again when restarted."""
+from tillmart.sources.pages import landed
 
 
 def follow_pages(
@@ -37,24 +33,22 @@ def follow_pages(
     that broke off is loaded again: rows that it had added already are found to be there, so
     nothing is added twice. Made-up ids depend on when a page landed, not on the try.
 
-    A bad record is rejected by itself, unless ``options`` say that it fails its branch: then
-    the batch does not pass, and is taken up again as a whole, good branches included.
+    A bad record is rejected by itself, unless ``options`` say that it fails its branch. Pages of a branch and
+    entity that failed, or that nobody knows, are put aside (see ``quarantine``) and tried again with the next
+    files; the stream goes on with the others.
     """
     root = root.rstrip("/")
     checkpoint = checkpoint or f"{root}/_checkpoints/landing"
     marts = list(marts)
 
     def load(batch: DataFrame, _: int) -> None:
-        # A batch would be read from its files again for every use, so it is split once.
-        mixed = f"{scratch_folder(spark, f'{root}/_staging')}/pages-{new_version()}"
-        pages = split_by_entity(batch, mixed)
+        warehouse = Warehouse(batch.sparkSession, root)
+        pages = with_held(batch, held_pages(warehouse))
         report = run(batch.sparkSession, pages, root, datetime.now(timezone.utc), options, marts=marts, register=False)
-        remove_folder(spark, mixed)
+        if not report.skipped:
+            put_aside(warehouse, pages, report)
         if reports is not None:
             reports.append(report)
-        failed = {pair: status for pair, status in report.not_loaded.items() if status == "FAILED"}
-        if report.load_errors or failed:
-            raise LoadFailed(str(report.load_errors or failed))
 
     return (
         landed(spark.readStream.schema(PAGES).option("mode", "FAILFAST").json(folder))
