@@ -13,41 +13,57 @@ from tillmart.llm.bpe_tree import encode_decode
 from tillmart.llm.common import kept, without_spaces
 from tillmart.llm.exact_dedup import exact_duplicates
 from tillmart.llm.language_id import UNDETERMINED, identify
-from tillmart.llm.near_copies import first_of_near_copies
 from tillmart.llm.queries import tokenizer_path
+from tillmart.llm.simhash_trie import near_duplicates
 from tillmart.llm.source_mix import mixture
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a letter, which no language has. A toss-up between languages is no reason: close
-    languages and texts in several score 1 over their number, however long and clean they are."""
+    languages and texts in several score 1 over their number, however long and clean they are.
+
+    Null and empty texts have no letter. Rows that repeat, or have no doc_id, are judged by themselves. Columns of any other name stay
+    as they are. An empty table gives an empty one.
+    """
     found = identify(docs, tokenizer_path("piece_bpe_32k.model"), docs.columns)
     return found.where(F.col("lang_pred") != UNDETERMINED).select("document.*")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one row of each group of equal texts."""
+    """Keeps one row of each group of equal texts: the longest as written, then the smallest doc_id, null last.
+
+    Null texts, empty ones and those of white space are one group. Rows that repeat both doc_id and text are told apart by nothing:
+    one of them stays. Columns of any other name stay as they are.
+    """
     stays = exact_duplicates(docs).where("kept").select(F.col("doc_id").alias("id"), "text_sha256").distinct()
     named = docs.select(F.struct(*docs.columns).alias("document"), F.sha2(without_spaces(F.col("text")), 256).alias("sha"))
     same = F.col("document.doc_id").eqNullSafe(F.col("id")) & (F.col("sha") == F.col("text_sha256"))
-    # Rows that repeat both doc_id and text are told apart by nothing: one of them stays.
     one = named.join(stays, same, "left_semi").withColumn("id", F.col("document.doc_id")).dropDuplicates(["id", "sha"])
     return one.select("document.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of near copies: 0.8 or more of their five-word shingles shared."""
-    stays = first_of_near_copies(docs).select(F.col("doc_id").alias("id"), F.col("hash").alias("h"))
+    """Keeps one document of each group that the SimHash operator links: the one with the smallest doc_id.
+
+    Null doc_ids come last. Rows that share a doc_id are told apart by their texts, of which that with the smaller hash comes first; rows
+    that repeat both are one document and share its fate. Null and empty texts have one fingerprint, and so are one group. Columns
+    of any other name stay as they are. An empty table gives an empty one.
+    """
+    # A key of its own for each document, so that a group has exactly one smallest.
+    key = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+    found = near_duplicates(docs.select(key.alias("doc_id"), "text"))
+    gone = kept(found.where("doc_id <> component_id").select(F.col("doc_id").alias("key")).distinct(), "near-gone")
     named = docs.select(F.struct(*docs.columns).alias("document"))
-    same = F.col("document.doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("document.text") == F.col("h"))
-    return named.join(stays, same, "left_semi").select("document.*")
+    same = F.col("document.doc_id").eqNullSafe(F.col("key.id")) & (F.xxhash64("document.text") == F.col("key.hash"))
+    return named.join(gone, same, "left_anti").select("document.*")
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops and repeats documents so that sources come near their targets.
 
     A document comes as often as the mix takes it, to the nearest whole number. Only the
-    one that a source's last pass ends in is rounded. Rows that share a doc_id share the mean of what is taken of them.
+    one that a source's last pass ends in is rounded. Rows that share a doc_id share the mean of what is taken of them; those
+    without one are such rows too. Texts without words are never taken. Columns of any other name stay as they are.
     """
     shares = mixture(docs).groupBy(F.col("doc_id").alias("id")).agg((F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias("share"))
     named = docs.select(F.struct(*docs.columns).alias("document"))
@@ -56,7 +72,10 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encodes every document of the mix: doc_id, n_tokens, ids (little-endian unsigned 32-bit), decoded."""
+    """Encodes every document of the mix: doc_id, n_tokens, ids (little-endian unsigned 32-bit), decoded.
+
+    Null and empty texts have no tokens. Every row is encoded for itself, so a document that the mix repeats comes as often.
+    """
     found = encode_decode(docs, tokenizer_path())
     return found.select("doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", "decoded")
 
