@@ -6,6 +6,8 @@ last return the columns of documents.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,23 @@ from tillmart.llm.simhash_trie import near_duplicates
 from tillmart.llm.source_mix import mixture
 
 
+# Rows that go to a Python worker at once, where the session does not say: texts are long, and a batch lies outside the JVM's heap.
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "512"
+
+
+def in_small_batches(stage):
+    """The stage, with batches whose size does not follow the default of ten thousand rows."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if spark.conf.get(BATCH_SETTING, None) is None:
+            spark.conf.set(BATCH_SETTING, BATCH_ROWS)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@in_small_batches
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a letter, which no language has. A toss-up between languages is no reason: close
     languages and texts in several score 1 over their number, however long and clean they are.
@@ -29,6 +48,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where(F.col("lang_pred") != UNDETERMINED).select("document.*")
 
 
+@in_small_batches
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each group of equal texts: the longest as written, then the smallest doc_id, null last.
 
@@ -42,6 +62,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return one.select("document.*")
 
 
+@in_small_batches
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group that the SimHash operator links: the one with the smallest doc_id.
 
@@ -58,6 +79,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return named.join(gone, same, "left_anti").select("document.*")
 
 
+@in_small_batches
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops and repeats documents so that sources come near their targets.
 
@@ -71,6 +93,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drawn.select("document", F.explode(F.sequence(F.lit(1), "times"))).select("document.*")
 
 
+@in_small_batches
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encodes every document of the mix: doc_id, n_tokens, ids (little-endian unsigned 32-bit), decoded.
 
