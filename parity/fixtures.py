@@ -48,7 +48,7 @@ def many(*ids: Column) -> Column:
     return F.struct(F.array(*[F.struct(i.alias("id")) for i in ids]).alias("data"))
 
 
-def _records(
+def records_of(
     df: DataFrame,
     id_text: Column,
     branch_number: Column,
@@ -83,7 +83,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sales_of(orders: DataFrame) -> DataFrame:
     key, date, status = F.col("o_orderkey"), F.col("o_orderdate"), F.col("o_orderstatus")
     state = F.when(status == "F", "CLOSED").when(status == "O", "OPEN").otherwise("CANCELED")
-    return _records(
+    return records_of(
         orders,
         text_id(key),
         key % N_BRANCHES,
@@ -133,7 +133,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def items_of(lineitem: DataFrame) -> DataFrame:
     order, line, flag = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_returnflag")
     item_id = text_id(order * 10 + line)
-    return _records(
+    return records_of(
         lineitem,
         item_id,
         order % N_BRANCHES,
@@ -158,7 +158,7 @@ def items_of(lineitem: DataFrame) -> DataFrame:
 def item_states_of(lineitem: DataFrame) -> DataFrame:
     """Order lines reduced to their state, which is the same in many rows."""
     order = F.col("l_orderkey")
-    return _records(
+    return records_of(
         lineitem,
         text_id(order * 10 + F.col("l_linenumber")),
         order % N_BRANCHES,
@@ -174,7 +174,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def payments_of(events: DataFrame) -> DataFrame:
     key, kind = F.col("event_id"), F.col("event_type")
-    return _records(
+    return records_of(
         events,
         text_id(key),
         F.col("user_id") % N_BRANCHES,
@@ -196,7 +196,7 @@ def payments_of(events: DataFrame) -> DataFrame:
 def expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     key = F.col("event_id")
-    return _records(
+    return records_of(
         events,
         text_id(key),
         F.col("user_id") % N_BRANCHES,
@@ -220,7 +220,7 @@ def expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, size = F.col("p_partkey"), F.col("p_size")
-    return _records(
+    return records_of(
         _in_all_branches(table(spark, sf_dir, "part")),
         text_id(key),
         F.col("_branch"),
@@ -243,7 +243,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def product_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     types = table(spark, sf_dir, "part").select("p_type").distinct()
     number = hex_number(F.col("p_type"), 7)
-    return _records(
+    return records_of(
         _in_all_branches(types),
         text_id(number),
         F.col("_branch"),
@@ -254,7 +254,7 @@ def product_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def product_modifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
-    return _records(
+    return records_of(
         table(spark, sf_dir, "part"),
         text_id(key),
         key % N_BRANCHES,
@@ -265,7 +265,7 @@ def product_modifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def payment_methods(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = table(spark, sf_dir, "orders").select("o_orderpriority").distinct()
-    return _records(
+    return records_of(
         _in_all_branches(names),
         text_id(hex_number(F.col("o_orderpriority"), 7)),
         F.col("_branch"),
@@ -275,7 +275,7 @@ def payment_methods(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = F.col("c_nationkey")
-    return _records(
+    return records_of(
         table(spark, sf_dir, "customer"),
         text_id(F.col("c_custkey")),
         nation % N_BRANCHES,
@@ -292,7 +292,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def discounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = F.col("l_orderkey")
-    return _records(
+    return records_of(
         table(spark, sf_dir, "lineitem"),
         text_id(order * 10 + F.col("l_linenumber")),
         order % N_BRANCHES,
@@ -308,7 +308,7 @@ def discounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingredients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _records(
+    return records_of(
         table(spark, sf_dir, "supplier"),
         text_id(F.col("s_suppkey")),
         F.col("s_nationkey") % N_BRANCHES,
@@ -318,7 +318,7 @@ def ingredients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def expense_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _records(
+    return records_of(
         table(spark, sf_dir, "nation"),
         text_id(F.col("n_nationkey")),
         F.col("n_regionkey"),
@@ -329,7 +329,7 @@ def expense_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("n_nationkey")
-    return _records(
+    return records_of(
         table(spark, sf_dir, "nation"),
         text_id(key),
         F.col("n_regionkey"),
@@ -342,7 +342,7 @@ def roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written with explicit JSON nulls: a role without permissions has ``null`` there."""
     key, name = F.col("r_regionkey"), F.col("r_name")
     permissions = F.array(F.concat(F.lit("read:"), name), F.concat(F.lit("write:"), name))
-    return _records(
+    return records_of(
         table(spark, sf_dir, "region"),
         text_id(key),
         key % N_BRANCHES,
@@ -358,7 +358,7 @@ def rooms(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.array_sort(F.collect_list("n_nationkey")).alias("_keys"))
     )
     ids = F.transform("_keys", lambda k: F.struct(k.cast("string").alias("id")))
-    return _records(
+    return records_of(
         table(spark, sf_dir, "region").join(inside, "r_regionkey"),
         text_id(F.col("r_regionkey")),
         F.col("r_regionkey") % N_BRANCHES,
@@ -369,7 +369,7 @@ def rooms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kitchens(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = hex_number(F.col("p_brand"), 7)
-    return _records(
+    return records_of(
         table(spark, sf_dir, "part").select("p_brand").distinct(),
         text_id(number),
         number % N_BRANCHES,
@@ -379,7 +379,7 @@ def kitchens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("user_id")
-    return _records(
+    return records_of(
         table(spark, sf_dir, "events").select("user_id").distinct(),
         text_id(key),
         key % N_BRANCHES,

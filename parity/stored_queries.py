@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from parity import fixtures as fx
 from parity.expected_marts import ORDER_COLUMNS
 from parity.expected_views import BRANCH
-from parity.operator_queries import SECOND_LOAD, second_sales_load
+from parity.operator_queries import SECOND_LOAD, raw_of, second_sales_load
 from tillmart.entities import ENTITIES
 from tillmart.functions.payload import leaf
 from tillmart.operators.flatten import flatten
@@ -45,10 +45,9 @@ def pages_of(records: DataFrame, entity: str) -> DataFrame:
     return paged.select("branch_id", F.lit(entity).alias("entity"), "page_no", "body", F.lit(None).cast("timestamp").alias("landed_at"))
 
 
-def warehouse_for(spark: SparkSession, pages: DataFrame) -> Warehouse:
-    """A warehouse of its own in the shared folder, with the branches that ``pages`` name."""
-    root = f"{scratch_folder(spark, spark.conf.get('spark.sql.warehouse.dir'))}/parity-{new_version()}"
-    made = Warehouse(spark, root)
+def warehouse_for(spark: SparkSession, pages: DataFrame, root: str | None = None) -> Warehouse:
+    """A warehouse of its own, in the shared folder unless told otherwise, with the branches that ``pages`` name."""
+    made = Warehouse(spark, root or f"{scratch_folder(spark, spark.conf.get('spark.sql.warehouse.dir'))}/parity-{new_version()}")
     none = F.lit(None)
     config = pages.select("branch_id").distinct().select(
         "branch_id", none.cast("string").alias("source_branch"), F.col("branch_id").alias("branch_name"), F.lit(True).alias("is_active"),
@@ -213,7 +212,7 @@ def line_records(orders: DataFrame, price, canceled) -> DataFrame:
     """Orders as order lines of their own."""
     key = F.col("o_orderkey")
     made = {"createdAt": fx.iso(F.col("o_orderdate")), "price": price, "quantity": F.lit(2.0), "canceled": canceled}
-    return fx._records(orders, fx.text_id(key), key % fx.N_BRANCHES, made, {"sale": fx.one(fx.text_id(key)), "product": fx.one(fx.text_id(key % 7))})
+    return fx.records_of(orders, fx.text_id(key), key % fx.N_BRANCHES, made, {"sale": fx.one(fx.text_id(key)), "product": fx.one(fx.text_id(key % 7))})
 
 
 @query(f"""
@@ -284,3 +283,38 @@ def quarantine_and_replay(spark, sf_dir):
     aside = held_pages(warehouse).groupBy("branch_id").agg(F.count(F.lit(1)).alias("aside"))
     told = rows.groupBy("branch_id").agg(F.count(F.lit(1)).alias("held"), F.sum(F.col("source_id").cast("bigint")).alias("id_sum"))
     return told.join(aside, "branch_id", "left").withColumn("aside", F.coalesce("aside", F.lit(0)).cast("bigint"))
+
+
+@query(f"""
+    SELECT CAST(o_orderkey AS VARCHAR) AS source_id, {BRANCH.format("o_orderkey")} AS branch_id,
+           CAST(row_number() OVER (PARTITION BY {BRANCH.format("o_orderkey")} ORDER BY CAST(o_orderkey AS VARCHAR)) AS BIGINT) AS place
+    FROM orders""")
+def view_ordered(spark, sf_dir):
+    """The sales view, sorted: the place that each row of a branch has in what comes out."""
+    view = flatten(raw_of(spark, sf_dir, "sales"), ENTITIES["sales"], ordered=True)
+    told = view.select("source_id", "branch_id", F.monotonically_increasing_id().alias("at"))
+    place = F.row_number().over(Window.partitionBy("branch_id").orderBy("at"))
+    return told.select("source_id", "branch_id", place.cast("bigint").alias("place"))
+
+
+@query(f"""
+    SELECT o_orderkey AS id, {BRANCH.format("o_orderkey")} AS branch_id, o_totalprice AS amount,
+           CASE WHEN o_orderkey % 3 = 0 THEN 'EXPENSE' ELSE 'SALE' END AS transaction_type,
+           CASE WHEN o_orderkey % 3 = 0 THEN -o_totalprice ELSE o_totalprice END AS signed_amount
+    FROM orders""")
+def stored_payments_there_and_back(spark, sf_dir):
+    """Payments over three loads: as they were, other amounts that are canceled, and as they were again, which is nothing new."""
+    orders = fx.table(spark, sf_dir, "orders")
+    key, text = F.col("o_orderkey"), fx.text_id(F.col("o_orderkey"))
+
+    def pages(amount, canceled):
+        made = {"amount": amount, "createdAt": fx.iso(F.col("o_orderdate")), "canceled": canceled}
+        links = {"sale": fx.one(text), "expense": fx.one(F.when(key % 3 == 0, text)), "paymentMethod": fx.one(fx.text_id(key % 5))}
+        return pages_of(fx.records_of(orders, text, key % fx.N_BRANCHES, made, links).drop("extracted_at"), "payments")
+
+    first, second = pages(F.col("o_totalprice"), F.lit(False)), pages(F.col("o_totalprice") + 1, F.lit(True))
+    warehouse = warehouse_for(spark, first)
+    for hour, batch in enumerate((first, second, first)):
+        run(spark, batch, warehouse.root, FIRST + dt.timedelta(hours=hour), marts=["payments"], register=False)
+    warehouse.refresh()
+    return warehouse.read_published("marts/payments").select("id", "branch_id", "amount", "transaction_type", "signed_amount")

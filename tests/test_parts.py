@@ -25,7 +25,7 @@ SALES, ITEMS = ENTITIES["sales"], ENTITIES["items"]
 def small_parts(monkeypatch):
     """Parts of eight rows, so that a few records make several."""
     monkeypatch.setattr(parts_module, "ROWS_PER_PART", 8)
-    monkeypatch.setattr(PartTable.__init__, "__defaults__", (8,))
+    monkeypatch.setattr(PartTable.__init__, "__defaults__", (8, ()))
 
 
 def landing(day, *pages):
@@ -206,3 +206,16 @@ def test_loads_of_interleaved_runners_all_stay(warehouse, monkeypatch):  # noqa:
     assert go(warehouse, at(2), [("001", "sales", 1, page(sale("1", total=2), sale("4")))], marts=[]).ok
     held = raw_store.read_raw(warehouse, SALES).select("source_id", F.col("doc.attributes.total").cast("double"))
     assert rows_of(held, "*") == [("1", 3.0), ("4", 5.5), ("5", 5.5)]
+
+
+@pytest.mark.parametrize("entity", [SALES, ITEMS])
+def test_null_in_a_required_column_fails_the_load(warehouse, raw, entity):  # noqa: F811
+    good = {"sales": sale, "items": item}[entity.name]
+    assert go(warehouse, at(2), [("001", entity.name, 1, page(good("1")))], marts=[]).ok
+    from tillmart.functions.records import shred
+
+    rows = shred(raw(entity.name, ("001", at(3), 0, good("2"))), entity).withColumn("payload_checksum", F.lit(None).cast("string"))
+    with pytest.raises(Exception, match="payload_checksum"):
+        raw_store.add(warehouse, entity, rows, rows.select("source_id", "branch_id"))
+    warehouse.refresh()
+    assert rows_of(raw_store.read_raw(warehouse, entity), "source_id") == [("1",)]

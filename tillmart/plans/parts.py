@@ -12,12 +12,13 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter, defaultdict
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillmart.operators.checks import CheckFailed
 from tillmart.plans.warehouse import REPLACED, Part, Warehouse, new_version
 from tillmart.schemas import RECORD_KEY
 
@@ -42,8 +43,8 @@ def bucket_of(buckets: dict[str, int]) -> Column:
 class PartTable:
     """Reads and writes one table of ``warehouse``. Rows have branch_id and source_id, besides what is stored."""
 
-    def __init__(self, warehouse: Warehouse, table: str, rows_per_part: int = ROWS_PER_PART):
-        self.warehouse, self.table, self.rows_per_part = warehouse, table, rows_per_part
+    def __init__(self, warehouse: Warehouse, table: str, rows_per_part: int = ROWS_PER_PART, required: Sequence[str] = ()):
+        self.warehouse, self.table, self.rows_per_part, self.required = warehouse, table, rows_per_part, list(required)
         self.version = warehouse.current_version(table)
         manifest = warehouse.manifest(table) or []
         self.parts = [p for p in manifest if p.bucket >= 0]
@@ -135,7 +136,13 @@ class PartTable:
         path = self.warehouse.version_path(self.table, self.written)
         # The branch's name is in the files too, and never empty in the folder's.
         named = rows.select(*schema.names, "state", F.concat(F.lit("b-"), F.col("branch_id")).alias("part_branch"), bucket_of(buckets).alias("bucket"))
+        # Nulls are counted as the rows go by, and stop the version before anybody sees it.
+        if self.required:
+            seen = Observation()
+            named = named.observe(seen, *[F.count_if(F.col(c).isNull()).alias(c) for c in self.required])
         named.write.mode("overwrite").partitionBy("state", "part_branch", "bucket").parquet(path)
+        if self.required and any(seen.get.values()):
+            raise CheckFailed(f"{self.table}: nulls in required columns { {c: n for c, n in seen.get.items() if n} }")
         found = self.warehouse.spark.read.schema("state string, part_branch string, bucket int").parquet(path)
         counts = found.groupBy("state", "part_branch", "bucket").agg(F.count(F.lit(1)).alias("n")).collect()
         self.replaced = sum(r.n for r in counts if r.state == "replaced")

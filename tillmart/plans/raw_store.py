@@ -35,7 +35,7 @@ def create_raw_tables(warehouse: Warehouse) -> None:
 
 
 def table_of(warehouse: Warehouse, entity: Entity) -> PartTable:
-    return PartTable(warehouse, entity.table)
+    return PartTable(warehouse, entity.table, required=[f.name for f in RAW.fields if not f.nullable])
 
 
 def reader(warehouse: Warehouse, entity: Entity) -> Reader:
