@@ -17,7 +17,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import ascii_lower, kept
+from tillmart.llm.common import ascii_lower, kept, written
+from tillmart.plans.warehouse import remove_folder
 
 ALLOW, BLOCK = "allow", "block"
 
@@ -76,33 +77,36 @@ def reversed_edges(edges: DataFrame) -> DataFrame:
     return edges.join(sums, "dst").select(F.col("dst").alias("src"), F.col("src").alias("dst"), (F.col("weight") / F.col("all")).alias("weight"))
 
 
-def propagated(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int = 30, enough: float = 1e-9) -> DataFrame:
+def propagated(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, enough: float = 1e-9) -> DataFrame:
     """(host, score): personalised PageRank of ``seeds`` (host, seed), without what hosts get as seeds themselves.
 
-    The walk restarts at the seeds, and at hosts that link nowhere it ends. It stops when a round
-    moves no more than ``enough`` of the whole, or after ``rounds``.
+    The walk restarts at the seeds, and at hosts that link nowhere it ends. It stops when a round moves no more than ``enough`` of
+    the whole: after log(enough) / log(damping) rounds at the latest, 128 as they stand, as each keeps at most ``damping`` of
+    the one before. A round is one written table, and the one before goes.
     """
+    spark = edges.sparkSession
     edges = kept(edges, "host-edges")
     total = seeds.agg(F.sum("seed")).first()[0] or 0.0  # one number
-    start = kept(seeds.where("seed > 0").select("host", (F.col("seed") / (total or 1.0)).alias("score")), "host-seeds")
-    flow, sums = start, None
-    for _ in range(rounds):
+    zero = F.lit(0.0)
+    now, path = written(seeds.where("seed > 0").select("host", (F.col("seed") / (total or 1.0)).alias("flow"), zero.alias("score")), "host-flow")
+    while (now.agg(F.sum("flow")).first()[0] or 0.0) > enough:
+        moving = now.where("flow > 0").select(F.col("host").alias("src"), "flow")
         # What arrives after one more link; all rounds together are the PageRank's power series.
-        arriving = edges.join(flow, edges["src"] == flow["host"]).groupBy("dst").agg((F.sum(F.col("weight") * F.col("score")) * damping).alias("score"))
-        flow = kept(arriving.select(F.col("dst").alias("host"), "score"), "host-flow")
-        sums = flow if sums is None else kept(sums.unionAll(flow).groupBy("host").agg(F.sum("score").alias("score")), "host-scores")
-        if (flow.agg(F.sum("score")).first()[0] or 0.0) <= enough:
-            break
-    return sums.select("host", (F.col("score") * (1 - damping)).alias("score"))
+        arriving = edges.join(moving, "src").groupBy("dst").agg((F.sum(F.col("weight") * F.col("flow")) * damping).alias("flow"))
+        both = now.select("host", zero.alias("flow"), "score").unionAll(arriving.select("dst", "flow", F.col("flow").alias("score")))
+        before = path
+        now, path = written(both.groupBy("host").agg(F.sum("flow").alias("flow"), F.sum("score").alias("score")), "host-flow")
+        remove_folder(spark, before)
+    return now.where("score > 0").select("host", (F.col("score") * (1 - damping)).alias("score"))
 
 
-def judge(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, damping: float = 0.85, salts: int = 16) -> DataFrame:
+def judge(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, damping: float = 0.85, salts: int = 16, enough: float = 1e-9) -> DataFrame:
     """One row per row of ``pages``: page_id, host, path, rule, verdict.
 
     A url that is null or has no ``://`` has an empty host and path, fits no rule and is allowed.
     ``rule`` is null where none fits; the verdict then is the link graph's for the host. Null html has
     no links. Repeated rows each get a row. Other columns of ``pages`` are not read. An empty table gives no rows.
-    ``salts``: in so many parts the rows of one host are dealt out when they get its verdict.
+    ``salts``: in so many parts the rows of one host are dealt out when they get its verdict. ``enough``: see ``propagated``.
     """
     read = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "html")
     found = read.withColumn("found", ruled(F.col("host"), F.col("path"), rules))
@@ -111,8 +115,8 @@ def judge(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, damping: float =
     )
     hosts = kept(hosts, "hosts")
     edges = kept(host_edges(read), "links")
-    trust = propagated(edges, hosts.select("host", (F.col("allowed") / F.col("pages")).alias("seed")), damping)
-    distrust = propagated(reversed_edges(edges), hosts.select("host", (F.col("blocked") / F.col("pages")).alias("seed")), damping)
+    trust = propagated(edges, hosts.select("host", (F.col("allowed") / F.col("pages")).alias("seed")), damping, enough)
+    distrust = propagated(reversed_edges(edges), hosts.select("host", (F.col("blocked") / F.col("pages")).alias("seed")), damping, enough)
     score = distrust.select("host", (-F.col("score")).alias("score")).unionAll(trust).groupBy("host").agg(F.sum("score").alias("score"))
     bad = score.where("score < 0").select("host", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
     salted = found.drop("html").withColumn("salt", F.pmod(F.xxhash64("page_id", "path"), F.lit(salts)).cast("int"))
