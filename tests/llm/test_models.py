@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -33,7 +35,7 @@ def test_forward_sums_all_segmentations():
             chance = lambda s: p[lang, names.index(s)] if s in names else language_id.FLOOR if len(s) == 1 else 0.0  # noqa: B023, E731
             want = sum(np.prod([chance(s) for s in seg]) for seg in all_segmentations(word))
             assert got[i, lang] == pytest.approx(np.log(want))
-    counts = language_id.expected_counts(pieces, ["▁abab"], np.array([3.0]), p[0])
+    counts = language_id.expected_counts(pieces, ["▁abab"], np.array([3]), p[0]) / language_id.PARTS
     total = {s: 0.0 for s in names}
     whole = 0.0
     for seg in all_segmentations("▁abab"):
@@ -42,7 +44,60 @@ def test_forward_sums_all_segmentations():
         for s in seg:
             if s in names:
                 total[s] += weight
-    assert counts == pytest.approx([3 * total[s] / whole for s in names])
+    assert counts == pytest.approx([3 * total[s] / whole for s in names], abs=1e-5)
+
+
+def log_sum(word: str, chance: dict[str, float]) -> float:
+    """Log of the sum over all segmentations of a prefix of any length, by plain loops in exact fractions."""
+    total = [Fraction(1)]
+    for end in range(1, len(word) + 1):
+        pieces = {word[start:end] for start in range(max(0, end - 16), end)}
+        sizes = {len(s): Fraction(chance.get(s, language_id.FLOOR if len(s) == 1 else 0.0)) for s in pieces}
+        total.append(sum((total[end - n] * c for n, c in sizes.items()), Fraction(0)))
+    last = total[-1]
+    return math.log(last.numerator) - math.log(last.denominator)
+
+
+@pytest.mark.parametrize("length", [24, 25, 32, 33, 60, 150])
+def test_whole_words_and_long_pieces(length):
+    """Words beyond any cut, and pieces of up to sixteen characters, as plain sums and as ratios."""
+    rng = random.Random(length)
+    names = ["▁", *"abc", "ab", "▁a", "bca", "abcabcabca", "cabcabcabcabcabc", "▁abcabcab", "bb"]
+    pieces = language_id.Pieces(names)
+    p = np.random.default_rng(length).dirichlet(np.ones(len(names)), size=3)
+    words = ["▁" + ("abc" * length)[: length - 1]] + ["▁" + "".join(rng.choice("abcd") for _ in range(length - 1)) for _ in range(4)]
+    got = language_id.word_scores(pieces, words, p)
+    for i, word in enumerate(words):
+        for lang in range(3):
+            assert got[i, lang] == pytest.approx(log_sum(word, dict(zip(names, p[lang]))), rel=1e-9)
+    codes = next(language_id._by_length(words))[1]
+    edges = language_id._edges(pieces, codes, p)[0]
+    if length <= 60:
+        assert np.allclose(np.log(language_id.forward(edges, length)), language_id.log_forward(edges, length))
+
+
+def test_expected_counts_of_a_long_word():
+    """Every letter is in exactly one piece of each segmentation; counts of words add up, however they are dealt out."""
+    names = ["▁", *"abc", "ab", "▁a", "bca", "abcabcabca"]
+    pieces = language_id.Pieces(names)
+    p = np.random.default_rng(3).dirichlet(np.ones(len(names)))
+    words = ["▁" + "abc" * 100, "▁abcab", "▁cab"]
+    each = [language_id.expected_counts(pieces, [w], np.array([n]), p) for w, n in zip(words, (1, 5, 7))]
+    together = language_id.expected_counts(pieces, words, np.array([1, 5, 7]), p)
+    assert (sum(each) == together).all()
+    letters = sum(n * len(name) for n, name in zip(each[0] / language_id.PARTS, names))
+    assert letters == pytest.approx(len(words[0]), abs=0.01)
+
+
+def test_very_long_word(spark):
+    """A word of 50,000 letters is scored whole."""
+    text = " ".join(["xyz"] * 20)
+    rows = [(1, text, "aa"), (2, "qwv " * 20, "bb"), (3, "xyz" * 16_667, None)]
+    model = tokenizer_path("piece_bpe_32k.model")
+    learned = [r for r in range(4, 60)]
+    rows += [(i, text if i % 2 else "qwv " * 20, "aa" if i % 2 else "bb") for i in learned]
+    found = language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), model).collect()
+    assert next(r for r in found if r.document.doc_id == 3).lang_pred == "aa"
 
 
 def test_language_of_edge_rows(docs, no_docs):

@@ -7,7 +7,8 @@ all segmentations (forward and backward sums), from the counts of words by langu
 whole training text.
 
 Words recur, so a task works on distinct words, many at once: numpy goes over positions and
-lengths of pieces, not over words.
+lengths of pieces, not over words. Words are whole, however long, and pieces may have any length that the vocabulary has. Sums over
+long words, which would run out of the range of numbers, are carried as ratios of one prefix to the next.
 """
 
 from __future__ import annotations
@@ -24,114 +25,137 @@ from pyspark.sql import types as T
 
 UNDETERMINED = "und"
 START = "▁"  # begins a word in the vocabulary
-LONGEST = 8  # characters of a piece, START included; longer pieces of the vocabulary are left out
-WORD = 24  # characters of a word that are looked at together; longer words are cut there
+PLAIN = 32  # characters up to which a word's sums stay within the range of numbers as they are
+PARTS = 1_000_000  # an expected count is a whole number of these
 FLOOR = 1e-7  # probability of a character that no piece covers
 WORDS = 1 << 18  # distinct words that a task holds
 
 
+_BASE = np.uint64(0x100000001B3)
+
+
 class Pieces:
-    """The vocabulary as hashes of its pieces, by length."""
+    """The vocabulary as hashes of its pieces, by length. Pieces that no word of lower-case letters can hold are never found."""
 
     def __init__(self, pieces: list[str]):
-        self.by_length = []
-        for n in range(1, LONGEST + 1):
-            ids = np.array([i for i, p in enumerate(pieces) if len(p) == n], dtype=np.int64)
-            keys = self._hash(np.array([[ord(c) for c in pieces[i]] for i in ids], dtype=np.uint64).reshape(len(ids), n))
+        usable: dict[int, list[int]] = {}
+        for i, piece in enumerate(pieces):
+            letters = piece.removeprefix(START)
+            if piece == START or (letters.isalpha() and letters == letters.lower()):
+                usable.setdefault(len(piece), []).append(i)
+        self.by_length = {}
+        for n, listed in sorted(usable.items()):
+            ids = np.array(listed, dtype=np.int64)
+            codes = np.array([[ord(c) for c in pieces[i]] for i in listed], dtype=np.uint64)
+            keys = np.zeros(len(ids), dtype=np.uint64)
+            for k in range(n):
+                keys = keys * _BASE + codes[:, k] + np.uint64(1)
             order = np.argsort(keys)
-            self.by_length.append((keys[order], ids[order]))
+            self.by_length[n] = (keys[order], ids[order])
         self.size = len(pieces)
 
-    @staticmethod
-    def _hash(codes: np.ndarray) -> np.ndarray:
-        out = np.zeros(codes.shape[0], dtype=np.uint64)
-        for k in range(codes.shape[1]):
-            out = out * np.uint64(0x100000001B3) + codes[:, k] + np.uint64(1)
-        return out
-
-    def found(self, codes: np.ndarray, length: int) -> np.ndarray:
-        """Of each row of ``codes`` (words by characters), at each start, the piece of that length, or -1."""
-        keys, ids = self.by_length[length - 1]
-        rows, width = codes.shape
-        if width < length or not len(keys):
-            return np.full((rows, max(0, width - length + 1)), -1)
-        spans = np.zeros((rows, width - length + 1), dtype=np.uint64)
-        for k in range(length):
-            spans = spans * np.uint64(0x100000001B3) + codes[:, k : width - length + 1 + k] + np.uint64(1)
-        at = np.searchsorted(keys, spans).clip(max=len(keys) - 1)
-        return np.where(keys[at] == spans, ids[at], -1)
+    def found(self, codes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Of each row of ``codes`` (words by characters): for each length, at each start, the piece of that length that lies there, or -1."""
+        width = codes.shape[1]
+        spans = np.zeros(codes.shape, dtype=np.uint64)
+        for n in range(1, min(width, max(self.by_length, default=1)) + 1):
+            spans = spans[:, : width - n + 1] * _BASE + codes[:, n - 1 :] + np.uint64(1)
+            if n in self.by_length:
+                keys, ids = self.by_length[n]
+                at = np.searchsorted(keys, spans).clip(max=len(keys) - 1)
+                yield n, np.where(keys[at] == spans, ids[at], -1)
+            elif n == 1:
+                yield n, np.full(spans.shape, -1)
 
 
 def letters_only(token: str) -> list[str]:
-    """Words of letters in a token, in lower case, START before each; long ones cut."""
+    """Words of letters in a token, in lower case, START before each."""
     words = [token] if token.isalpha() else "".join(c if c.isalpha() else " " for c in token).split()
-    out = []
-    for word in words:
-        word = START + word
-        out += [word[i : i + WORD] for i in range(0, len(word), WORD)]
-    return out
+    return [START + word for word in words]
 
 
 def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Indices of words of one length, and their characters; bounded blocks."""
+    """Indices of words of one length, and their characters; blocks of bounded size."""
     lengths = np.array([len(w) for w in words])
     for n in np.unique(lengths):
         at = np.flatnonzero(lengths == n)
-        for k in range(0, len(at), 1 << 14):
-            part = at[k : k + (1 << 14)]
+        rows = max(1, (1 << 18) // int(n))
+        for k in range(0, len(at), rows):
+            part = at[k : k + rows]
             text = "".join(words[i] for i in part)
             yield part, np.frombuffer(text.encode("utf-32-le"), dtype="<u4").reshape(len(part), n).astype(np.uint64)
 
 
-def _edges(pieces: Pieces, codes: np.ndarray, probability: np.ndarray) -> list[np.ndarray]:
-    """Per length, probabilities (languages, words, starts) of the pieces that lie there. A lone character without
-    a piece has FLOOR. START stands for no letter, so a piece that is START alone costs nothing."""
-    out = []
-    for n in range(1, min(LONGEST, codes.shape[1]) + 1):
-        found = pieces.found(codes, n)
-        value = np.where(found >= 0, probability[:, found.clip(min=0)], FLOOR if n == 1 else 0.0)
-        out.append(value)
-    return out
+Edges = dict[int, np.ndarray]
+
+
+def _edges(pieces: Pieces, codes: np.ndarray, probability: np.ndarray) -> tuple[Edges, Edges]:
+    """Of each length that is there: probabilities (languages, words, starts) of the pieces that lie there, and their numbers. A lone
+    character without a piece has FLOOR."""
+    chances, numbers = {}, {}
+    for n, found in pieces.found(codes):
+        here = found >= 0
+        if n > 1 and not here.any():
+            continue
+        value = np.full((len(probability), *found.shape), FLOOR if n == 1 else 0.0)
+        value[:, here] = probability[:, found[here]]
+        chances[n], numbers[n] = value, found
+    return chances, numbers
 
 
-def forward(edges: list[np.ndarray], width: int) -> np.ndarray:
-    """Sums over all segmentations of each prefix: (languages, words, width + 1)."""
-    languages, rows = edges[0].shape[:2]
-    total = np.zeros((width + 1, languages, rows))
+def forward(edges: Edges, width: int) -> np.ndarray:
+    """Sums over all segmentations of each prefix: (width + 1, languages, words)."""
+    total = np.zeros((width + 1, *edges[1].shape[:2]))
     total[0] = 1.0
     for end in range(1, width + 1):
-        for n in range(1, min(len(edges), end) + 1):
-            total[end] += total[end - n] * edges[n - 1][:, :, end - n]
+        for n, chance in edges.items():
+            if n <= end:
+                total[end] += total[end - n] * chance[:, :, end - n]
     return total
 
 
+def log_forward(edges: Edges, width: int) -> np.ndarray:
+    """Logarithms of ``forward``, for words of any length.
+
+    What is carried is by how much a prefix exceeds the one before. ``back[n]`` is the sum of the prefix n characters back, over that
+    of the last one; numbers stay as close to 1 as a few pieces are.
+    """
+    longest = max(edges)
+    logs = np.zeros((width + 1, *edges[1].shape[:2]))
+    back = [np.ones(edges[1].shape[:2])]
+    for end in range(1, width + 1):
+        ratio = sum(back[n - 1] * chance[:, :, end - n] for n, chance in edges.items() if n <= end)
+        logs[end] = logs[end - 1] + np.log(ratio)
+        back = [np.ones_like(ratio), *(b / ratio for b in back[: longest - 1])]
+    return logs
+
+
 def word_scores(pieces: Pieces, words: list[str], probability: np.ndarray) -> np.ndarray:
     """Log probability of each word in each language: (words, languages)."""
     out = np.zeros((len(words), probability.shape[0]))
     for at, codes in _by_length(words):
-        out[at] = np.log(forward(_edges(pieces, codes, probability), codes.shape[1])[-1]).T
+        edges, width = _edges(pieces, codes, probability)[0], codes.shape[1]
+        out[at] = (np.log(forward(edges, width)[-1]) if width <= PLAIN else log_forward(edges, width)[-1]).T
     return out
 
 
 def expected_counts(pieces: Pieces, words: list[str], counts: np.ndarray, probability: np.ndarray) -> np.ndarray:
-    """Expected number of each piece over all segmentations of words that occur ``counts`` times."""
-    out = np.zeros(pieces.size)
+    """Expected number of each piece over all segmentations of words that occur ``counts`` times, in whole PARTS.
+
+    Each word's expectation is rounded by itself, so sums do not depend on which words are looked at together.
+    """
+    out = np.zeros(pieces.size, dtype=np.int64)
     for at, codes in _by_length(words):
         width = codes.shape[1]
-        edges = _edges(pieces, codes, probability[None, :])
-        ahead = forward(edges, width)[:, 0]
-        behind = np.zeros((width + 1, len(at)))
-        behind[width] = 1.0
-        for start in range(width - 1, -1, -1):
-            for n in range(1, min(len(edges), width - start) + 1):
-                behind[start] += behind[start + n] * edges[n - 1][0, :, start]
-        weight = counts[at] / ahead[width]
-        for n in range(1, len(edges) + 1):
-            found = pieces.found(codes, n)
-            for start in range(width - n + 1):
-                here = found[:, start] >= 0
-                share = ahead[start] * edges[n - 1][0, :, start] * behind[start + n] * weight
-                out += np.bincount(found[here, start], weights=share[here], minlength=pieces.size)
+        edges, numbers = _edges(pieces, codes, probability[None, :])
+        turned = {n: chance[:, :, ::-1] for n, chance in edges.items()}
+        sums = (lambda e: np.log(forward(e, width))) if width <= PLAIN else (lambda e: log_forward(e, width))
+        ahead, behind = sums(edges)[:, 0], sums(turned)[::-1, 0]
+        for n, found in numbers.items():
+            word, start = np.nonzero(found >= 0)
+            log_share = ahead[start, word] + np.log(edges[n][0, word, start]) + behind[start + n, word] - ahead[width, word]
+            share = np.rint(np.exp(log_share) * PARTS).astype(np.int64)
+            np.add.at(out, found[word, start], share * counts[at][word])
     return out
 
 
@@ -162,7 +186,7 @@ def train(labelled: DataFrame, pieces: list[str]) -> tuple[list[str], np.ndarray
                     for word in letters_only(token):
                         split[word] += n
                 if split:
-                    expected = expected_counts(table, list(split), np.array(list(split.values()), dtype=float), uniform)
+                    expected = expected_counts(table, list(split), np.array(list(split.values()), dtype=np.int64), uniform)
                     at = np.flatnonzero(expected)
                     yield pa.record_batch([pa.array([lang] * len(at)), pa.array(at.astype(np.int32)), pa.array(expected[at])], names=["lang", "piece", "n"])
             held.clear()
@@ -175,12 +199,12 @@ def train(labelled: DataFrame, pieces: list[str]) -> tuple[list[str], np.ndarray
         yield from flushed()
 
     rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("lang", "text")
-    # Counts are rounded to whole millionths, so that their sums do not depend on the order of tasks.
-    sums = rows.mapInArrow(count, "lang string, piece int, n double").groupBy("lang", "piece").agg(F.sum(F.round(F.col("n") * 1e6).cast("long")).alias("n"))
+    # Whole numbers, word by word: sums depend neither on the order of tasks nor on how rows are dealt out.
+    sums = rows.mapInArrow(count, "lang string, piece int, n long").groupBy("lang", "piece").agg(F.sum("n").alias("n"))
     found = sums.toPandas()
     languages = sorted(found["lang"].unique())
     counts = np.zeros((len(languages), len(pieces)))
-    counts[found["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy(dtype=int), found["piece"].to_numpy(dtype=int)] = found["n"] / 1e6
+    counts[found["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy(dtype=int), found["piece"].to_numpy(dtype=int)] = found["n"] / PARTS
     counts += 0.01  # pieces a language was not seen with
     return languages, counts / counts.sum(axis=1, keepdims=True)
 
