@@ -47,6 +47,7 @@ BOILERPLATE = frozenset(
         "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "taboola", "teaser", "toolbar", "widget", "alert", "disclaimer", "gdpr",
     )
 )
+SPREAD = 1.25  # times its best container's text that one around it has over which an article is spread
 ARTICLE = frozenset(("article", "articlebody", "body", "content", "entry", "main", "post", "story", "text"))
 
 # Text; a tag (a quote counts as one only after an equals sign); a comment; CDATA; a declaration or a tag without an end; a stray "<".
@@ -95,6 +96,7 @@ class Page:
         # Open elements: tag, whether it starts what is dropped, (number, step) of a container, and the number of one labelled as no article.
         self.open: list[tuple[str, bool, tuple[int, str] | None, int | None]] = []
         self.headed: list[bool] = []  # by number of a labelled container: whether a title, article or main is in it
+        self.within: list[bool] = []  # and whether it is in an article or main itself
         self.dropping = self.links = 0
         self.block: Block | None = None
         self._read(html)
@@ -102,8 +104,9 @@ class Page:
             self._decide()
 
     def _decide(self) -> None:
-        """Drops the blocks in labelled containers, but for those that hold over a quarter of the page's unlinked text and a
-        title, article or main, or over three quarters of it: they are wrappers."""
+        """Drops the blocks in labelled containers, but for wrappers: those that hold over a quarter of the page's unlinked text and a
+        title, article or main, or over three quarters of it. What is labelled within an article without a title is no wrapper, however
+        long it is beside the article, unless there is nothing else."""
         inside, total = [0] * len(self.headed), 0
         for block in self.blocks:
             size = max(0, len(block.text()) - block.linked)
@@ -111,7 +114,9 @@ class Page:
             for label in block.labels:
                 inside[label] += size
         wraps = [4 * size > (total if headed else 3 * total) for size, headed in zip(inside, self.headed, strict=True)]
-        self.blocks = [b for b in self.blocks if all(wraps[label] for label in b.labels)]
+        outer = [wrap and (headed or not within) for wrap, headed, within in zip(wraps, self.headed, self.within, strict=True)]
+        left = [b for b in self.blocks if all(outer[label] for label in b.labels)]
+        self.blocks = left if any(b.text() for b in left) else [b for b in self.blocks if all(wraps[label] for label in b.labels)]
 
     def _read(self, html: str) -> None:
         at, end = 0, len(html)
@@ -177,6 +182,7 @@ class Page:
             if told:
                 label = len(self.headed)
                 self.headed.append(False)
+                self.within.append(any(x[0] in ("article", "main") for x in self.open))
                 self.block = None
         if tag in CONTAINERS:
             self.count += 1
@@ -243,21 +249,25 @@ def score_page(page: Page) -> dict[int, tuple[str, float]]:
     """Per container that holds text: its path and score.
 
     A block counts for the container it is in, half for the one around that, and in full for an article
-    element around it. A container around the best that adds the page's title and little else comes before it.
+    element around it. A container around the best that adds the page's title and little else comes before it; so does one, below
+    body, over which the article is spread: that has a quarter more unlinked text than the best, whose name does not say
+    that it is the article.
     """
     scores: dict[int, list] = {}
     sizes: dict[int, int] = {}
+    unlinked: dict[int, float] = {}
     titles: set[int] = set()
     for block in page.blocks:
         size = len(block.text())
         if not size:
             continue
         path = block.path
+        own = max(0.0, size - 2.0 * block.linked)
         for number, _ in path:
             sizes[number] = sizes.get(number, 0) + size
+            unlinked[number] = unlinked.get(number, 0.0) + own
             if block.tag == "h1":
                 titles.add(number)
-        own = max(0.0, size - 2.0 * block.linked)
         shares = {len(path) - 1: 1.0}
         if len(path) > 1:
             shares[len(path) - 2] = 0.5
@@ -269,8 +279,19 @@ def score_page(page: Page) -> dict[int, tuple[str, float]]:
             entry = scores.setdefault(path[at][0], [path[: at + 1], 0.0])
             entry[1] += own * share
     out = {n: (steps(part), score * (2.0 if _likely(part[-1][1]) else 1.0)) for n, (part, score) in scores.items()}
+    first = lambda: min(out, key=lambda n: (-out[n][1], len(out[n][0]), out[n][0]))
+    while out:
+        best = first()
+        part = scores[best][0]
+        if len(part) < 3 or any(_likely(step) and not step.startswith("body") for _, step in part) or part[-2][1].partition(".")[0] in ("html", "body"):
+            break
+        around = part[-2][0]
+        if unlinked[around] < SPREAD * unlinked[best]:
+            break
+        scores.setdefault(around, [part[:-1], 0.0])
+        out[around] = (steps(part[:-1]), out[best][1] * 1.01)
     if titles and out:
-        best = min(out, key=lambda n: (-out[n][1], len(out[n][0]), out[n][0]))
+        best = first()
         above = scores[best][0][:-1]
         if best not in titles:
             for at in range(len(above) - 1, max(-1, len(above) - 3), -1):
@@ -378,8 +399,10 @@ def extract(pages: DataFrame, salts: int = 32) -> DataFrame:
         return best_text(page, [path for path, own in candidates(page) if key_of(host, path, own) == key] if key is not None else [])
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [text_of(*row) for row in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "key")), strict=True)]
-            yield pa.record_batch([batch.column("page_id"), batch.column("url"), pa.array(found, pa.string())], names=["page_id", "url", "text"])
+        for big in batches:
+            for at in range(0, big.num_rows, 256):
+                batch = big.slice(at, 256)
+                found = [text_of(*row) for row in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "key")), strict=True)]
+                yield pa.record_batch([batch.column("page_id"), batch.column("url"), pa.array(found, pa.string())], names=["page_id", "url", "text"])
 
     return joined.mapInArrow(texts, schema)
