@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.conftest import edge_rows, plain
 from tillmart.llm.secret_index import ANY, BASE, MORE, Rule, find_secrets, query_of
-from tillmart.llm.syncmers import K, as_text, edited_fingerprints
+from tillmart.llm.syncmers import CHARACTER, K, SHORT, UNIT, _ranges, as_text, edited_fingerprints
 
 
 def signed(v: int) -> int:
@@ -29,37 +29,90 @@ def chained(values: list[int]) -> int:
     return h >> 32
 
 
-def anchors(text: str) -> list[int]:
-    words = [word_hash(w) for w in re.findall(r"[^\x20\x09-\x0D]+", text)]
-    if not words:
-        return []
-    if len(words) < K:
-        return [chained(words)]
-    return [chained(words[i : i + K]) for i in range(len(words) - K + 1) if min(words[i], words[i + K - 1]) <= min(words[i + 1 : i + K - 1])]
+def anchors(text: str, unit: str = UNIT) -> list[tuple[int, int]]:
+    units = [word_hash(u) for u in re.findall(unit, text)]
+    if len(units) < K:
+        return [(0, chained(units))] if units else []
+    at = [i for i in range(len(units) - K + 1) if min(units[i], units[i + K - 1]) <= min(units[i + 1 : i + K - 1])]
+    return [(i - before, chained(units[i : i + K])) for before, i in zip([0, *at], at)]
 
 
-def likeness(a: list[int], b: list[int]) -> float:
-    return 2 * len(set(a) & set(b)) / (len(set(a)) + len(set(b))) if a or b else 1.0
+def both(text: str) -> list[list[tuple[int, int]]]:
+    return [anchors(text), anchors(text if len(text) <= SHORT else "", CHARACTER)]
 
 
-@pytest.mark.parametrize("rows_per_range", [3, 8192])
-def test_syncmers_against_brute_force(docs, rows_per_range):
-    rows = sorted(((r[0], r[1] or "") for r in edge_rows()), key=lambda r: (r[0] is None, -(r[0] or 0), word_hash(r[1])))
+def shown(parts: list) -> str:
+    return "|".join(" ".join(f"{h:08x}+{gap}" for gap, h in part) for part in parts).removesuffix("|")
+
+
+def likeness(a: list, b: list) -> float:
+    def linked(parts):
+        return {(n, before, anchor) for n, part in enumerate(parts) for before, anchor in zip([None, *(h for _, h in part)], part)}
+
+    one, two = linked(a), linked(b)
+    return 2 * len(one & two) / (len(one) + len(two)) if one or two else 1.0
+
+
+def rows_by_next(rows: list[tuple]) -> list[tuple]:
+    rows = sorted(((r[0], r[1] or "") for r in rows), key=lambda r: (r[0] is None, -(r[0] or 0), word_hash(r[1])))
     want = []
-    for i, r in enumerate(rows):
-        text, following = r[1], rows[(i + 1) % len(rows)][1]
+    for i, (doc_id, text) in enumerate(rows):
+        following = rows[(i + 1) % len(rows)][1]
         half = len(text) // 2
         edited = text[: len(text) - half] + following[:half]
-        a, b, c = anchors(text), anchors(edited), anchors(following)
-        hexed = ["".join(f"{v:08x}" for v in x) for x in (a, b)]
-        want.append((r[0], len(text), edited, *hexed, round(likeness(a, b), 9), round(likeness(a, c), 9)))
-    got = edited_fingerprints(docs, rows_per_range=rows_per_range).select(
-        "doc_id", "n_chars", "edited_text", as_text(F.col("anchors")), as_text(F.col("edited_anchors")), F.round("near_edited", 9), F.round("near_next", 9)
-    )
-    assert plain(got) == sorted(want, key=repr)
+        a, b, c = both(text), both(edited), both(following)
+        want.append((doc_id, len(text), edited, shown(a), shown(b), round(likeness(a, b), 9), round(likeness(a, c), 9)))
+    return sorted(want, key=repr)
+
+
+def fingerprinted(df, rows_per_range: int) -> list[tuple]:
+    got = edited_fingerprints(df, rows_per_range=rows_per_range)
+    rounded = [F.round(c, 9) for c in ("near_edited", "near_next")]
+    return plain(got.select("doc_id", "n_chars", "edited_text", as_text(F.col("anchors")), as_text(F.col("edited_anchors")), *rounded))
+
+
+UNSPACED_ROWS = [
+    (1, "河流在冬天的桥下缓慢地带着光走过石头和山谷" * 3),
+    (2, "six words are in this text"),
+    (3, "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/" * 9 + "zz"),
+    (4, "𠀁𠀂 กขฃค mixed あいう " + "w" * 33 + " end"),
+    (10**15, "a document whose number lies far out"),
+]
+
+
+@pytest.mark.parametrize("rows_per_range", [3, 8192])
+def test_syncmers_against_brute_force(docs, rows_per_range):
+    assert fingerprinted(docs, rows_per_range) == rows_by_next(edge_rows())
     assert edited_fingerprints(docs.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("rows_per_range", [1, 8192])
+def test_syncmers_of_unspaced_and_short_texts(spark, rows_per_range):
+    got = fingerprinted(spark.createDataFrame(UNSPACED_ROWS, "doc_id long, text string"), rows_per_range)
+    assert got == rows_by_next(UNSPACED_ROWS)
+    assert all(r[5] > 0 for r in got)
+
+
+def test_anchors_match_by_position():
+    units = [f"w{i}" for i in range(400)]
+    moved = units[200:] + units[:200]
+    mixed = [u for i in range(0, 400, 10) for u in units[390 - i : 400 - i]]
+    assert likeness(both(" ".join(units)), both(" ".join(moved))) > 0.9
+    assert likeness(both(" ".join(units)), both(" ".join(mixed))) < likeness(both(" ".join(units)), both(" ".join(moved)))
+
+
+def test_one_number_on_a_third_of_the_rows_and_one_far_out(spark):
+    rows = [(7, f"text {i} of a number that many rows have") for i in range(30)] + [(i * i, f"other text {i}") for i in range(8, 60)]
+    rows += [(10**18, "far out"), (-(10**18), "far out below"), *((None, f"no number {i}") for i in range(20))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert fingerprinted(df, 5) == rows_by_next(rows)
+    keyed = df.withColumn("hash", F.xxhash64("text"))
+    sizes = [r["count"] for r in keyed.withColumn("range", _ranges(keyed, 5)).groupBy("range").count().collect()]
+    assert max(sizes) <= 20 and len(sizes) >= 10
+    with pytest.raises(TypeError, match="whole number"):
+        edited_fingerprints(df.withColumn("doc_id", F.col("doc_id").cast("string")))
+
+
 SECRETS = [
     (1, "é😀 Api-key: x APIKEY='abcdef' AKIA" + "Z" * 16 + " AKIA12 " + "0a" * 20, None),
     (2, "tokEN = \"ab12==--..\" password:short1 password: tiny", "x"),
