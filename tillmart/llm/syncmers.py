@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import SPACE_CLASS, kept
+from tillmart.llm.common import SPACE_CLASS, SPACES, kept
 
 K = 5
 HASH_BITS = 32
@@ -35,9 +35,19 @@ UNIT = f"{_OTHER}{{1,{LONGEST}}}+(?!{_OTHER})|[^{SPACE_CLASS}]"
 CHARACTER = f"[^{SPACE_CLASS}]"
 
 
-def unit_hashes(text: Column, unit: str = UNIT) -> Column:
-    """Hashes of the units in order."""
-    return F.transform(F.regexp_extract_all(text, F.lit(unit), F.lit(0)), lambda u: F.xxhash64(u))
+def words(text: Column) -> Column:
+    """Runs of characters that are not white space, in order."""
+    bare = F.trim(text, F.lit("".join(SPACES)))
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, f"[{SPACE_CLASS}]+"))
+
+
+def _unit_hashes(text: Column, found: Column) -> Column:
+    """Hashes of the units in order. Most texts' units are their words ``found``, and splitting is cheaper than matching."""
+    unspaced = (F.octet_length(text) > F.length(text)) & text.rlike(f"[{UNSPACED}]")
+    units = F.regexp_extract_all(text, F.lit(UNIT), F.lit(0))
+    return F.when(unspaced | F.exists(found, lambda w: F.length(w) > LONGEST), F.transform(units, lambda u: F.xxhash64(u))).otherwise(
+        F.transform(found, lambda w: F.xxhash64(w))
+    )
 
 
 def _chosen(hashes: Column, k: int) -> Column:
@@ -64,11 +74,13 @@ def _packed(hashes: Column, starts: Column, k: int) -> Column:
 def with_anchors(df: DataFrame, text: str, name: str, k: int = K) -> DataFrame:
     """``df`` with ``name``, a struct of the anchors of the column ``text`` over ``units`` and, in short texts, over ``characters``."""
     short = F.when(F.length(text) <= SHORT, F.col(text)).otherwise(F.lit(""))
-    made = df.withColumns({"_units": unit_hashes(F.col(text)), "_characters": unit_hashes(short, CHARACTER)})
+    characters = F.transform(F.regexp_extract_all(short, F.lit(CHARACTER), F.lit(0)), lambda c: F.xxhash64(c))
+    made = df.withColumn("_words", words(F.col(text)))
+    made = made.withColumns({"_units": _unit_hashes(F.col(text), F.col("_words")), "_characters": characters})
     made = made.withColumns({"_unit_starts": _chosen(F.col("_units"), k), "_character_starts": _chosen(F.col("_characters"), k)})
     units = _packed(F.col("_units"), F.col("_unit_starts"), k).alias("units")
     characters = _packed(F.col("_characters"), F.col("_character_starts"), k).alias("characters")
-    return made.withColumn(name, F.struct(units, characters)).drop("_units", "_characters", "_unit_starts", "_character_starts")
+    return made.withColumn(name, F.struct(units, characters)).drop("_words", "_units", "_characters", "_unit_starts", "_character_starts")
 
 
 def as_text(anchors: Column) -> Column:
@@ -124,29 +136,32 @@ def _ranges(docs: DataFrame, rows_per_range: int) -> Column:
     return F.when(F.col("doc_id").isNotNull(), known).otherwise(F.shiftright(top * unnumbered, 32) + len(falling) + 1).cast("long")
 
 
-def with_next(docs: DataFrame, rows_per_range: int) -> DataFrame:
-    """``docs`` (doc_id, text, hash and others) with ``next``, a struct of the others of the row after it by descending doc_id; after the last, the first.
+def with_next(docs: DataFrame, rows_per_range: int, k: int = K) -> DataFrame:
+    """``docs`` (doc_id, text, hash) with ``anchors`` and the ``next_text`` and ``next_anchors`` of the row after it by descending doc_id; after the last, the first.
 
     Null doc_ids come after all others; rows that share a doc_id go by their hash. Ranges of rows are put in order one by one, and texts
-    are shuffled once for it. What a range's last row needs is the first row of the next range; these are looked up.
+    are shuffled once for it, before they have anchors. What a range's last row needs is the first row of the next range; these are looked up.
     """
     if docs.schema["doc_id"].dataType.simpleString() not in ("tinyint", "smallint", "int", "bigint"):
         raise TypeError("doc_id must be a whole number")
     ranged = docs.withColumn("range", _ranges(docs.select("doc_id", "hash"), rows_per_range))
-    rest = F.struct(*[c for c in docs.columns if c not in ("doc_id", "hash")])
     # ~x turns the order of numbers round.
-    firsts = ranged.groupBy("range").agg(F.min(F.struct(F.bitwise_not("doc_id").isNull().alias("unnumbered"), F.bitwise_not("doc_id").alias("turned"), "hash")).alias("first"))
+    turned = F.bitwise_not("doc_id")
+    firsts = ranged.groupBy("range").agg(F.min(F.struct(turned.isNull().alias("unnumbered"), turned.alias("turned"), "hash")).alias("first"))
     by_range = Window.orderBy("range")  # one row a range
     whole = by_range.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     heads = firsts.select(F.col("range").alias("before"), F.coalesce(F.lead("first").over(by_range), F.first("first").over(whole)).alias("head"))
     # Written, so that their number is known when the texts are searched for them.
     heads = kept(heads.select("before", F.bitwise_not("head.turned").alias("id"), F.col("head.hash").alias("h")), "syncmer-heads")
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("h"))
-    looked_up = kept(docs.join(heads, same).groupBy("before").agg(F.first(rest).alias("head")), "syncmer-first-rows")
+    looked_up = docs.join(heads, same).groupBy("before").agg(F.first("text").alias("head_text"))
+    looked_up = kept(with_anchors(looked_up, "head_text", "head_anchors", k), "syncmer-first-rows")
     within = Window.partitionBy("range").orderBy(F.col("doc_id").desc_nulls_last(), F.col("hash").asc())
-    followed = ranged.withColumn("following", F.lead(rest).over(within))
+    followed = with_anchors(ranged.withColumn("following", F.lead("text").over(within)), "text", "anchors", k)
+    followed = followed.withColumn("following_anchors", F.lead("anchors").over(within))  # in the order that lies there already
     joined = followed.join(looked_up, (F.col("range") == F.col("before")) & F.col("following").isNull(), "left")
-    return joined.select(*docs.columns, F.coalesce("following", "head").alias("next"))
+    next_text, next_anchors = F.coalesce("following", "head_text"), F.coalesce("following_anchors", "head_anchors")
+    return joined.select(*docs.columns, "anchors", next_text.alias("next_text"), next_anchors.alias("next_anchors"))
 
 
 def edited_fingerprints(docs: DataFrame, k: int = K, rows_per_range: int = 8192) -> DataFrame:
@@ -161,11 +176,9 @@ def edited_fingerprints(docs: DataFrame, k: int = K, rows_per_range: int = 8192)
     body = F.coalesce("text", F.lit(""))
     read = docs.select("doc_id", body.alias("text"), F.xxhash64(body).alias("hash"))
     half = F.floor(F.length("text") / 2).cast("int")
-    paired = with_next(read, rows_per_range)
-    paired = paired.withColumn("edited_text", F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring(F.col("next.text"), F.lit(1), half)))
-    paired = paired.withColumn("next_text", F.col("next.text"))
-    for name, source in (("anchors", "text"), ("edited_anchors", "edited_text"), ("next_anchors", "next_text")):
-        paired = with_anchors(paired, source, name, k)
+    paired = with_next(read, rows_per_range, k)
+    paired = paired.withColumn("edited_text", F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("next_text", F.lit(1), half)))
+    paired = with_anchors(paired, "edited_text", "edited_anchors", k)
     linked = paired.withColumns({f"_{name}": links(F.col(name)) for name in ("anchors", "edited_anchors", "next_anchors")})
     return linked.select(
         "doc_id",
