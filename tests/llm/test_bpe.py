@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import os
 import random
 
 import numpy as np
 import pytest
 
 from tests.llm.conftest import edge_rows, plain
-from tillmart.llm.bpe_tree import Codec, cut, encode_decode, tokenizer_spec
+from tillmart.llm.bpe_tree import TEXT, Codec, cut, encode_decode, encoded_part, joined_ids, tokenizer_spec
 from tillmart.llm.queries import tokenizer_path
 
-ALPHABETS = ["ab", "abcdefghij", "the inonér' 's1", "éñßábAB 　\x85x", "aaaaaaab", "中文字a ", "'sStT'dDLl rRve."]
+SMALL = os.environ.get("PARITY_SF_DIR", "/root/testdata/sf0.001")
+ALPHABETS = ["ab", "abcdefghij", "the inonér' 's1", "éñßábAB 　\x85x", "aaaaaaab", "中文字a ", "'sStT'dDLl rRve.", "e\u0301\u0323o\u0308 x", "0f3a9c7b1d \n", "👍🏽é-- '"]
 
 
 @pytest.fixture(scope="module")
@@ -20,17 +22,8 @@ def codec():
 
 
 def in_parts(codec: Codec, text: str, most: int) -> list[int]:
-    out, piece, waiting = [], -1, []
-    for number, last, body in [*cut(codec, text, most), (-1, True, "")]:
-        if waiting and number != piece:
-            out += codec.join_all(waiting, True)
-            waiting = []
-        piece = number
-        if number < 0:
-            out += np.frombuffer(codec.packed(body.encode()), dtype="<u4").tolist()
-        else:
-            waiting.append([int(body[1:])] if body.startswith("\0") else codec.piece(body, last))
-    return out
+    parts = [(piece, kind, body, *encoded_part(codec, kind, last, body)) for piece, kind, last, body in cut(codec, text, most)]
+    return np.frombuffer(joined_ids(codec, parts), dtype="<u4").tolist()
 
 
 @pytest.mark.parametrize("seed", range(6))
@@ -41,7 +34,25 @@ def test_parts_give_the_encoding_of_the_whole(codec, seed):
         text = "".join(rng.choice(letters) for _ in range(rng.randint(1, 200)))
         if rng.random() < 0.1:
             text = text.replace("a", "<|endoftext|>")
-        assert in_parts(codec, text, rng.choice([2, 3, 7, 16])) == codec.ids(text), text
+        assert in_parts(codec, text, rng.choice([2, 3, 7, 16, 40])) == codec.ids(text), text
+
+
+def test_long_supplied_texts_meet_at_any_place(codec, spark):
+    """Every join of texts that are cut where their middle falls, the longest of them at all sizes of part."""
+    texts = [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("text").where("length(text) > 2000").collect()]
+    assert texts
+    codec.joins = codec.widened = 0
+    for text in texts:
+        for most in (199, 1000):
+            assert {kind for _, kind, _, _ in cut(codec, text, most)} == {TEXT}
+            assert in_parts(codec, text, most) == codec.ids(text)
+    assert 0 < codec.widened < codec.joins
+
+
+def test_added_tokens_over_a_join(codec):
+    for before in range(40):
+        text = "x" * (before % 7) + " y" * before + "<|endoftext|>" + "it's 'Re " * 4
+        assert in_parts(codec, text, 30) == codec.ids(text), text
 
 
 def test_ascii_words_against_the_library(codec):

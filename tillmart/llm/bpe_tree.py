@@ -1,13 +1,14 @@
 """BPE encoding and decoding of whole texts, long ones by tree concatenation.
 
-A text is a row of words between white space, and the tokenizer never joins two of them, so a
-long text is halved at white space again and again, its parts are encoded in parallel, and the
-ids are put together in order.
-
-Inside a word, pre-tokens can be long too: text without white space, such as encoded data. Such a pre-token
-is halved anywhere. Where two halves meet, their encodings say too little about each other, so a window
-of tokens around the join is encoded again, and grows until both sides agree: its first token
-is the left half's token there, and its last the right half's. Then every two neighbours in the spliced row are
+A long text is halved again and again, wherever its middle falls, its parts are encoded in parallel, and
+neighbours are joined two by two. Where two halves meet, their encodings say too little about each
+other, so a window of tokens around the join is encoded again. It grows until both sides agree: its tokens up to the last white space
+before the join are the left half's, and those from the first white space after it the right half's. The
+tokenizer never joins two words, so what lies beyond the two white spaces does not change what lies between.
+
+A word that is longer than a part, such as encoded data, has no white space to agree at. It is taken out, cut into its pre-tokens, and
+these are halved anywhere. There a window grows until its first token is the left half's token there, and its
+last the right half's. Then every two neighbours in the spliced row are
 neighbours in the encoding of some text, and a row of tokens of which this holds is the
 encoding of the whole: in BPE, the first merge across a token's edge depends on the two tokens at it alone.
 
@@ -19,8 +20,10 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cached_property
+from itertools import groupby
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -28,10 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillmart.llm.common import SPACES
 
-LONG = 1 << 15  # code points from which a text, and bytes from which a pre-token, is halved
+LONG = 1 << 15  # code points from which a text or word, and bytes from which a pre-token, is halved
 CACHE = 1 << 18  # words, and as many pre-tokens, whose encodings a task holds
 ROWS = 256  # rows in a batch of output
+PART_ROWS = 32  # parts in one, each with its ids and where they start
 
 # Fixed value: the pattern by which word_bpe_49k.json cuts text into pre-tokens, and what it comes to for ASCII in lower case.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -39,7 +44,19 @@ ASCII_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
 CONTROL = re.compile(rb"[\x00-\x20\x7f]")  # other characters of ASCII are themselves as byte symbols
 
-PARTS = "part int, piece int, last boolean, body string"
+SPACE, WORD = re.compile(r"[\x20\x09-\x0D]"), re.compile(r"[^\x20\x09-\x0D]+")
+
+# What a part is: text between long words, part of a pre-token of a long word, or the id of an added token.
+TEXT, PRETOKEN, ADDED = range(3)
+PARTS = "part int, piece int, kind int, last boolean, body string"
+
+
+class Stretch(NamedTuple):
+    """A stretch of text and its encoding; ``starts`` are the places in it at which its tokens start."""
+
+    text: str
+    ids: np.ndarray
+    starts: np.ndarray
 
 
 class Codec:
@@ -58,6 +75,7 @@ class Codec:
         self.suffix = form["model"].get("end_of_word_suffix") or ""
         self.plain = self._cuts_ascii(form)
         self.added = {t.content: i for i, t in self.whole.get_added_tokens_decoder().items()}
+        self.joins = self.widened = 0  # joins of texts, and those whose first window did not do
         self.words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
@@ -104,6 +122,10 @@ class Codec:
     def ids(self, text: str) -> list[int]:
         return self.whole.encode(text, add_special_tokens=False).ids
 
+    def stretch(self, text: str) -> Stretch:
+        found = self.whole.encode(text, add_special_tokens=False)
+        return Stretch(text, np.array(found.ids, dtype="<u4"), np.array([a for a, _ in found.offsets], dtype="<u4"))
+
     def packed(self, text: bytes) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers. Words recur, so each is encoded once."""
         known = self.words
@@ -178,6 +200,41 @@ class Codec:
             parts = [p[0] if len(p) == 1 else self.join(p[0], p[1], ends and k == len(pairs) - 1) for k, p in enumerate(pairs)]
         return parts[0] if parts else []
 
+    def join_texts(self, left: Stretch, right: Stretch) -> Stretch:
+        """The encoding of two neighbouring stretches of text out of the encodings of each."""
+        text, cut = left.text + right.text, len(left.text)
+        right_starts = right.starts + cut
+        self.joins += 1
+        width = 2
+        while True:
+            first, after = max(len(left.ids) - width, 0), min(width, len(right.ids))
+            begin = int(left.starts[first]) if first else 0
+            end = int(right_starts[after]) if after < len(right.ids) else len(text)
+            window = self.stretch(text[begin:end])
+            starts = window.starts + begin
+            # The white spaces nearest the join; a side that is in the window as a whole needs none.
+            low = max(text.rfind(space, begin, cut) for space in SPACES) if first else 0
+            found = SPACE.search(text, cut, end) if after < len(right.ids) else None
+            high = found.start() if found else end if after == len(right.ids) else -1
+            if low >= 0 and high >= 0:
+                left_kept = first + int((left.starts[first:] < low).sum())
+                right_left_out = int((right_starts[:after] < high).sum())
+                head, tail = int((starts < low).sum()), int((starts < high).sum())
+                same_left = not first or (head and np.array_equal(window.ids[:head], left.ids[first:left_kept]))
+                same_right = after == len(right.ids) or (tail < len(starts) and np.array_equal(window.ids[tail:], right.ids[right_left_out:after]))
+                if same_left and same_right:
+                    break
+            if width == 2:
+                self.widened += 1
+            width *= 2
+        pick = [(left.ids, left.starts, slice(left_kept)), (window.ids, starts, slice(head, tail)), (right.ids, right_starts, slice(right_left_out, None))]
+        return Stretch(text, np.concatenate([i[at] for i, _, at in pick]), np.concatenate([s[at] for _, s, at in pick]).astype("<u4"))
+
+    def join_all_texts(self, parts: list[Stretch]) -> Stretch:
+        while len(parts) > 1:
+            parts = [self.join_texts(*parts[i : i + 2]) if i + 1 < len(parts) else parts[i] for i in range(0, len(parts), 2)]
+        return parts[0]
+
 
 def halves(text: str, most: int) -> list[str]:
     """The text cut in two, its parts likewise, until none is longer than ``most``."""
@@ -187,34 +244,42 @@ def halves(text: str, most: int) -> list[str]:
     return halves(text[:middle], most) + halves(text[middle:], most)
 
 
-def text_parts(text: str, most: int) -> list[str]:
-    """As ``halves``, but cut at the white space nearest the middle; a longer word is a part of its own."""
-    if len(text) <= most:
-        return [text]
-    middle = len(text) // 2
-    after = re.compile(r"[\x20\x09-\x0D]").search(text, middle)
-    before = max(text.rfind(space, 0, middle) for space in " \t\n\x0b\f\r")
-    cuts = [c for c in (after.start() if after else -1, before) if 0 < c < len(text)]
-    if not cuts:
-        return [text]
-    cut = min(cuts, key=lambda c: abs(c - middle))
-    return text_parts(text[:cut], most) + text_parts(text[cut:], most)
-
-
-def cut(codec: Codec, text: str, most: int) -> Iterator[tuple[int, bool, str]]:
-    """The parts of a text: (piece, last, body). Parts of one long pre-token share a piece number;
-    other parts are whole words and have -1; an added token's body is its name."""
-    piece = 0
-    for part in text_parts(text, most):
-        if len(part) <= most:
-            yield -1, True, part
-            continue
-        # Halving ends at white space, which is at the edges at most, so this is one word.
-        for pre in codec.pretokens(part.strip(" \t\n\x0b\f\r")):
-            bits = [pre] if isinstance(pre, int) else halves(pre, most)
+def cut(codec: Codec, text: str, most: int) -> Iterator[tuple[int, int, bool, str]]:
+    """The parts of a text: (piece, kind, last, body). Parts to be joined share a piece number;
+    an added token's body is its id."""
+    piece = done = 0
+    for start, end in [*(w.span() for w in WORD.finditer(text) if w.end() - w.start() > most), (len(text), len(text))]:
+        found = [(TEXT, text[done:start])] if start > done else []
+        found += [(ADDED, str(p)) if isinstance(p, int) else (PRETOKEN, p) for p in codec.pretokens(text[start:end])] if end > start else []
+        for kind, body in found:
+            bits = [body] if kind == ADDED else halves(body, most)
             for k, bit in enumerate(bits):
-                yield piece, k == len(bits) - 1, f"\0{bit}" if isinstance(bit, int) else bit
+                yield piece, kind, k == len(bits) - 1, bit
             piece += 1
+        done = end
+
+
+def encoded_part(codec: Codec, kind: int, last: bool, body: str) -> tuple[bytes, bytes | None]:
+    """The ids of one part, and for text the places at which they start."""
+    if kind == TEXT:
+        found = codec.stretch(body)
+        return found.ids.tobytes(), found.starts.tobytes()
+    ids = [int(body)] if kind == ADDED else codec.piece(body, last)
+    return np.array(ids, dtype="<u4").tobytes(), None
+
+
+def joined_ids(codec: Codec, parts: Iterable[tuple[int, int, str | None, bytes, bytes | None]]) -> bytes:
+    """The ids of a text out of its parts in order: (piece, kind, body, ids, starts)."""
+    out = []
+    for _, group in groupby(parts, key=lambda p: p[0]):
+        rows = list(group)
+        if rows[0][1] == TEXT:
+            found = codec.join_all_texts([Stretch(body, np.frombuffer(ids, dtype="<u4"), np.frombuffer(starts, dtype="<u4")) for _, _, body, ids, starts in rows])
+            out.append(found.ids.tobytes())
+        else:
+            found = codec.join_all([np.frombuffer(ids, dtype="<u4").tolist() for _, _, _, ids, _ in rows], True)
+            out.append(np.array(found, dtype="<u4").tobytes())
+    return b"".join(out)
 
 
 def tokenizer_spec(path: str) -> str:
@@ -261,18 +326,16 @@ def encode_decode(docs: DataFrame, tokenizer: str, long: int = LONG) -> DataFram
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(shared.value)
-        for batch in batches:
-            ids = []
-            for row in batch.select(["piece", "last", "body"]).to_pylist():
-                if row["body"].startswith("\0") and row["piece"] >= 0:
-                    ids.append(np.array([int(row["body"][1:])], dtype="<u4").tobytes())
-                elif row["piece"] < 0:
-                    ids.append(codec.packed(row["body"].encode()))
-                else:
-                    ids.append(np.array(codec.piece(row["body"], row["last"]), dtype="<u4").tobytes())
-            names = ["doc_id", "key", "copies", "part", "piece"]
-            yield pa.record_batch([*(batch.column(n) for n in names), pa.array(ids, pa.binary())], names=[*names, "ids"])
-        codec.release()
+        for big in batches:
+            for at in range(0, big.num_rows, PART_ROWS):
+                batch = big.slice(at, PART_ROWS)
+                rows = batch.select(["kind", "last", "body"]).to_pylist()
+                ids, starts = zip(*(encoded_part(codec, **row) for row in rows), strict=True)
+                # Only text is looked at again.
+                bodies = [row["body"] if row["kind"] == TEXT else None for row in rows]
+                names = ["doc_id", "key", "copies", "part", "piece", "kind"]
+                made = [pa.array(bodies, pa.string()), pa.array(ids, pa.binary()), pa.array(starts, pa.binary())]
+                yield pa.record_batch([*(batch.column(n) for n in names), *made], names=[*names, "body", "ids", "starts"])
 
     made: list[Codec] = []  # one for all groups of a task
 
@@ -281,28 +344,18 @@ def encode_decode(docs: DataFrame, tokenizer: str, long: int = LONG) -> DataFram
             made.append(Codec(shared.value))
         codec = made[0]
         rows = rows.sort_values("part")
-        out, piece, waiting = [], -1, []
-        for number, packed in zip([*rows["piece"], -1], [*rows["ids"], b""], strict=True):
-            if waiting and number != piece:
-                out.append(np.array(codec.join_all(waiting, True), dtype="<u4").tobytes())
-                waiting = []
-            piece = number
-            if number < 0:
-                out.append(packed)
-            else:
-                waiting.append(np.frombuffer(packed, dtype="<u4").tolist())
-        ids = b"".join(out)
+        ids = joined_ids(codec, rows[["piece", "kind", "body", "ids", "starts"]].itertuples(index=False, name=None))
         return pd.DataFrame({"doc_id": [rows["doc_id"].iloc[0]], "copies": [rows["copies"].iloc[0]], "ids": [ids], "decoded": [codec.decode(ids)]})
 
     id_type = docs.limit(0).select("doc_id").toArrow().schema.field(0).type
     part_schema = pa.schema(
-        [("doc_id", id_type), ("key", pa.string()), ("copies", pa.int64()), ("part", pa.int32()), ("piece", pa.int32()), ("last", pa.bool_()), ("body", pa.string())]
+        [("doc_id", id_type), ("key", pa.string()), ("copies", pa.int64()), ("part", pa.int32()), ("piece", pa.int32()), ("kind", pa.int32()), ("last", pa.bool_()), ("body", pa.string())]
     )
     short = read.where(~is_long).select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(in_place, f"doc_id {kind}, ids binary, decoded string")
     # The same long text under the same doc_id is encoded once.
     whole = read.where(is_long).groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("copies")).withColumn("key", F.md5("text"))
     dealt = whole.mapInArrow(parts, f"doc_id {kind}, key string, copies long, {PARTS}").repartition("doc_id", "key", "part")
-    coded = dealt.mapInArrow(encoded, f"doc_id {kind}, key string, copies long, part int, piece int, ids binary")
+    coded = dealt.mapInArrow(encoded, f"doc_id {kind}, key string, copies long, part int, piece int, kind int, body string, ids binary, starts binary")
     long_rows = coded.groupBy("doc_id", "key").applyInPandas(joined, f"doc_id {kind}, copies long, ids binary, decoded string")
     long_rows = long_rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     return short.unionByName(long_rows.select("doc_id", "ids", "decoded"))
