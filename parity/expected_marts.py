@@ -74,21 +74,21 @@ MARTS = {
         FROM nation""",
     "expenses": f"""
         SELECT event_id AS id_expense, {BRANCH.format("user_id")} AS branch_id, value AS amount,
-               CAST(NULL AS VARCHAR) AS description, ts AS expense_date, event_type AS status,
-               CAST(NULL AS TIMESTAMP) AS due_date, value > 300 AS canceled, ts AS created_at,
-               CAST(NULL AS TIMESTAMP) AS payment_date,
+               'spent on ' || (event_id % 40) AS description, ts AS expense_date, event_type AS status,
+               ts + INTERVAL 30 DAY AS due_date, value > 300 AS canceled, ts AS created_at,
+               ts + to_days(CAST(event_id % 30 AS INTEGER)) AS payment_date,
                CASE WHEN event_id % 3 = 0 THEN 'R-' || event_id END AS receipt_number,
                event_id % 2 = 0 AS use_in_cash_count, CAST(user_id AS VARCHAR) AS user_id,
-               CAST(NULL AS VARCHAR) AS provider_id, CAST(NULL AS VARCHAR) AS receipt_type_id,
-               CAST(NULL AS VARCHAR) AS cash_register_id, CAST(NULL AS VARCHAR) AS payment_method_id,
+               CASE WHEN event_id % 4 <> 0 THEN CAST(event_id % 50 AS VARCHAR) END AS provider_id, CASE WHEN event_id % 5 <> 0 THEN CAST(event_id % 3 AS VARCHAR) END AS receipt_type_id,
+               CASE WHEN event_id % 6 <> 0 THEN CAST(event_id % 7 AS VARCHAR) END AS cash_register_id, CASE WHEN event_id % 7 <> 0 THEN CAST(event_id % 9 AS VARCHAR) END AS payment_method_id,
                CASE WHEN event_id % 11 <> 0 THEN CAST(event_id % 25 AS VARCHAR) END AS expense_category_id,
                CASE WHEN event_id % 11 <> 0 THEN (event_id % 25) || '-' || {BRANCH.format("user_id")} END
                    AS expense_category_key
         FROM events""",
     "product_categories_details": f"""
         SELECT k AS id_product_category, p_type AS product_category_name, CAST(k % 100 AS INTEGER) AS position,
-               CAST(NULL AS INTEGER) AS preparation_time, k % 2 = 0 AS enable_online_menu,
-               CAST(b AS VARCHAR) AS kitchen_id, CAST(NULL AS VARCHAR) AS parent_category_id,
+               CASE WHEN k % 3 <> 0 THEN CAST(k % 50 AS INTEGER) END AS preparation_time, k % 2 = 0 AS enable_online_menu,
+               CAST(b AS VARCHAR) AS kitchen_id, CASE WHEN k % 4 <> 0 THEN CAST(k % 8 AS VARCHAR) END AS parent_category_id,
                'branch_' || b AS branch_id, k || '-branch_' || b AS product_category_key
         FROM (SELECT DISTINCT p_type, {CATEGORY_NUMBER} AS k FROM part), {ALL_BRANCHES}""",
     "product_prices_by_branch": f"""

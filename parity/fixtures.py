@@ -30,6 +30,10 @@ def iso(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
+def days_after(start: Column, days: Column) -> Column:
+    return iso(start + F.make_dt_interval(days.cast("int")))
+
+
 def text_id(number: Column) -> Column:
     return number.cast("string")
 
@@ -94,7 +98,16 @@ def sales_of(orders: DataFrame) -> DataFrame:
             "saleState": state,
             "saleType": F.col("o_orderpriority"),
             "people": (F.col("o_custkey") % 6 + 1).cast("int"),
-            "anonymousCustomer": F.when(key % 4 == 0, F.struct(F.concat(F.lit("Guest "), text_id(key)).alias("name"))),
+            "anonymousCustomer": F.when(
+                key % 4 == 0,
+                F.struct(
+                    F.concat(F.lit("Guest "), text_id(key)).alias("name"),
+                    F.when(key % 8 == 0, F.concat(F.lit("+"), text_id(key))).alias("phone"),
+                    F.when(key % 12 == 0, F.concat(text_id(key % 90), F.lit(" High St"))).alias("address"),
+                ),
+            ),
+            "comment": F.when(key % 10 == 1, F.concat(F.lit('said "'), text_id(key), F.lit('"'))),
+            "customerName": F.when(key % 10 == 2, F.concat(F.lit("Ann "), text_id(F.col("o_custkey")))),
             "expectedPayments": F.array(F.struct(text_id(F.col("o_custkey") % 5).alias("paymentMethod"))),
         },
         {
@@ -102,6 +115,10 @@ def sales_of(orders: DataFrame) -> DataFrame:
             "table": one(text_id(F.col("o_custkey") % 25)),
             "waiter": one(F.when(key % 3 != 0, text_id(key % 7))),
             "payments": many(text_id(key)),
+            "items": F.when(key % 10 == 3, many(text_id(key * 10 + 1), text_id(key * 10 + 2))),
+            "tips": F.when(key % 10 == 4, many(text_id(key * 10))),
+            "shippingCosts": F.when(key % 10 == 5, many(text_id(key % 3))),
+            "saleIdentifier": F.when(key % 10 == 6, one(text_id(key % 9))),
             "discounts": F.when(key % 2 == 0, F.struct(F.array().cast("array<struct<id:string>>").alias("data"))),
         },
         extracted_at=date + F.expr("INTERVAL 1 DAY"),
@@ -143,6 +160,11 @@ def items_of(lineitem: DataFrame) -> DataFrame:
             "canceled": F.when(flag == "R", True).when(flag == "A", False),
             "createdAt": iso(F.col("l_shipdate")),
             "status": F.col("l_linestatus"),
+            "cancellationComment": F.when((flag == "R") & (line == 2), F.concat(F.lit("back "), item_id)),
+            "comment": F.when(line == 6, F.concat(F.lit("no salt "), text_id(order))),
+            "cost": F.when(line == 4, F.col("l_extendedprice") / 2),
+            "paid": F.when(line == 3, order % 2 == 0),
+            "lastStockCountAt": F.when(line == 5, days_after(F.col("l_shipdate"), F.lit(-1))),
         },
         {
             "sale": one(text_id(order)),
@@ -208,9 +230,16 @@ def expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
             "status": F.col("event_type"),
             "receiptNumber": F.when(key % 3 == 0, F.concat(F.lit("R-"), text_id(key))),
             "useInCashCount": key % 2 == 0,
+            "description": F.concat(F.lit("spent on "), text_id(key % 40)),
+            "dueDate": days_after(F.col("ts"), F.lit(30)),
+            "paymentDate": days_after(F.col("ts"), key % 30),
         },
         {
             "user": one(text_id(F.col("user_id"))),
+            "provider": one(F.when(key % 4 != 0, text_id(key % 50))),
+            "receiptType": one(F.when(key % 5 != 0, text_id(key % 3))),
+            "cashRegister": one(F.when(key % 6 != 0, text_id(key % 7))),
+            "paymentMethod": one(F.when(key % 7 != 0, text_id(key % 9))),
             "expenseItems": many(text_id(key)),
             "expenseCategory": one(F.when(key % 11 != 0, text_id(key % 25))),
         },
@@ -231,11 +260,21 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
             "active": size > 5,
             "position": size,
             "code": F.when(key % 2 == 0, F.concat(F.lit("P"), text_id(key))),
+            "cost": F.when(key % 3 == 0, F.col("p_retailprice") / 2),
+            "description": F.when(key % 3 == 1, F.concat(F.lit("made of "), F.col("p_type"))),
+            "enableOnlineMenu": F.when(key % 3 == 2, size % 2 == 0),
+            "enableQrMenu": F.when(key % 4 == 0, size % 2 == 1),
+            "favourite": F.when(key % 4 == 1, size > 20),
+            "imageUrl": F.when(key % 4 == 2, F.concat(F.lit("https://img.example/"), text_id(key), F.lit(".png"))),
+            "preparationTime": F.when(key % 4 == 3, size * 2),
+            "sellAlone": F.when(key % 5 == 0, size > 10),
+            "stockControl": F.when(key % 5 == 1, size > 30),
         },
         {
             "productCategory": one(F.when(key % 13 != 0, text_id(hex_number(F.col("p_type"), 7)))),
             "kitchen": one(text_id(hex_number(F.col("p_brand"), 7))),
             "productModifiersGroups": many(text_id(size)),
+            "productProportions": F.when(key % 5 == 2, many(text_id(key * 2), text_id(key * 2 + 1))),
         },
     )
 
@@ -247,8 +286,13 @@ def product_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
         _in_all_branches(types),
         text_id(number),
         F.col("_branch"),
-        {"name": F.col("p_type"), "position": number % 100, "enableOnlineMenu": number % 2 == 0},
-        {"kitchen": one(text_id(F.col("_branch")))},
+        {
+            "name": F.col("p_type"),
+            "position": number % 100,
+            "enableOnlineMenu": number % 2 == 0,
+            "preparationTime": F.when(number % 3 != 0, number % 50),
+        },
+        {"kitchen": one(text_id(F.col("_branch"))), "parentCategory": one(F.when(number % 4 != 0, text_id(number % 8)))},
     )
 
 
@@ -259,7 +303,7 @@ def product_modifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
         text_id(key),
         key % N_BRANCHES,
         {"maxQuantity": F.col("p_size"), "price": F.col("p_retailprice")},
-        {"product": one(text_id(key))},
+        {"product": one(text_id(key)), "productModifiersGroup": one(F.when(key % 3 != 0, text_id(F.col("p_size"))))},
     )
 
 
@@ -274,7 +318,8 @@ def payment_methods(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = F.col("c_nationkey")
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    opened = F.lit("2023-01-01").cast("timestamp")
     return records_of(
         table(spark, sf_dir, "customer"),
         text_id(F.col("c_custkey")),
@@ -285,6 +330,18 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
             "houseAccountEnabled": F.col("c_acctbal") > 0,
             "origin": F.col("c_mktsegment"),
             "salesCount": nation,
+            "active": F.when(key % 3 != 0, key % 2 == 0),
+            "address": F.when(key % 3 == 0, F.concat(text_id(key), F.lit(", High St"))),
+            "comment": F.when(key % 5 == 0, F.concat(F.lit("comes at "), text_id(key % 24))),
+            "createdAt": F.when(key % 7 != 0, days_after(opened, key % 300)),
+            "discountPercentage": F.when(key % 4 == 0, F.col("c_acctbal") / 100),
+            "email": F.when(key % 4 == 1, F.concat(F.lit("c"), text_id(key), F.lit("@example.org"))),
+            "firstSaleDate": F.when(key % 4 == 2, days_after(opened, key % 310)),
+            "historicalSalesCount": F.when(key % 4 == 3, (key % 100).cast("int")),
+            "historicalTotalSpent": F.when(key % 5 == 1, F.col("c_acctbal") * 2),
+            "lastSaleDate": F.when(key % 5 == 2, days_after(opened, key % 320)),
+            "phone": F.when(key % 5 == 3, F.concat(F.lit("+"), text_id(key))),
+            "vatNumber": F.when(key % 5 == 4, F.concat(F.lit("VAT"), text_id(key))),
         },
         {"paymentMethod": one(text_id(nation % 5))},
     )
@@ -312,7 +369,12 @@ def ingredients(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "supplier"),
         text_id(F.col("s_suppkey")),
         F.col("s_nationkey") % N_BRANCHES,
-        {"name": F.col("s_name"), "cost": F.col("s_acctbal"), "stockControl": F.col("s_acctbal") > 0},
+        {
+            "name": F.col("s_name"),
+            "cost": F.col("s_acctbal"),
+            "stock": F.when(F.col("s_suppkey") % 2 == 0, F.col("s_acctbal") / 4),
+            "stockControl": F.col("s_acctbal") > 0,
+        },
         {"ingredientCategory": one(text_id(F.col("s_nationkey")))},
     )
 
@@ -346,7 +408,7 @@ def roles(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "region"),
         text_id(key),
         key % N_BRANCHES,
-        {"name": name, "isWaiter": key % 2 == 0, "permissions": F.when(key > 0, permissions)},
+        {"name": name, "isWaiter": key % 2 == 0, "isDeliveryman": F.when(key > 1, key % 2 == 1), "permissions": F.when(key > 0, permissions)},
         keep_nulls=True,
     )
 
@@ -383,7 +445,13 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "events").select("user_id").distinct(),
         text_id(key),
         key % N_BRANCHES,
-        {"admin": key % 10 == 0, "active": F.lit(True), "name": F.concat(F.lit("User "), text_id(key))},
+        {
+            "admin": key % 10 == 0,
+            "active": F.lit(True),
+            "name": F.concat(F.lit("User "), text_id(key)),
+            "email": F.concat(F.lit("u"), text_id(key), F.lit("@example.org")),
+            "promotionalCode": F.when(key % 3 == 0, F.concat(F.lit("CODE"), text_id(key))),
+        },
         {"role": one(text_id(key % 5))},
     )
 

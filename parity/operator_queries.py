@@ -128,9 +128,9 @@ def source_pages_completeness(spark, sf_dir):
 
 @query(f"""
     SELECT CAST(event_id AS VARCHAR) AS source_id, {BRANCH.format("user_id")} AS branch_id,
-           'amount,canceled,createdAt,date,' || CASE WHEN event_id % 3 = 0 THEN 'receiptNumber,' ELSE '' END
+           'amount,canceled,createdAt,date,description,dueDate,paymentDate,' || CASE WHEN event_id % 3 = 0 THEN 'receiptNumber,' ELSE '' END
                || 'status,useInCashCount' AS attributes,
-           'expenseCategory,expenseItems,user' AS relationships
+           'cashRegister,expenseCategory,expenseItems,paymentMethod,provider,receiptType,user' AS relationships
     FROM events""")
 def source_project_fields(spark, sf_dir):
     """Records come with members nobody asked for; those must go."""
@@ -185,8 +185,9 @@ def source_last_extraction(spark, sf_dir):
 
 # ---- raw rows ------------------------------------------------------------------------
 
-USER_JSON = """'{"attributes":{"active":true,"admin":' || (u % 10 = 0) || ',"name":"User ' || u
-    || '"},"id":"' || u || '","relationships":{"role":{"data":{"id":"' || (u % 5) || '"}}}}'"""
+USER_JSON = """'{"attributes":{"active":true,"admin":' || (u % 10 = 0) || ',"email":"u' || u
+    || '@example.org","name":"User ' || u || '"' || CASE WHEN u % 3 = 0 THEN ',"promotionalCode":"CODE' || u || '"' ELSE '' END
+    || '},"id":"' || u || '","relationships":{"role":{"data":{"id":"' || (u % 5) || '"}}}}'"""
 
 
 @query(f"""
