@@ -16,9 +16,11 @@ def new_versions(raw: DataFrame, batch: DataFrame, order: Sequence[str] = ("inge
 
     The join hashes on all three columns, so the many versions of one record spread
     over the reducers, and it reads only those three columns of the raw table. The
-    ranking before it leaves the batch partitioned and sorted the way the join needs.
+    ranking before it leaves the batch partitioned and sorted the way the join needs. The raw table is never
+    broadcast: keys taken out of a parsed payload look far smaller to Spark than they are.
     """
-    return first_per_key(batch, VERSION_KEY, order).join(raw.select(*VERSION_KEY), VERSION_KEY, "left_anti")
+    held = raw.select(*VERSION_KEY).hint("merge")
+    return first_per_key(batch, VERSION_KEY, order).join(held, VERSION_KEY, "left_anti")
 
 
 def append_new_versions(raw: DataFrame, batch: DataFrame) -> DataFrame:
@@ -47,9 +49,9 @@ def changed_records(current: DataFrame, batch: DataFrame, on_duplicate: str = "l
     """Batch rows that insert a record or change its content, with ``action``.
 
     ``current`` has one row per record. What is left out is unchanged, or arrived before what is held: an older landing
-    that is loaded late, or again, changes nothing.
+    that is loaded late, or again, changes nothing. ``current`` is never broadcast, see ``new_versions``.
     """
-    held = current.select(*RECORD_KEY, F.struct(*ARRIVAL_ORDER).alias("_held"))
+    held = current.select(*RECORD_KEY, F.struct(*ARRIVAL_ORDER).alias("_held")).hint("merge")
     joined = _one_per_record(batch, on_duplicate).join(held, RECORD_KEY, "left")
     return (
         joined.where(_supersedes(F.col("_held")))
