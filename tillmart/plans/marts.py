@@ -452,7 +452,8 @@ def payments_with_sale(payment_rows: DataFrame, sale_rows: DataFrame, strict: bo
     """Live payments, left joined to the sales of the same branch; ``has_sale`` tells a match.
 
     The sales side is reduced to distinct keys first, so the join cannot multiply rows.
-    Payments without a sale id match nothing; a salt spreads them over the reducers.
+    Payments without a sale id match nothing; a salt spreads them over the reducers. The sales are never
+    broadcast: behind a parse they look far smaller to Spark than they are.
     """
     known = (
         with_doc(sale_rows, [ID])
@@ -461,6 +462,7 @@ def payments_with_sale(payment_rows: DataFrame, sale_rows: DataFrame, strict: bo
         .distinct()
         .withColumn("_salt", F.lit(0))
         .withColumn("_found", F.lit(True))
+        .hint("merge")
     )
     salt = F.when(F.col("pos_order_id").isNull(), F.pmod(F.hash("id"), F.lit(4096))).otherwise(0)
     live = latest_per_key(_parsed_payments(payment_rows, strict)).select(
