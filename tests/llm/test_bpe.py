@@ -76,3 +76,13 @@ def test_nothing_and_tokenizers_that_join_words(no_docs):
     assert encode_decode(no_docs, tokenizer_path()).collect() == []
     with pytest.raises(ValueError, match="over white space"):
         encode_decode(no_docs, tokenizer_path("byte_bpe_50k.json"))
+
+
+def test_parts_of_long_texts_take_words_that_are_known():
+    """A part's words are encoded once, as those of short texts are; their tokens have the place of their word."""
+    codec = Codec(tokenizer_spec(tokenizer_path()))
+    text = " Unwieldy  words,\twords " + "unwieldy words " * 5
+    found = codec.stretch(text)
+    assert found.ids.tolist() == codec.ids(text)
+    assert set(codec.words) == set(text.encode().split())
+    assert {text[s - 1].isspace() for s in found.starts.tolist()} == {True}

@@ -52,7 +52,7 @@ PARTS = "part int, piece int, kind int, last boolean, body string"
 
 
 class Stretch(NamedTuple):
-    """A stretch of text and its encoding; ``starts`` are the places in it at which its tokens start."""
+    """A stretch of text and its encoding; ``starts`` are the places in it at which its tokens, or their words, start."""
 
     text: str
     ids: np.ndarray
@@ -123,13 +123,21 @@ class Codec:
         return self.whole.encode(text, add_special_tokens=False).ids
 
     def stretch(self, text: str) -> Stretch:
+        if self.plain:
+            # Words recur here too; their tokens all get the place of the word.
+            each = self._each(text.encode().split())
+            starts = np.fromiter((word.start() for word in WORD.finditer(text)), dtype="<u4", count=len(each))
+            return Stretch(text, np.frombuffer(b"".join(each), dtype="<u4"), np.repeat(starts, [len(word) >> 2 for word in each]))
         found = self.whole.encode(text, add_special_tokens=False)
         return Stretch(text, np.array(found.ids, dtype="<u4"), np.array([a for a, _ in found.offsets], dtype="<u4"))
 
     def packed(self, text: bytes) -> bytes:
-        """Ids of a text as little-endian unsigned 32-bit integers. Words recur, so each is encoded once."""
+        """Ids of a text as little-endian unsigned 32-bit integers."""
+        return b"".join(self._each(text.split()))
+
+    def _each(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word. Words recur, so each is encoded once."""
         known = self.words
-        words = text.split()
         missing = set(words).difference(known)
         if len(known) + len(missing) > CACHE:
             known.clear()
@@ -145,7 +153,7 @@ class Codec:
             found = self.whole.encode_batch_fast([w.decode() for w in slow], add_special_tokens=False)
             for word, encoding in zip(slow, found, strict=True):
                 known[word] = np.array(encoding.ids, dtype="<u4").tobytes()
-        return b"".join(map(known.__getitem__, words))
+        return list(map(known.__getitem__, words))
 
     def _pretoken(self, piece: str) -> bytes:
         """Ids of a whole pre-token in ASCII, where characters and bytes are the same."""
@@ -208,6 +216,9 @@ class Codec:
         width = 2
         while True:
             first, after = max(len(left.ids) - width, 0), min(width, len(right.ids))
+            # Tokens that start at the same place are in the window together.
+            first = int(np.searchsorted(left.starts, left.starts[first])) if first else 0
+            after = int(np.searchsorted(right.starts, right.starts[after - 1], side="right")) if after else 0
             begin = int(left.starts[first]) if first else 0
             end = int(right_starts[after]) if after < len(right.ids) else len(text)
             window = self.stretch(text[begin:end])
@@ -336,6 +347,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, long: int = LONG) -> DataFram
                 names = ["doc_id", "key", "copies", "part", "piece", "kind"]
                 made = [pa.array(bodies, pa.string()), pa.array(ids, pa.binary()), pa.array(starts, pa.binary())]
                 yield pa.record_batch([*(batch.column(n) for n in names), *made], names=[*names, "body", "ids", "starts"])
+        codec.release()
 
     made: list[Codec] = []  # one for all groups of a task
 
