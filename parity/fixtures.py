@@ -17,9 +17,27 @@ N_BRANCHES = 5
 FIXED = "2024-02-01 00:00:00"
 
 
+# A row group is never split, and its rows may be a million: some 4 bytes a row of part, which become kilobytes of JSON.
+LEAST_BYTES, MOST_BYTES = 32 << 10, 16 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table as it lies."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table's rows, dealt out over the cores: what is made of a row costs far more than to read and move it."""
+    path = f"{sf_dir}/{name}.parquet"
+    n = pieces(file_bytes(spark, path), spark.sparkContext.defaultParallelism)
+    rows = spark.read.parquet(path)
+    return rows.repartition(n) if n > 1 else rows
+
+
+def pieces(size: int, cores: int) -> int:
+    """How many parts to deal the rows of ``size`` bytes into: three a core if they are worth it, more if they get large."""
+    return max(1, min(3 * cores, size // LEAST_BYTES), -(-size // MOST_BYTES))
+
+
+def file_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or folder, on whatever file system it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
 
 
 def branch(number: Column) -> Column:
