@@ -45,11 +45,14 @@ def pages_of(records: DataFrame, entity: str) -> DataFrame:
     return paged.select("branch_id", F.lit(entity).alias("entity"), "page_no", "body", F.lit(None).cast("timestamp").alias("landed_at"))
 
 
-def warehouse_for(spark: SparkSession, pages: DataFrame, root: str | None = None) -> Warehouse:
-    """A warehouse of its own, in the shared folder unless told otherwise, with the branches that ``pages`` name."""
+def warehouse_for(spark: SparkSession, named: DataFrame, root: str | None = None) -> Warehouse:
+    """A warehouse of its own, in the shared folder unless told otherwise, with the branches that ``named`` has.
+
+    These may be records or pages. Records are the better choice: their branches are found without making any JSON.
+    """
     made = Warehouse(spark, root or f"{scratch_folder(spark, spark.conf.get('spark.sql.warehouse.dir'))}/parity-{new_version()}")
     none = F.lit(None)
-    config = pages.select("branch_id").distinct().select(
+    config = named.select("branch_id").distinct().select(
         "branch_id", none.cast("string").alias("source_branch"), F.col("branch_id").alias("branch_name"), F.lit(True).alias("is_active"),
         none.cast("timestamp").alias("created_at"), none.cast("timestamp").alias("updated_at"),
     )
@@ -60,8 +63,9 @@ def warehouse_for(spark: SparkSession, pages: DataFrame, root: str | None = None
 def two_sales_loads(spark: SparkSession, sf_dir: str, **options) -> Warehouse:
     """All orders, then a second load: unchanged, changed and new ones."""
     orders = fx.table(spark, sf_dir, "orders")
-    first, second = (pages_of(records, "sales") for records in (fx.sales_of(orders), second_sales_load(orders)))
-    warehouse = warehouse_for(spark, first.unionByName(second))
+    records = [fx.sales_of(orders), second_sales_load(orders)]
+    first, second = (pages_of(some, "sales") for some in records)
+    warehouse = warehouse_for(spark, records[0].unionByName(records[1]))
     for pages, when in ((first, FIRST), (second, SECOND)):
         run(spark, pages, warehouse.root, when, marts=["sales_order"], **{"register": False, **options})
     warehouse.refresh()
@@ -129,8 +133,9 @@ def stored_view_by_name(spark, sf_dir):
 def view_original_payload(spark, sf_dir):
     """The payload passes through the view as it came."""
     orders = fx.table(spark, sf_dir, "orders")
-    pages = pages_of(fx.sales_of(orders), "sales")
-    warehouse = warehouse_for(spark, pages)
+    records = fx.sales_of(orders)
+    pages = pages_of(records, "sales")
+    warehouse = warehouse_for(spark, records)
     run(spark, pages, warehouse.root, FIRST, marts=[], register=False)
     warehouse.refresh()
     view = flatten(raw_store.read_raw(warehouse, ENTITIES["sales"]), ENTITIES["sales"])
@@ -152,12 +157,13 @@ def view_original_payload(spark, sf_dir):
     FROM told""")
 def load_audit_of_damaged_pages(spark, sf_dir):
     """A page without a number, one that is no JSON, and short pages; beside the counts, what is really held."""
-    pages = pages_of(fx.sales(spark, sf_dir), "sales")
+    records = fx.sales(spark, sf_dir)
+    pages = pages_of(records, "sales")
     first = F.col("page_no") == 1
     damaged = pages.withColumn("body", F.when(first & (F.col("branch_id") == "branch_1"), F.lit("<html>oops")).otherwise(F.col("body"))).withColumn(
         "page_no", F.when(~(first & (F.col("branch_id") == "branch_0")), F.col("page_no"))
     )
-    warehouse = warehouse_for(spark, pages)
+    warehouse = warehouse_for(spark, records)
     run(spark, damaged, warehouse.root, FIRST, options=LoadOptions(), marts=[], register=False)
     warehouse.refresh()
     held = raw_store.read_raw(warehouse, ENTITIES["sales"]).groupBy("branch_id").agg(F.count(F.lit(1)).alias("held"))
@@ -175,7 +181,7 @@ def latest_of_two_landings(spark, sf_dir):
     old = pages_of(fx.sales_of(orders), "sales").withColumn("landed_at", F.lit("2024-01-01").cast("timestamp"))
     new = pages_of(fx.sales_of(orders.withColumn("o_totalprice", F.col("o_totalprice") + 1)), "sales")
     pages = new.withColumn("landed_at", F.lit("2024-01-02").cast("timestamp")).unionByName(old)
-    warehouse = warehouse_for(spark, pages)
+    warehouse = warehouse_for(spark, fx.sales_of(orders))
     run(spark, pages, warehouse.root, FIRST, marts=[], register=False)
     warehouse.refresh()
     rows = raw_store.read_raw(warehouse, ENTITIES["sales"])
@@ -197,7 +203,7 @@ def reload_of_older_landing(spark, sf_dir):
     orders = fx.table(spark, sf_dir, "orders")
     new = landed_on(pages_of(fx.sales_of(orders.withColumn("o_totalprice", F.col("o_totalprice") + 1)), "sales"), "2024-01-02")
     old = landed_on(pages_of(fx.sales_of(orders), "sales"), "2024-01-01")
-    warehouse = warehouse_for(spark, new)
+    warehouse = warehouse_for(spark, fx.sales_of(orders))
     for hour, pages in enumerate((new, old, old, old)):
         run(spark, pages, warehouse.root, FIRST + dt.timedelta(hours=hour), marts=[], register=False)
     warehouse.refresh()
@@ -231,7 +237,7 @@ def stored_marts_by_change(spark, sf_dir):
     ]
     # Without a time of their own they are stamped by their run.
     pages = [pages_of(records.drop("extracted_at"), "items") for records in loads]
-    warehouse = warehouse_for(spark, pages[0])
+    warehouse = warehouse_for(spark, loads[0])
     for hour, some in enumerate(pages):
         run(spark, some, warehouse.root, FIRST + dt.timedelta(hours=hour), marts=["sales_order_line"], register=False)
     warehouse.refresh()
@@ -255,7 +261,8 @@ def completeness_over_loads(spark, sf_dir):
     body = F.concat(F.lit('{"data":['), F.concat_ws(",", F.collect_list("record")), F.lit("]}"))
     paged = records.groupBy("branch_id", "page_no").agg(body.alias("body"))
     pages = paged.select("branch_id", F.lit("sales").alias("entity"), "page_no", "body", F.lit(None).cast("timestamp").alias("landed_at"))
-    warehouse = warehouse_for(spark, pages)
+    # An order without a key is on no page.
+    warehouse = warehouse_for(spark, fx.sales_of(orders.where(F.col("o_orderkey").isNotNull())))
     for when, odd in ((FIRST, 1), (SECOND, 0)):
         run(spark, pages.where(F.col("page_no") % 2 == odd), warehouse.root, when, marts=[], register=False)
     warehouse.refresh()
@@ -273,7 +280,7 @@ def quarantine_and_replay(spark, sf_dir):
     good = pages_of(fx.sales_of(orders), "sales")
     spoilt = (F.col("branch_id") == "branch_1") & (F.col("page_no") == 1)
     bad = good.withColumn("body", F.when(spoilt, F.regexp_replace("body", r'^\{"data":\[', '{"data":[{"id":null},')).otherwise(F.col("body")))
-    warehouse = warehouse_for(spark, good)
+    warehouse = warehouse_for(spark, fx.sales_of(orders))
     for hour, batch in enumerate((bad, good.where(spoilt))):
         pages = with_held(batch, held_pages(warehouse))
         report = run(spark, pages, warehouse.root, FIRST + dt.timedelta(hours=hour), marts=[], register=False)
@@ -313,7 +320,7 @@ def stored_payments_there_and_back(spark, sf_dir):
         return pages_of(fx.records_of(orders, text, key % fx.N_BRANCHES, made, links).drop("extracted_at"), "payments")
 
     first, second = pages(F.col("o_totalprice"), F.lit(False)), pages(F.col("o_totalprice") + 1, F.lit(True))
-    warehouse = warehouse_for(spark, first)
+    warehouse = warehouse_for(spark, orders.select(fx.branch(key % fx.N_BRANCHES).alias("branch_id")))
     for hour, batch in enumerate((first, second, first)):
         run(spark, batch, warehouse.root, FIRST + dt.timedelta(hours=hour), marts=["payments"], register=False)
     warehouse.refresh()
