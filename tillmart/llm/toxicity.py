@@ -38,6 +38,8 @@ GAPS = frozenset(" .-_*,'`~^/\\|:;+=#%")  # characters that may stand for nothin
 # signs for any vowel left out, and a letter left out that is repeated thrice or more, or twice.
 SIGN, VOWEL, GAP, END, NO_VOWEL, REPEAT, DOUBLE = 0.7, 1.0, 0.4, 0.8, 2.0, 0.2, 3.0
 EDGE = ".,;:!?\"'()[]{}<>«»“”…—–"
+BOTH_ENDS = EDGE.replace("!", "").replace("(", "")
+NO_LETTERS = re.compile(r"[\W\d_]+")
 SPACED = re.compile(r"(?<!\S)[^\W_](?:[ \t.\-_*]{1,3}[^\W_\s]|[ \t.\-_*]{1,3}[@$!|+€]){2,}(?!\S)")
 TWICE = re.compile(r"(.)\1", re.S)
 PREFIXES = (4, 5)  # letters at a word's beginning that are features, besides the word
@@ -46,7 +48,8 @@ SAMPLE = 20_000  # labelled rows that the classifier is fitted on
 ROUNDS = 12
 FOLLOWERS = 0.25  # of a round's strongest evidence that a feature needs to be taken in the same round
 LEAST_SHARE = 0.3  # of a feature's texts that are toxic, for it to tell
-WORDS = 1 << 18  # distinct words that a task holds
+WORDS = 1 << 18  # distinct tokens that a task holds, or those of one text if it has more
+MOST_READINGS = 4096  # characters whose readings a task holds
 
 
 def letter_numbers() -> np.ndarray:
@@ -89,6 +92,25 @@ class CharacterModel:
         p3[:, 0, :] = p2[0]  # what came before a word does not bear on it
         self.log = np.log(p3).tolist()
         self.number = {letter: n for n, letter in enumerate(LETTERS, 1)}
+        self.readings: dict[str, tuple[list[Read], float | None]] = {}
+
+
+Read = tuple[str, int, float]  # letter (a space ends a word), its number, and what it costs
+
+
+def readings(c: str, number: dict[str, int]) -> tuple[list[Read], float | None]:
+    """What a character may stand for, and what it costs that it stands for nothing; None if it can't."""
+    reads: list[tuple[str, float]] = []
+    if c.isalpha():
+        reads.append((c, 0.0))
+    letters = LEET.get(c, "")
+    reads += [(letter, VOWEL if len(letters) > 2 else SIGN) for letter in letters]
+    skip = None
+    if c in GAPS or not reads:
+        skip = NO_VOWEL if letters else GAP
+        if not letters:
+            reads.append((" ", END))
+    return [(letter, 0 if letter == " " else number.get(letter, OTHER), cost) for letter, cost in reads], skip
 
 
 def restore(span: str, model: CharacterModel) -> str:
@@ -96,31 +118,33 @@ def restore(span: str, model: CharacterModel) -> str:
 
     A path is a chain of (rest of the path, letter), which paths with the same beginning share.
     """
-    log, number = model.log, model.number
+    log, known = model.log, model.readings
     best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-    runs = [len(m[0]) for m in re.finditer(r"(.)\1*", span, re.S) for _ in m[0]]
+    start = end = 0  # of the run of equal characters
     for i, c in enumerate(span):
-        reads: list[tuple[str, float]] = []
-        if c.isalpha():
-            reads.append((c, 0.0))
-        letters = LEET.get(c, "")
-        reads += [(letter, VOWEL if len(letters) > 2 else SIGN) for letter in letters]
-        skip = None
-        if c in GAPS or not reads:
-            skip = NO_VOWEL if letters else GAP
-            if not letters:
-                reads.append((" ", END))
-        elif i and c == span[i - 1]:
-            skip = REPEAT if runs[i] > 2 else DOUBLE
+        told = known.get(c)
+        if told is None:
+            told = readings(c, model.number)
+            if len(known) < MOST_READINGS:
+                known[c] = told
+        reads, skip = told
+        if i == end:
+            start, end = i, i + 1
+            while end < len(span) and span[end] == c:
+                end += 1
+        if skip is None and i > start:
+            skip = REPEAT if end - start > 2 else DOUBLE
         after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (score, path) in best.items():
-            if skip is not None and score - skip > after.get((a, b), (-math.inf,))[0]:
-                after[a, b] = (score - skip, path)
+            if skip is not None:
+                held = after.get((a, b))
+                if held is None or score - skip > held[0]:
+                    after[a, b] = (score - skip, path)
             row = log[a][b]
-            for letter, cost in reads:
-                n = 0 if letter == " " else number.get(letter, OTHER)
+            for letter, n, cost in reads:
                 found = score + row[n] - cost
-                if found > after.get((b, n), (-math.inf,))[0]:
+                held = after.get((b, n))
+                if held is None or found > held[0]:
                     after[b, n] = (found, (path, letter))
         best = after
     path = max(((score + log[a][b][0], path) for (a, b), (score, path) in best.items()), key=lambda x: x[0], default=(0.0, None))[1]
@@ -136,7 +160,7 @@ def disguised(token: str) -> str:
 
     Signs at its end, and quotes at its start, are punctuation unless a single sign could be a letter.
     """
-    bare = token.strip(EDGE.replace("!", "").replace("(", "")).rstrip(EDGE)
+    bare = token.strip(BOTH_ENDS).rstrip(EDGE)
     ends = bare.rstrip("$*#%&+|@~^=-_/\\")
     if len(bare) - len(ends) != 1 or bare[-1:] not in "$@+":
         bare = ends
@@ -152,7 +176,7 @@ def words_of(token: str, model: CharacterModel) -> list[str]:
     """The words of letters in a token as written, and what is behind it."""
     if token.isalpha() and not TWICE.search(token):
         return [token]
-    out = [w for w in re.split(r"[\W\d_]+", token) if w]
+    out = [w for w in NO_LETTERS.split(token) if w]
     if hidden := disguised(token):
         out += restore(hidden, model).split()
     return out
@@ -273,21 +297,27 @@ def score(docs: DataFrame, counts: np.ndarray, found: dict[str, Sign], otherwise
         table, plain = shared.value
         weights = {f: Sign(*sign) for f, sign in plain.items()}
         model = CharacterModel(table)
-        known: dict[str, tuple[tuple[str, Sign], ...]] = {}
+        beginnings = {f[:-1] for f in weights if f.endswith("~")}
+        known: set[str] = set()
+        telling: dict[str, tuple[tuple[str, Sign], ...]] = {}  # of the known tokens, those that tell
         for batch in batches:
             scores, words = [], []
             for text in batch.column("text").to_pylist():
                 told: dict[str, Sign] = {}
                 tokens = tokens_of(text or "")
-                for token in tokens:
-                    hits = known.get(token)
-                    if hits is None:
-                        if len(known) >= WORDS:
-                            known.clear()
-                        signs = ((w, [weights[f] for f in features_of(w) if f in weights]) for w in words_of(token, model))
-                        hits = tuple((w, max(x, key=lambda s: s.often / s.chance)) for w, x in signs if x)
-                        known[token] = hits
-                    for word, sign in hits:
+                fresh = tokens - known
+                if known and len(known) + len(fresh) > WORDS:
+                    known.clear()
+                    telling.clear()
+                    fresh = tokens
+                for token in fresh:
+                    maybe = [w for w in words_of(token, model) if w in weights or not beginnings.isdisjoint([w[:n] for n in PREFIXES])]
+                    signs = ((w, [weights[f] for f in features_of(w) if f in weights]) for w in maybe)
+                    if hits := tuple((w, max(x, key=lambda s: s.often / s.chance)) for w, x in signs if x):
+                        telling[token] = hits
+                known |= fresh
+                for token in telling.keys() & tokens:
+                    for word, sign in telling[token]:
                         told[word] = sign
                 scores.append(chance_of(dict(sorted(told.items())), len(tokens)) if told else otherwise)
                 words.append(sorted(told))
