@@ -9,7 +9,8 @@ import numpy as np
 import pytest
 
 from tests.llm.conftest import edge_rows, plain
-from tillmart.llm.bpe_tree import TEXT, Codec, cut, encode_decode, encoded_part, joined_ids, tokenizer_spec
+from tillmart.llm import bpe_tree
+from tillmart.llm.bpe_tree import TEXT, Codec, codec_of, cut, encode_decode, encoded_part, joined_ids, tokenizer_spec
 from tillmart.llm.queries import tokenizer_path
 
 SMALL = os.environ.get("PARITY_SF_DIR", "/root/testdata/sf0.001")
@@ -86,3 +87,20 @@ def test_parts_of_long_texts_take_words_that_are_known():
     assert found.ids.tolist() == codec.ids(text)
     assert set(codec.words) == set(text.encode().split())
     assert {text[s - 1].isspace() for s in found.starts.tolist()} == {True}
+
+
+def test_a_worker_keeps_one_codec_and_few_words(monkeypatch):
+    """What a process holds grows neither with its tasks nor with the words it meets, and what it forgot it finds again."""
+    monkeypatch.setattr(bpe_tree, "CACHE", 50)
+    spec = tokenizer_spec(tokenizer_path())
+    codec = codec_of(spec)
+    rng = random.Random(5)
+    for _ in range(60):
+        text = " ".join(["often", "Often,", "é", *(f"{rng.choice('aeiou')}x{rng.randrange(400)}-{rng.randrange(9)}" for _ in range(12))])
+        assert np.frombuffer(codec_of(spec).packed(text.encode()), dtype="<u4").tolist() == codec.ids(text)
+        for held in (codec.words, codec.words_before, codec.pieces, codec.pieces_before):
+            assert len(held) <= 50
+    assert codec_of(spec) is codec
+    assert b"often" in codec.words
+    assert codec_of(spec + " ") is not codec
+    assert len(bpe_tree._codecs) == 1

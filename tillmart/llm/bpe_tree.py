@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from tillmart.llm.common import SPACES
 
 LONG = 1 << 15  # code points from which a text or word, and bytes from which a pre-token, is halved
-CACHE = 1 << 18  # words, and as many pre-tokens, whose encodings a task holds
+CACHE = 1 << 17  # words, and as many pre-tokens, whose encodings a worker holds, besides as many from before
 ROWS = 256  # rows in a batch of output
 PART_ROWS = 32  # parts in one, each with its ids and where they start
 
@@ -60,7 +60,7 @@ class Stretch(NamedTuple):
 
 
 class Codec:
-    """Encodes and decodes with one tokenizer of the ``tokenizers`` library, in one task."""
+    """Encodes and decodes with one tokenizer of the ``tokenizers`` library, in one process."""
 
     def __init__(self, spec: str):
         # Spark has a task on every core already; threads of the library would only take memory.
@@ -76,8 +76,11 @@ class Codec:
         self.plain = self._cuts_ascii(form)
         self.added = {t.content: i for i, t in self.whole.get_added_tokens_decoder().items()}
         self.joins = self.widened = 0  # joins of texts, and those whose first window did not do
+        # When there are too many, they become those from before; what is not met again until the next turn is forgotten.
         self.words: dict[bytes, bytes] = {}
+        self.words_before: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.pieces_before: dict[str, bytes] = {}
 
     def _cuts_ascii(self, form: dict) -> bool:
         """Whether ASCII_SPLIT of the lower-case text gives the pre-tokens of a word in ASCII."""
@@ -136,16 +139,18 @@ class Codec:
         return b"".join(self._each(text.split()))
 
     def _each(self, words: list[bytes]) -> list[bytes]:
-        """The ids of each word. Words recur, so each is encoded once."""
+        """The ids of each word. Words recur, so those that do are encoded once."""
         known = self.words
         missing = set(words).difference(known)
         if len(known) + len(missing) > CACHE:
-            known.clear()
+            self.words_before, self.words = known, (known := {})
             missing = set(words)
-        slow = []
+        slow, before = [], self.words_before
         for word in missing:
             # Names of added tokens have a "<"; they and other scripts are the library's business.
-            if self.plain and word.isascii() and b"<" not in word and not CONTROL.search(word):
+            if word in before:
+                known[word] = before[word]
+            elif self.plain and word.isascii() and b"<" not in word and not CONTROL.search(word):
                 known[word] = b"".join(map(self._pretoken, ASCII_SPLIT.findall(word.decode("ascii").lower())))
             else:
                 slow.append(word)
@@ -160,14 +165,13 @@ class Codec:
         packed = self.pieces.get(piece)
         if packed is None:
             if len(self.pieces) >= CACHE:
-                self.pieces.clear()
-            packed = self.pieces[piece] = b"".join([t.id.to_bytes(4, "little") for t in self.final.tokenize(piece)])
+                self.pieces_before, self.pieces = self.pieces, {}
+            packed = self.pieces_before.get(piece)
+            if packed is None:
+                packed = b"".join([t.id.to_bytes(4, "little") for t in self.final.tokenize(piece)])
+            self.pieces[piece] = packed
         return packed
 
-    def release(self) -> None:
-        self.words.clear()
-        self.pieces.clear()
-
     def decode(self, packed: bytes) -> str:
         return self.whole.decode(np.frombuffer(packed, dtype="<u4").tolist(), skip_special_tokens=False)
 
@@ -247,6 +251,18 @@ class Codec:
         return parts[0]
 
 
+_codecs: dict[str, Codec] = {}
+
+
+def codec_of(spec: str) -> Codec:
+    """The codec of this process. Spark gives a worker one task after the other: were one made for each, the
+    memory that is left between what a task frees would grow with the number of tasks."""
+    if spec not in _codecs:
+        _codecs.clear()
+        _codecs[spec] = Codec(spec)
+    return _codecs[spec]
+
+
 def halves(text: str, most: int) -> list[str]:
     """The text cut in two, its parts likewise, until none is longer than ``most``."""
     if len(text) <= most:
@@ -318,17 +334,16 @@ def encode_decode(docs: DataFrame, tokenizer: str, long: int = LONG) -> DataFram
     is_long = F.length("text") > long
 
     def in_place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(shared.value)
+        codec = codec_of(shared.value)
         for big in batches:
             for at in range(0, big.num_rows, ROWS):
                 batch = big.slice(at, ROWS)
                 packed = [codec.packed(t.as_py()) for t in batch.column("text")]
                 decoded = [codec.decode(p) for p in packed]
                 yield pa.record_batch([batch.column("doc_id"), pa.array(packed, pa.binary()), pa.array(decoded, pa.string())], names=["doc_id", "ids", "decoded"])
-        codec.release()
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(shared.value)
+        codec = codec_of(shared.value)
         for batch in batches:
             for row in batch.to_pylist():
                 found = list(cut(codec, row["text"], long))
@@ -336,7 +351,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, long: int = LONG) -> DataFram
                 yield pa.record_batch([pa.array(c, type=f.type) for c, f in zip(columns, part_schema, strict=True)], schema=part_schema)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(shared.value)
+        codec = codec_of(shared.value)
         for big in batches:
             for at in range(0, big.num_rows, PART_ROWS):
                 batch = big.slice(at, PART_ROWS)
@@ -347,14 +362,9 @@ def encode_decode(docs: DataFrame, tokenizer: str, long: int = LONG) -> DataFram
                 names = ["doc_id", "key", "copies", "part", "piece", "kind"]
                 made = [pa.array(bodies, pa.string()), pa.array(ids, pa.binary()), pa.array(starts, pa.binary())]
                 yield pa.record_batch([*(batch.column(n) for n in names), *made], names=[*names, "body", "ids", "starts"])
-        codec.release()
-
-    made: list[Codec] = []  # one for all groups of a task
 
     def joined(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        if not made:
-            made.append(Codec(shared.value))
-        codec = made[0]
+        codec = codec_of(shared.value)
         rows = rows.sort_values("part")
         ids = joined_ids(codec, rows[["piece", "kind", "body", "ids", "starts"]].itertuples(index=False, name=None))
         return pd.DataFrame({"doc_id": [rows["doc_id"].iloc[0]], "copies": [rows["copies"].iloc[0]], "ids": [ids], "decoded": [codec.decode(ids)]})
