@@ -30,8 +30,8 @@ Reader = Callable[[list[Part]], DataFrame]
 
 
 def shape_of(schema: T.StructType) -> str:
-    """A short name for the columns that rows are stored with."""
-    return hashlib.md5(schema.json().encode()).hexdigest()
+    """A short name for the columns that rows are stored with: names and types. What may be null differs from plan to plan, and files don't keep it."""
+    return hashlib.md5(schema.simpleString().encode()).hexdigest()
 
 
 def bucket_of(buckets: dict[str, int]) -> Column:
