@@ -57,12 +57,16 @@ def name_uuid(*parts: Column) -> Column:
 
 def record_id(variant: Column, surrogate: Column) -> Column:
     """The record's own id; the surrogate if it has none; null if it is JSON null."""
+    # Most records have one, so it is looked for once.
     missing = F.try_variant_get(variant, "$.id", "variant").isNull()
-    return F.when(missing, surrogate).otherwise(F.try_variant_get(variant, "$.id", "string"))
+    return F.coalesce(F.try_variant_get(variant, "$.id", "string"), F.when(missing, surrogate))
 
 
-def reject_reason(record: Column, variant: Column, entity: Entity) -> Column:
-    """Why a record (text and parsed form) cannot become a raw row; null if it can."""
+def reject_reason(record: Column, variant: Column, entity: Entity, text_of=None) -> Column:
+    """Why a record (text and parsed form) cannot become a raw row; null if it can.
+
+    ``text_of`` gives the text column of a date's name, where it is there already.
+    """
     reason = F.when(variant.isNull() | ~F.ltrim(record).startswith("{"), F.lit("bad_record")).when(
         F.is_variant_null(F.try_variant_get(variant, "$.id", "variant")), F.lit("null_id")
     )
@@ -72,7 +76,10 @@ def reject_reason(record: Column, variant: Column, entity: Entity) -> Column:
         dates = [F.try_variant_get(variant, f"$.attributes.{name}", "variant") for name in entity.dated_by]
         given = F.try_variant_get(variant, "$.attributes", "variant").isNotNull()
         as_object = F.try_variant_get(variant, "$.attributes", "map<string,variant>")
-        reason = reason.when(F.coalesce(*dates).isNull() & given & as_object.isNull(), F.lit("bad_attributes"))
+        undated = F.coalesce(*dates).isNull()
+        if text_of is not None:
+            undated = F.coalesce(*[text_of(name) for name in entity.dated_by]).isNull() & undated
+        reason = reason.when(undated & given & as_object.isNull(), F.lit("bad_attributes"))
     return reason
 
 

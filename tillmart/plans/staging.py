@@ -68,10 +68,14 @@ def staged_rows(pages: DataFrame, branches: DataFrame, run_ts: datetime) -> Data
     parsed = computed_once(rows, "_whole", F.try_parse_json("record"))
     parsed = computed_once(parsed, "_v", _by_entity(lambda e: requested_fields(F.col("_whole"), e), F.col("_whole")))
     v, none = F.col("_v"), F.lit(None)
+    # The dates' texts are used many times below, and looking one up reads the names of all attributes.
+    names = sorted({name for e in ENTITIES.values() for name in (*e.dated_by, e.incremental_by) if name})
+    texts = F.struct(*[F.try_variant_get(v, f"$.attributes.{name}", "string").alias(name) for name in names])
+    parsed = computed_once(parsed, "_texts", texts)
     is_page = F.col("pos") < 0
-    text = lambda name: F.try_variant_get(v, f"$.attributes.{name}", "string")
+    text = lambda name: F.col(f"_texts.{name}")
     surrogate = name_uuid(F.col("branch_id"), F.unix_micros("extracted_at").cast("string"), F.col("ingest_seq").cast("string"))
-    reason = _by_entity(lambda e: reject_reason(F.col("record"), v, e), none)
+    reason = _by_entity(lambda e: reject_reason(F.col("record"), v, e, text), none)
     # Only what was cut is printed anew; other payloads stay as they came.
     payload = _by_entity(lambda e: F.col("record") if e.requested is None else F.coalesce(F.to_json(v), F.col("record")), F.col("record"))
     of_record = lambda value: F.when(~is_page, value)
