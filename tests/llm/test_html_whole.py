@@ -47,3 +47,11 @@ def test_wrappers_labelled_as_boilerplate_stay(html):
 def test_long_comments_go():
     page = f"<div class=c><h1>T</h1><p>{prose(1, 40)}</p></div><div class=comments><p>{prose(2, 80)}</p></div>"
     assert html_paths.best_text(html_paths.Page(page), []) == f"T\n\n{prose(1, 40)}"
+
+
+def test_paths_of_pages_are_not_broadcast(spark):
+    """The table of paths gets a row for each salt, which Spark does not count when it looks at its size."""
+    rows = [(i, "http://h/", f"<p>{prose(i, 20)}", "a", "b", 1, "c", "d") for i in range(6)]
+    found = html_paths.extract(spark.createDataFrame(rows, PAGES))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {r.page_id: r.text for r in found.collect()} == {i: prose(i, 20) for i in range(6)}

@@ -389,7 +389,8 @@ def extract(pages: DataFrame, salts: int = 32) -> DataFrame:
     """
     host = F.coalesce(F.lower(F.regexp_extract("url", r"(?s)^.*?://([^/?#]*)", 1)), F.lit(""))
     read = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host")).withColumn("page", F.xxhash64("host", "html"))
-    winning = kept(chosen_paths(read), "host-paths").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # Never broadcast: Spark takes the size of the table before every page's row is there once for each salt.
+    winning = kept(chosen_paths(read), "host-paths").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")
     salted = read.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)).cast("int"))
     joined = salted.join(winning, ["page", "salt"], "left").select("page_id", "url", "html", "host", "key")
     schema = T.StructType([pages.schema["page_id"], T.StructField("url", T.StringType()), T.StructField("text", T.StringType())])
