@@ -79,17 +79,23 @@ def records_of(
     extracted_at: Column | None = None,
     ingest_seq: Column | None = None,
     keep_nulls: bool = False,
+    turned: bool = False,
 ) -> DataFrame:
-    parts = [id_text.alias("id"), F.struct(*[c.alias(k) for k, c in attributes.items()]).alias("attributes")]
-    if relationships:
-        parts.append(F.struct(*[c.alias(k) for k, c in relationships.items()]).alias("relationships"))
+    """``turned`` adds the same records with their members, and the members of these, in the opposite order."""
+    given = [attributes, relationships] if relationships else [attributes]
+
+    def parts(step: int) -> list[Column]:
+        inner = [F.struct(*[c.alias(k) for k, c in some.items()][::step]).alias(name) for name, some in zip(("attributes", "relationships"), given)]
+        return [id_text.alias("id"), *inner][::step]
+
     options = {"ignoreNullFields": "false"} if keep_nulls else {}
     at = extracted_at if extracted_at is not None else F.lit(FIXED)
     return df.select(
         branch(branch_number).alias("branch_id"),
         at.cast("timestamp").alias("extracted_at"),
         (ingest_seq if ingest_seq is not None else F.lit(0)).cast("bigint").alias("ingest_seq"),
-        F.to_json(F.struct(*parts), options).alias("record"),
+        F.to_json(F.struct(*parts(1)), options).alias("record"),
+        *([F.to_json(F.struct(*parts(-1)), options).alias("turned")] if turned else []),
     )
 
 
@@ -165,7 +171,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items_of(table(spark, sf_dir, "lineitem"))
 
 
-def items_of(lineitem: DataFrame) -> DataFrame:
+def items_of(lineitem: DataFrame, turned: bool = False) -> DataFrame:
     order, line, flag = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_returnflag")
     item_id = text_id(order * 10 + line)
     return records_of(
@@ -192,6 +198,7 @@ def items_of(lineitem: DataFrame) -> DataFrame:
         },
         extracted_at=F.col("l_shipdate"),
         ingest_seq=item_arrival(),
+        turned=turned,
     )
 
 
