@@ -21,12 +21,33 @@ FIXED = "2024-02-01 00:00:00"
 LEAST_BYTES, MOST_BYTES = 32 << 10, 16 << 20
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table's rows, dealt out over the cores: what is made of a row costs far more than to read and move it."""
+def table(spark: SparkSession, sf_dir: str, name: str, dealt: bool = True) -> DataFrame:
+    """A table's rows, dealt out over the cores unless told otherwise: what is made of a row costs far more than to read and move it."""
     path = f"{sf_dir}/{name}.parquet"
     n = pieces(file_bytes(spark, path), spark.sparkContext.defaultParallelism)
     rows = spark.read.parquet(path)
-    return rows.repartition(n) if n > 1 else rows
+    return rows.repartition(n) if dealt and n > 1 else rows
+
+
+# The place of a record among the pages it will be landed in.
+PAGE = ["page_branch", "page_no"]
+# Bytes of file to a part of rows that become pages: as JSON they are some fifty times as large, and a task sorts them.
+PAGED_BYTES = 1 << 20
+
+
+def by_page(spark: SparkSession, sf_dir: str, name: str, key: str) -> Callable[[DataFrame], DataFrame]:
+    """What deals rows of a table out by the page that each will be in, before they become JSON, so that pages are then put together where they are.
+
+    A page has up to 500 successive numbers of a branch.
+    """
+    size = file_bytes(spark, f"{sf_dir}/{name}.parquet")
+    n = max(pieces(size, spark.sparkContext.defaultParallelism), -(-size // PAGED_BYTES))
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        number = F.floor(F.abs(F.col(key)) / 500).cast("int") + 1
+        return rows.select("*", branch(F.col(key) % N_BRANCHES).alias(PAGE[0]), number.alias(PAGE[1])).repartition(n, *PAGE)
+
+    return dealt
 
 
 def pieces(size: int, cores: int) -> int:
@@ -96,6 +117,7 @@ def records_of(
         (ingest_seq if ingest_seq is not None else F.lit(0)).cast("bigint").alias("ingest_seq"),
         F.to_json(F.struct(*parts(1)), options).alias("record"),
         *([F.to_json(F.struct(*parts(-1)), options).alias("turned")] if turned else []),
+        *[c for c in PAGE if c in df.columns],
     )
 
 

@@ -328,14 +328,14 @@ def raw_append_new_versions(spark, sf_dir):
     )
 
 
-def second_sales_load(orders: DataFrame) -> DataFrame:
-    """Even orders once more, every fourth now canceled, and some orders never seen."""
+def second_sales_load(orders: DataFrame, dealt=lambda rows: rows) -> DataFrame:
+    """Even orders once more, every fourth now canceled, and some orders never seen. ``dealt`` deals out the orders before they become records."""
     key = F.col("o_orderkey")
     again = orders.where(key % 2 == 0).withColumn(
         "o_orderstatus", F.when(key % 4 == 0, F.lit("P")).otherwise(F.col("o_orderstatus"))
     )
     fresh = orders.where(key % 10 == 3).withColumn("o_orderkey", -key - 5)
-    return fx.sales_of(again.unionByName(fresh)).withColumn("extracted_at", F.lit(RUN_TS).cast("timestamp"))
+    return fx.sales_of(dealt(again.unionByName(fresh))).withColumn("extracted_at", F.lit(RUN_TS).cast("timestamp"))
 
 
 SECOND_LOAD = f"""

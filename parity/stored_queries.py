@@ -38,10 +38,14 @@ def query(sql: str):
 
 
 def pages_of(records: DataFrame, entity: str) -> DataFrame:
-    """Up to 500 successive ids in a page; a page that has fewer records counts as short."""
+    """Up to 500 successive ids in a page; a page that has fewer records counts as short.
+
+    Records made of rows dealt out ``by_page`` are together already, and their JSON is not shuffled.
+    """
     number = F.floor(F.abs(F.get_json_object("record", "$.id").cast("bigint")) / 500).cast("int") + 1
+    place = [F.col(c) for c in fx.PAGE] if set(fx.PAGE) <= set(records.columns) else [F.col("branch_id"), number.alias("page_no")]
     joined = F.concat(F.lit('{"data":['), F.concat_ws(",", F.array_sort(F.collect_list("record"))), F.lit("]}"))
-    paged = records.groupBy("branch_id", number.alias("page_no")).agg(joined.alias("body"))
+    paged = records.groupBy(*place).agg(joined.alias("body")).toDF("branch_id", "page_no", "body")
     return paged.select("branch_id", F.lit(entity).alias("entity"), "page_no", "body", F.lit(None).cast("timestamp").alias("landed_at"))
 
 
@@ -60,12 +64,16 @@ def warehouse_for(spark: SparkSession, named: DataFrame, root: str | None = None
     return made
 
 
+def paged_orders(spark: SparkSession, sf_dir: str):
+    """Orders as they lie in their file, and what deals them out for their pages."""
+    return fx.table(spark, sf_dir, "orders", dealt=False), fx.by_page(spark, sf_dir, "orders", "o_orderkey")
+
+
 def two_sales_loads(spark: SparkSession, sf_dir: str, **options) -> Warehouse:
     """All orders, then a second load: unchanged, changed and new ones."""
-    orders = fx.table(spark, sf_dir, "orders")
-    records = [fx.sales_of(orders), second_sales_load(orders)]
-    first, second = (pages_of(some, "sales") for some in records)
-    warehouse = warehouse_for(spark, records[0].unionByName(records[1]))
+    orders, by_page = paged_orders(spark, sf_dir)
+    first, second = pages_of(fx.sales_of(by_page(orders)), "sales"), pages_of(second_sales_load(orders, by_page), "sales")
+    warehouse = warehouse_for(spark, fx.sales_of(orders).unionByName(second_sales_load(orders)))
     for pages, when in ((first, FIRST), (second, SECOND)):
         run(spark, pages, warehouse.root, when, marts=["sales_order"], **{"register": False, **options})
     warehouse.refresh()
@@ -132,10 +140,9 @@ def stored_view_by_name(spark, sf_dir):
     FROM orders GROUP BY 1""")
 def view_original_payload(spark, sf_dir):
     """The payload passes through the view as it came."""
-    orders = fx.table(spark, sf_dir, "orders")
-    records = fx.sales_of(orders)
-    pages = pages_of(records, "sales")
-    warehouse = warehouse_for(spark, records)
+    orders, by_page = paged_orders(spark, sf_dir)
+    pages = pages_of(fx.sales_of(by_page(orders)), "sales")
+    warehouse = warehouse_for(spark, fx.sales_of(orders))
     run(spark, pages, warehouse.root, FIRST, marts=[], register=False)
     warehouse.refresh()
     view = flatten(raw_store.read_raw(warehouse, ENTITIES["sales"]), ENTITIES["sales"])
@@ -177,9 +184,9 @@ def load_audit_of_damaged_pages(spark, sf_dir):
     FROM orders""")
 def latest_of_two_landings(spark, sf_dir):
     """Every page landed twice, with other content: the later landing counts, in whatever order they are read."""
-    orders = fx.table(spark, sf_dir, "orders")
-    old = pages_of(fx.sales_of(orders), "sales").withColumn("landed_at", F.lit("2024-01-01").cast("timestamp"))
-    new = pages_of(fx.sales_of(orders.withColumn("o_totalprice", F.col("o_totalprice") + 1)), "sales")
+    orders, by_page = paged_orders(spark, sf_dir)
+    old = pages_of(fx.sales_of(by_page(orders)), "sales").withColumn("landed_at", F.lit("2024-01-01").cast("timestamp"))
+    new = pages_of(fx.sales_of(by_page(orders.withColumn("o_totalprice", F.col("o_totalprice") + 1))), "sales")
     pages = new.withColumn("landed_at", F.lit("2024-01-02").cast("timestamp")).unionByName(old)
     warehouse = warehouse_for(spark, fx.sales_of(orders))
     run(spark, pages, warehouse.root, FIRST, marts=[], register=False)
@@ -200,9 +207,9 @@ def landed_on(pages: DataFrame, day: str) -> DataFrame:
     FROM told, range(4) AS runs(run)""")
 def reload_of_older_landing(spark, sf_dir):
     """A landing, and then three times one that is older: nothing is added, nothing is counted as changed."""
-    orders = fx.table(spark, sf_dir, "orders")
-    new = landed_on(pages_of(fx.sales_of(orders.withColumn("o_totalprice", F.col("o_totalprice") + 1)), "sales"), "2024-01-02")
-    old = landed_on(pages_of(fx.sales_of(orders), "sales"), "2024-01-01")
+    orders, by_page = paged_orders(spark, sf_dir)
+    new = landed_on(pages_of(fx.sales_of(by_page(orders.withColumn("o_totalprice", F.col("o_totalprice") + 1))), "sales"), "2024-01-02")
+    old = landed_on(pages_of(fx.sales_of(by_page(orders)), "sales"), "2024-01-01")
     warehouse = warehouse_for(spark, fx.sales_of(orders))
     for hour, pages in enumerate((new, old, old, old)):
         run(spark, pages, warehouse.root, FIRST + dt.timedelta(hours=hour), marts=[], register=False)

@@ -19,14 +19,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillmart.operators.checks import CheckFailed
-from tillmart.plans.warehouse import REPLACED, Part, Warehouse, new_version
+from tillmart.plans.warehouse import REPLACED, Part, Warehouse, new_version, remove_folder
 from tillmart.schemas import RECORD_KEY
+from tillmart.session import PACKED, scratch_folder
 
 # A branch is cut anew, finer, when its buckets hold twice as many on average.
 ROWS_PER_PART = 1 << 20
+BITS = 1 << 15  # of a bitmap as Spark makes them
 
 Place = tuple[str, int]  # branch and bucket
-Reader = Callable[[list[Part]], DataFrame]
+Reader = Callable[..., DataFrame]  # of parts and, by name, further columns of their files
+Maker = Callable[[DataFrame], DataFrame]
 
 
 def shape_of(schema: T.StructType) -> str:
@@ -49,6 +52,7 @@ class PartTable:
         manifest = warehouse.manifest(table) or []
         self.parts = [p for p in manifest if p.bucket >= 0]
         self.history = [p for p in manifest if p.bucket == REPLACED]
+        self._marks = f"{scratch_folder(warehouse.spark, f'{warehouse.root}/_staging')}/{table}-marks-{new_version()}"
 
     def buckets(self) -> dict[str, int]:
         return {p.branch_id: p.buckets for p in self.parts}
@@ -74,38 +78,58 @@ class PartTable:
                 buckets[branch] = max(1, -(-rows // self.rows_per_part))
         return buckets, grown
 
-    def add(self, rows: DataFrame, added: dict[str, int], reader: Reader) -> None:
-        """Add rows; ``added`` counts them by branch. Branches that outgrow their buckets are written anew as a whole."""
+    def add(self, rows: DataFrame, added: dict[str, int], reader: Reader, stored: Maker = lambda rows: rows) -> None:
+        """Add rows; ``added`` counts them by branch. Branches that outgrow their buckets are written anew as a whole.
+
+        ``stored`` makes of ``rows`` what is stored. That is done where they are written, so what it adds to them is never shuffled.
+        """
         buckets, grown = self._room(added)
         old = [p for p in self.parts if p.branch_id in grown]
-        rows = rows.hint("rebalance", "branch_id")
+        rows = stored(rows.hint("rebalance", "branch_id"))
         if old:
             rows = reader(old).unionByName(rows)
         new = self._write(rows.withColumn("state", F.lit("current")), buckets, rows.schema)
         self._show([p for p in self.parts if p.branch_id not in grown] + new, self.history, rows.schema)
 
-    def replace(self, rows: DataFrame, keys: DataFrame, added: dict[str, int], reader: Reader) -> None:
+    def replace(self, rows: DataFrame, keys: DataFrame, added: dict[str, int], reader: Reader, stored: Maker = lambda rows: rows) -> None:
         """Put ``rows`` in the place of those with the record keys ``keys``, which go to the history.
 
         ``keys`` is a written table, whose size Spark knows: few keys are broadcast, and the touched parts are read and
-        written where they lie. ``added`` counts the rows by branch, as an upper bound of what is new.
+        written where they lie. ``added`` counts the rows by branch, as an upper bound of what is new. ``stored`` is as for ``add``.
         """
         buckets, grown = self._room(added)
         hit = keys.select("branch_id", bucket_of(buckets).alias("bucket")).distinct()
         # One row a part at most.
         touched = {(r.branch_id, r.bucket) for r in hit.collect()}
         old = [p for p in self.parts if p.branch_id in grown or (p.branch_id, p.bucket) in touched]
+        rows = stored(rows.hint("rebalance", "branch_id"))
         schema = rows.schema
         state = F.lit("current")
-        out = rows.hint("rebalance", "branch_id").withColumn("state", state)
+        out = rows.withColumn("state", state)
         if old:
-            marks = keys.select(*RECORD_KEY).distinct().withColumn("_hit", F.lit(True))
-            base = reader(old).join(marks, RECORD_KEY, "left").withColumn("state", F.when(F.col("_hit"), "replaced").otherwise(state))
+            base = self._marked(old, keys, reader).withColumn("state", F.when(F.col("_hit"), "replaced").otherwise(state))
             out = base.select(*schema.names, "state").unionByName(out)
         new = self._write(out, buckets, schema)
+        remove_folder(self.warehouse.spark, self._marks)
         gone = set(old)
         self._show([p for p in self.parts if p not in gone] + new, self.history, schema)
 
+    def _marked(self, old: list[Part], keys: DataFrame, reader: Reader) -> DataFrame:
+        """The rows of these parts, and whether one of ``keys`` is theirs (``_hit``).
+
+        Rows are many times as large as keys and stay where they lie: keys are joined with keys, and what comes of it is a bit for each row of
+        a file, in a written table whose size decides how it is joined.
+        """
+        rows = reader(old, {"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
+        chunk, at = F.shiftright("_row", 15).alias("_chunk"), F.col("_row").bitwiseAND(F.lit(BITS - 1))
+        hit = rows.select(*RECORD_KEY, "_file", "_row").join(keys.select(*RECORD_KEY).distinct(), RECORD_KEY, "left_semi")
+        schema = T.StructType([rows.schema["_file"], T.StructField("_chunk", T.LongType()), T.StructField("_bits", T.BinaryType())])
+        hit.groupBy("_file", chunk).agg(F.bitmap_construct_agg(at).alias("_bits")).write.mode("overwrite").parquet(self._marks)
+        bits = self.warehouse.spark.read.schema(schema).parquet(self._marks)
+        byte = F.conv(F.hex(F.substring("_bits", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        is_hit = F.coalesce(F.getbit(byte, at.bitwiseAND(F.lit(7)).cast("int")) == 1, F.lit(False))
+        return rows.select("*", chunk).join(bits, ["_file", "_chunk"], "left").withColumn("_hit", is_hit)
+
     def rewrite(self, reader: Reader, schema: T.StructType) -> None:
         """Write all parts anew, one version each, and forget the history."""
         counted = Counter()
@@ -140,7 +164,7 @@ class PartTable:
         if self.required:
             seen = Observation()
             named = named.observe(seen, *[F.count_if(F.col(c).isNull()).alias(c) for c in self.required])
-        named.write.mode("overwrite").partitionBy("state", "part_branch", "bucket").parquet(path)
+        named.write.mode("overwrite").option("compression", PACKED).partitionBy("state", "part_branch", "bucket").parquet(path)
         if self.required and any(seen.get.values()):
             raise CheckFailed(f"{self.table}: nulls in required columns { {c: n for c, n in seen.get.items() if n} }")
         found = self.warehouse.spark.read.schema("state string, part_branch string, bucket int").parquet(path)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,11 +43,12 @@ def reader(warehouse: Warehouse, entity: Entity) -> Reader:
     schema = stored_schema(entity)
     shape = shape_of(schema)
 
-    def read(parts: list[Part]) -> DataFrame:
-        rows = warehouse.read_parts(entity.table, [p for p in parts if p.shape == shape], schema)
-        older = [p for p in parts if p.shape != shape and p.rows]
+    def read(parts: list[Part], more: dict[str, Column] = {}) -> DataFrame:  # noqa: B006
+        known, older = ([p for p in parts if p.rows and (p.shape == shape) == same] for same in (True, False))
+        rows = warehouse.read_parts(entity.table, known, schema, more) if known or not older else None
         if older:
-            rows = rows.unionByName(shred(warehouse.read_parts(entity.table, older, RAW), entity).select(*schema.names))
+            parsed = shred(warehouse.read_parts(entity.table, older, RAW, more), entity).select(*schema.names, *more)
+            rows = rows.unionByName(parsed) if rows is not None else parsed
         return rows
 
     return read
@@ -72,15 +73,19 @@ def read_history(warehouse: Warehouse, entity: Entity) -> DataFrame:
 
 
 def add(warehouse: Warehouse, entity: Entity, rows: DataFrame, changes: DataFrame) -> None:
-    """Add staged rows, in the place of older ones where just the last state counts. ``changes`` is their written list."""
+    """Add raw rows, in the place of older ones where just the last state counts. ``changes`` is their written list.
+
+    Their leaves and subtrees, which make them some three times as large, are taken out of the payloads where they are written.
+    """
     columns = stored_schema(entity).fieldNames()
     # One row a branch.
     counts = {r.branch_id: r.n for r in changes.groupBy("branch_id").agg(F.count(F.lit(1)).alias("n")).collect()}
     table, read = table_of(warehouse, entity), reader(warehouse, entity)
+    stored = lambda some: shred(some, entity).select(*columns)
     if entity.merge == "upsert":
-        table.replace(rows.select(*columns), changes.select(*RECORD_KEY), counts, read)
+        table.replace(rows, changes.select(*RECORD_KEY), counts, read, stored)
     else:
-        table.add(rows.select(*columns), counts, read)
+        table.add(rows, counts, read, stored)
 
 
 def compact(warehouse: Warehouse, entity: Entity) -> None:

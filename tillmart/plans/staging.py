@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tillmart.entities import ENTITIES, Entity
 from tillmart.functions.payload import computed_once
 from tillmart.functions.records import bad_date, name_uuid, parse_iso_timestamp, payload_checksum, record_id, reject_reason, source_updated_at
+from tillmart.session import PACKED
 from tillmart.sources.pages import unnest_with_pages
 
 UNKNOWN = "_unknown"
@@ -108,7 +109,7 @@ def stage(pages: DataFrame, branches: DataFrame, run_ts: datetime, path: str) ->
     """
     rows = staged_rows(pages, branches, run_ts)
     # The entity's name is part of the path, and a column of the rows read back.
-    rows.write.mode("overwrite").partitionBy("entity").parquet(path)
+    rows.write.mode("overwrite").option("compression", PACKED).partitionBy("entity").parquet(path)
     return pages.sparkSession.read.schema(rows.schema).parquet(path)
 
 

@@ -24,6 +24,9 @@ TUNING = {
     "spark.scheduler.mode": "FAIR",
 }
 
+# How payloads and checksums are packed, in whatever session: hex digits and JSON take little more than half of what snappy makes of them.
+PACKED = "zstd"
+
 
 def build_session(app_name: str = "tillmart", **conf: str) -> SparkSession:
     """A session with the settings above; ``conf`` uses ``__`` for dots and wins."""
