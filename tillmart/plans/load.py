@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillmart.entities import Entity
-from tillmart.functions.records import name_uuid, shred, to_raw
+from tillmart.functions.records import name_uuid, to_raw
 from tillmart.operators.dedupe import first_per_key
 from tillmart.operators.merge import changed_records, new_versions
 from tillmart.plans import raw_store
@@ -76,6 +76,18 @@ def with_payload(changes: DataFrame, rows: DataFrame) -> DataFrame:
     return first_per_key(found.select(*RAW_COLUMNS), address)
 
 
+def changed_rows(changes: DataFrame, rows: DataFrame, due: int) -> DataFrame:
+    """Raw rows of the ``due`` changes, out of the staged ``rows`` that they are some of.
+
+    Only rows of the changes' landings are looked at. Where there are no more of these than changes, as in a first load, they are the
+    changes, and nothing is joined.
+    """
+    # One row.
+    first, last = changes.agg(F.min("extracted_at").cast("string"), F.max("extracted_at").cast("string")).first()
+    landed = rows.where(F.col("extracted_at").between(F.lit(first).cast("timestamp"), F.lit(last).cast("timestamp")))
+    return landed.select(*RAW_COLUMNS) if landed.count() == due else with_payload(changes, landed)
+
+
 def since_last_load(rows: DataFrame, entity: Entity, status: DataFrame) -> DataFrame:
     """Staged rows without the records dated before their branch's last extraction. What has no date stays."""
     if entity.incremental_by is None:
@@ -151,7 +163,7 @@ def _add(warehouse: Warehouse, entity: Entity, changes: DataFrame, rows: DataFra
     due = good.count()
     if due:
         written = Observation()
-        found = shred(with_payload(good, rows.where("reject_reason IS NULL")), entity).observe(written, F.count(F.lit(1)).alias("n"))
+        found = changed_rows(good, rows.where("reject_reason IS NULL"), due).observe(written, F.count(F.lit(1)).alias("n"))
         raw_store.add(warehouse, entity, found, good)
         if written.get["n"] != due:
             raise RuntimeError(f"{entity.table}: {due} rows are new or changed, but {written.get['n']} were written")
